@@ -90,16 +90,19 @@ def hash_draw(key, mult_offset: tuple[int, int], modulus: int) -> Column:
 
 
 def weighted_pick(draw, weights: Sequence[tuple[str, int]]) -> Column:
-    """Label whose cumulative-weight interval contains ``draw`` (0..sum-1)."""
-    expr = None
-    upper = 0
-    for i, (label, weight) in enumerate(weights):
-        upper += weight
-        if i == len(weights) - 1:
-            return expr.otherwise(F.lit(label)) if expr is not None else F.lit(label)
-        cond = _col(draw) < F.lit(upper)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    raise ValueError("weights must not be empty")
+    """Label whose cumulative-weight interval contains ``draw``.
+
+    Draws below 0 take the first label, draws at or above the weight total
+    (and null draws) the last. One lookup into a table expanded from the
+    weights (one entry per unit of weight), so ``draw`` is referenced once:
+    no CASE chain that an optimizer could copy an expensive draw into.
+    """
+    if not weights:
+        raise ValueError("weights must not be empty")
+    table = [label for label, weight in weights for _ in range(int(weight))]
+    last = F.lit(weights[-1][0])
+    idx = F.least(F.greatest(_col(draw), F.lit(0)), F.lit(len(table) - 1)) + F.lit(1)
+    return F.coalesce(F.element_at(F.array(*[F.lit(x) for x in table]), idx.cast("int")), last)
 
 
 def pick_from_pool(index, pool: Sequence[str]) -> Column:
@@ -112,12 +115,11 @@ def pick_from_pool(index, pool: Sequence[str]) -> Column:
 
 
 def category_multiplier(category="merchant_category") -> Column:
-    c = _col(category)
-    expr = None
+    """DECIMAL(4,2) multiplier by category (map lookup, default 1.00)."""
+    pairs = []
     for name, mult in CATEGORY_MULTIPLIERS:
-        m = _dec(mult, 4, 2)
-        expr = F.when(c == name, m) if expr is None else expr.when(c == name, m)
-    return expr.otherwise(_dec(DEFAULT_MULTIPLIER, 4, 2))
+        pairs += [F.lit(name), _dec(mult, 4, 2)]
+    return F.coalesce(F.create_map(*pairs)[_col(category)], _dec(DEFAULT_MULTIPLIER, 4, 2))
 
 
 def shape_amount(base, category="merchant_category") -> Column:

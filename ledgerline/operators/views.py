@@ -100,50 +100,82 @@ def status_breakdown(full: DataFrame, enriched: DataFrame) -> DataFrame:
     ).orderBy("position")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 34, series: str | None = None) -> DataFrame:
-    """Equal-width histogram over [min, max] of ``column`` with numpy's rules:
-    edges lo + i*step (last edge = hi), last bin closed, values nudged to the
-    right bin when float rounding puts them across an edge; lo == hi widens
-    the range by 0.5 each side. Two passes (bounds, then counts); every bin is
-    returned, empty ones with count 0.
+def histograms(df: DataFrame, columns: Sequence[tuple[str, str]], bins: int = 34) -> DataFrame:
+    """Equal-width histograms of several columns, each over its own [min, max],
+    with numpy's rules: edges lo + i*step (last edge = hi), last bin closed,
+    values nudged into the right bin when float rounding crosses an edge;
+    lo == hi widens the range by 0.5 each side; null and NaN are skipped.
+
+    ``columns`` is a list of (series name, column). Two passes over ``df``:
+    per-series bounds (at most len(columns) rows, broadcast by an equi-join on
+    the series name), then a grouped count per (series, bin), map-side
+    combined, so each task ships at most len(columns) * bins rows. Every bin
+    is returned; empty ones with count 0.
     """
-    x = F.col(column)
-    valid = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    bounds = valid.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    bounds = bounds.select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - F.lit(0.5)).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + F.lit(0.5)).otherwise(F.col("hi")).alias("hi"),
+    vals = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("series"),
+                        F.when(F.isnan(F.col(c)), F.lit(None)).otherwise(F.col(c)).cast("double").alias("x"),
+                    )
+                    for name, c in columns
+                ]
+            )
+        )
+    )
+    bounds = (
+        vals.groupBy("series")
+        .agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
+        .filter(F.col("lo0").isNotNull())
+        .select(
+            "series",
+            F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - F.lit(0.5)).otherwise(F.col("lo0")).alias("lo"),
+            F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + F.lit(0.5)).otherwise(F.col("hi0")).alias("hi"),
+        )
+        .select("*", ((F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("step"))
     )
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    step = (hi - lo) / F.lit(float(bins))
-    norm = F.lit(float(bins)) / (hi - lo)
     last = F.lit(bins - 1)
 
     def edge(i):
-        return F.when(i == F.lit(bins), hi).otherwise(i * step + lo)
-
-    raw = F.least(F.floor((F.col("x") - lo) * norm), last)
-    idx = F.when(F.col("x") < edge(raw), raw - 1).otherwise(raw)
-    idx = F.when((idx != last) & (F.col("x") >= edge(idx + 1)), idx + 1).otherwise(idx)
-    counts = valid.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    # Both sides hold at most ``bins`` rows: a fixed bound, safe to broadcast.
-    grid = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
-    out = grid.join(F.broadcast(counts), "bin", "left").select(
-        F.lit(series or column).alias("series"),
+        return F.when(i == F.lit(bins), F.col("hi")).otherwise(i * F.col("step") + F.col("lo"))
+
+    # ``bounds`` has one row per series: a fixed bound, safe to broadcast.
+    placed = vals.join(F.broadcast(bounds), "series").select(
+        "series", "x", "lo", "hi", "step",
+        F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))), last).alias("i0"),
+    )
+    placed = placed.select(
+        "series", "x", "lo", "hi", "step",
+        F.when(F.col("x") < edge(F.col("i0")), F.col("i0") - 1).otherwise(F.col("i0")).alias("i1"),
+    )
+    placed = placed.select(
+        "series",
+        F.when((F.col("i1") != last) & (F.col("x") >= edge(F.col("i1") + 1)), F.col("i1") + 1)
+        .otherwise(F.col("i1"))
+        .alias("bin"),
+    )
+    counts = placed.groupBy("series", "bin").agg(F.count(F.lit(1)).alias("count"))
+    grid = bounds.select("series", "lo", "hi", "step", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    # counts holds at most len(columns) * bins rows: a fixed bound.
+    return grid.join(F.broadcast(counts), ["series", "bin"], "left").select(
+        "series",
         F.col("bin").cast("int").alias("bin"),
-        (F.col("bin") * step + lo).alias("bin_start"),
+        (F.col("bin") * F.col("step") + F.col("lo")).alias("bin_start"),
         edge(F.col("bin") + 1).alias("bin_end"),
         F.coalesce(F.col("count"), F.lit(0)).alias("count"),
     )
-    return out
+
+
+def histogram(df: DataFrame, column: str, bins: int = 34, series: str | None = None) -> DataFrame:
+    """Histogram of one column (see ``histograms``)."""
+    return histograms(df, [(series or column, column)], bins)
 
 
 def amount_histogram(enriched: DataFrame, bins: int = 34) -> DataFrame:
     """Gross and net amount histograms, each over its own range (A10)."""
-    return histogram(enriched, "gross_amount", bins, "gross").unionByName(
-        histogram(enriched, "net_amount", bins, "net")
-    )
+    return histograms(enriched, [("gross", "gross_amount"), ("net", "net_amount")], bins)
 
 
 def first_n(df: DataFrame, order_cols: Sequence[str], n: int, columns: Sequence[str] | None = None) -> DataFrame:

@@ -74,3 +74,11 @@ TRANSACTION_COLUMNS = [f.name for f in TRANSACTION.fields]
 # Timestamp text with microseconds and an explicit offset: lossless and
 # independent of the reading session's time zone.
 ISO_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def nullable(schema: StructType) -> StructType:
+    """Same fields, all nullable: what file reads make of any declared schema."""
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
+TRANSACTION_NULLABLE = nullable(TRANSACTION)

@@ -31,12 +31,12 @@ def status_from_event_type(event_type="event_type") -> Column:
 
 def with_dimensions(events: DataFrame) -> DataFrame:
     """Adds k and the categorical columns."""
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    return events.select(
+    # Parse props once; everything below refers to the k column.
+    with_k = events.select("*", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    return with_k.select(
         "*",
-        k.alias("k"),
         status_from_event_type().alias("status"),
-        S.weighted_pick(k, S.CATEGORY_WEIGHTS).alias("merchant_category"),
+        S.weighted_pick("k", S.CATEGORY_WEIGHTS).alias("merchant_category"),
         S.weighted_pick(S.hash_draw("event_id", S.CHANNEL_HASH, 100), S.CHANNEL_WEIGHTS).alias("channel"),
         S.weighted_pick(S.hash_draw("event_id", S.COUNTRY_HASH, 100), S.COUNTRY_WEIGHTS).alias("country"),
         S.pick_from_pool(F.col("user_id"), S.CURRENCIES).alias("currency"),
