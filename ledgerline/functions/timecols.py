@@ -1,16 +1,17 @@
 """Zone-free conversion between TIMESTAMP_NTZ wall clocks and TIMESTAMP instants.
 
 ``withWatermark`` only takes TIMESTAMP, while the stored tables are
-TIMESTAMP_NTZ. A plain cast would read the wall clock in the session zone, which
-shifts windows under a non-UTC session. Interval arithmetic against the epoch
-keeps the UTC reading whatever the session zone is.
+TIMESTAMP_NTZ. A plain cast reads the wall clock in the session zone, which
+shifts windows under a non-UTC session; interval arithmetic on TIMESTAMP adds
+days in the session's calendar, which is off by the DST shift in summer. Micro-
+second counts from the epoch are the same in every zone, so both directions go
+through them.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-_EPOCH_UTC = "TIMESTAMP'1970-01-01 00:00:00Z'"
 
 
 def _col(c) -> Column:
@@ -19,9 +20,9 @@ def _col(c) -> Column:
 
 def wallclock_to_instant(c) -> Column:
     """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP."""
-    return F.expr(_EPOCH_UTC) + (_col(c) - F.expr(_EPOCH_NTZ))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _col(c)))
 
 
 def instant_to_wallclock(c) -> Column:
     """TIMESTAMP -> its UTC wall clock as TIMESTAMP_NTZ."""
-    return F.expr(_EPOCH_NTZ) + (_col(c) - F.expr(_EPOCH_UTC))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(c)), F.expr(_EPOCH_NTZ))

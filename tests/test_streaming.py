@@ -1,0 +1,167 @@
+from __future__ import annotations
+
+import os
+import time
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators.enrich import enrich
+from ledgerline.operators.windows import closed_windows, windowed
+from ledgerline.params import JobParams
+from ledgerline.plans.registry import events_stream, transactions, wallclock
+from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, TRANSACTION, WINDOWED
+from ledgerline.sources.events import transactions_from_events
+from ledgerline.sources.readers import ndjson_stream, read_output, read_transactions
+from ledgerline.sources.sinks import land_ndjson
+from ledgerline.streaming.jobs import await_query, query_stats, run_stream, start_windowed, stream_metrics
+from tests.conftest import SF_SMALL
+
+
+def _same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stream_equals_batch_closed_form(spark, fresh_dir):
+    run = run_stream(
+        spark,
+        lambda: transactions_from_events(events_stream(spark, SF_SMALL)),
+        fresh_dir("out"),
+        fresh_dir("ckpt"),
+    )
+    e = enrich(transactions(spark, SF_SMALL))
+    assert _same(run.enriched(spark), e)
+    assert _same(run.windows(spark), closed_windows(e))
+    # the tail after the final watermark stays in state
+    assert run.windows(spark).count() < windowed(e, watermark=False).count()
+
+
+def test_rerun_adds_nothing_and_new_files_resume_state(spark, fresh_dir):
+    tx = transactions(spark, SF_SMALL)
+    landing, out, ckpt = fresh_dir("land"), fresh_dir("out"), fresh_dir("ckpt")
+    cut = datetime(2024, 1, 15)
+
+    def run():
+        await_query(start_windowed(spark.readStream.schema(tx.schema).parquet(landing), out, ckpt))
+
+    tx.filter(F.col("event_time") < F.lit(cut)).write.mode("append").parquet(landing)
+    run()
+    first = read_output(spark, out, WINDOWED).count()
+    run()
+    assert read_output(spark, out, WINDOWED).count() == first
+    tx.filter(F.col("event_time") >= F.lit(cut)).write.mode("append").parquet(landing)
+    run()
+    assert _same(read_output(spark, out, WINDOWED), closed_windows(enrich(tx)))
+
+
+def test_late_rows_are_dropped_by_watermark(spark, fresh_dir):
+    base = datetime(2026, 1, 15, 10, 0)
+    late = datetime(2026, 1, 15, 9, 0)  # 60 min behind the latest event: beyond the 30 min delay
+    landing, out, ckpt = fresh_dir("land"), fresh_dir("out"), fresh_dir("ckpt")
+
+    def rows(start, n, prefix):
+        return [
+            (f"{prefix}{i}", "u", 10.0, "USD", "SUCCESS", "grocery", "pos", "US", start + timedelta(minutes=i), 0.0)
+            for i in range(n)
+        ]
+
+    def run():
+        q = start_windowed(spark.readStream.schema(TRANSACTION).parquet(landing), out, ckpt)
+        await_query(q)
+        return q
+
+    spark.createDataFrame(rows(base, 60, "a"), TRANSACTION).write.mode("append").parquet(landing)
+    run()
+    spark.createDataFrame(rows(late, 5, "b"), TRANSACTION).write.mode("append").parquet(landing)
+    q = run()
+    got = read_output(spark, out, WINDOWED)
+    assert got.filter(F.col("window_start") < F.lit(base)).count() == 0
+    assert query_stats(q)["rows_dropped_by_watermark"] > 0
+
+
+def test_micro_batch_bound_and_ndjson_source(spark, fresh_dir):
+    landing, out, ckpt = fresh_dir("land"), fresh_dir("out"), fresh_dir("ckpt")
+    tx = transactions(spark, SF_SMALL)
+    land_ndjson(tx, landing, batch_size=125, partitions=4)
+    n_files = len([f for f in os.listdir(landing) if f.endswith(".json")])
+    assert n_files >= 8
+    params = JobParams(max_files_per_trigger=4)
+    src = lambda: read_transactions(spark, params, landing, source="file", timestamp_format=ISO_TIMESTAMP_FORMAT)
+    run = run_stream(spark, src, out, ckpt, params)
+    stats = run.stats()
+    assert stats["enriched"]["batches_with_data"] == -(-n_files // 4)
+    assert _same(run.enriched(spark), enrich(tx))
+
+
+def test_reference_style_naive_iso_files(spark, fresh_dir, tmp_path):
+    # producer files: compact JSON, naive ISO timestamps, read in a UTC session
+    lines = [
+        '{"transaction_id":"t1","user_id":"u1","amount":100.0,"currency":"USD","status":"SUCCESS",'
+        '"merchant_category":"grocery","channel":"mobile","country":"US","event_time":"2026-01-15T09:00:05","is_fraud":0.0}',
+        "this is not json",
+        '{"transaction_id":"t2","user_id":"u2","amount":50.0,"currency":"USD","status":"FAILED",'
+        '"merchant_category":"grocery","channel":"mobile","country":"US","event_time":"2026-01-15T09:00:06","is_fraud":0.0}',
+    ]
+    d = tmp_path / "stream"
+    d.mkdir()
+    (d / "transactions_00000.json").write_text("\n".join(lines) + "\n")
+    out, ckpt = fresh_dir("out"), fresh_dir("ckpt")
+    run = run_stream(spark, lambda: ndjson_stream(spark, str(d), TRANSACTION, 4), out, ckpt)
+    got = wallclock(run.enriched(spark)).collect()
+    assert [r.transaction_id for r in got] == ["t1"]
+    assert got[0].event_time == datetime(2026, 1, 15, 9, 0, 5)
+    full = spark.read.schema(TRANSACTION).json(str(d))
+    m = stream_metrics(spark, run, full).first()
+    assert m.source_events == 3 and m.rows_unparsed == 1 and m.enriched_events == 1 and m.filtered_count == 2
+
+
+def test_read_output_of_missing_dir_is_empty(spark, fresh_dir):
+    df = read_output(spark, fresh_dir("nothing"), ENRICHED)
+    assert df.count() == 0 and df.schema == ENRICHED
+
+
+def test_empty_input_gives_zero_metrics(spark, fresh_dir, tmp_path):
+    d = tmp_path / "empty"
+    d.mkdir()
+    run = run_stream(spark, lambda: ndjson_stream(spark, str(d), TRANSACTION, 4), fresh_dir("o"), fresh_dir("c"))
+    m = stream_metrics(spark, run, spark.createDataFrame([], TRANSACTION), with_duration=True).first()
+    assert m.enriched_events == 0 and m.window_count == 0 and m.source_events == 0
+    assert m.filtered_pct == 0.0 and m.flagged_rate == 0.0 and m.total_gross_value == 0.0
+
+
+def test_kafka_source_needs_connector(spark):
+    with pytest.raises(Exception) as exc:
+        read_transactions(spark, JobParams(), source="KAFKA").schema
+    assert "kafka" in str(exc.value).lower()
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    from ledgerline.plans.registry import QUERIES
+
+    keys = ["batch_windowed_5m", "enriched_summary", "legacy_decode_discount"]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    base = {k: sorted(map(tuple, QUERIES[k](spark, SF_SMALL).collect())) for k in keys}
+    try:
+        for zone in ["Asia/Kolkata", "America/New_York"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for k in keys:
+                assert sorted(map(tuple, QUERIES[k](spark, SF_SMALL).collect())) == base[k], (zone, k)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_zone_free_conversion_across_dst(spark):
+    from ledgerline.functions.timecols import instant_to_wallclock, wallclock_to_instant
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-04 12:34:56.123456' AS w")
+        r = df.select(
+            F.unix_micros(wallclock_to_instant("w")).alias("u"),
+            instant_to_wallclock(wallclock_to_instant("w")).alias("back"),
+        ).first()
+        assert r.u == 1720096496123456
+        assert r.back == datetime(2024, 7, 4, 12, 34, 56, 123456)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
