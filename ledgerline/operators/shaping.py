@@ -101,8 +101,11 @@ def weighted_pick(draw, weights: Sequence[tuple[str, int]]) -> Column:
         raise ValueError("weights must not be empty")
     table = [label for label, weight in weights for _ in range(int(weight))]
     last = F.lit(weights[-1][0])
-    idx = F.least(F.greatest(_col(draw), F.lit(0)), F.lit(len(table) - 1)) + F.lit(1)
-    return F.coalesce(F.element_at(F.array(*[F.lit(x) for x in table]), idx.cast("int")), last)
+    # A null draw is routed explicitly: greatest/least skip nulls, and the
+    # optimizer treats element_at on a literal array as never null.
+    d = _col(draw)
+    idx = F.least(F.greatest(d, F.lit(0)), F.lit(len(table) - 1)) + F.lit(1)
+    return F.when(d.isNull(), last).otherwise(F.element_at(F.array(*[F.lit(x) for x in table]), idx.cast("int")))
 
 
 def pick_from_pool(index, pool: Sequence[str]) -> Column:
