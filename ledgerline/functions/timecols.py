@@ -19,8 +19,14 @@ def _col(c) -> Column:
 
 
 def wallclock_to_instant(c) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _col(c)))
+    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP.
+
+    NTZ - NTZ is an exact day-time interval; as INTERVAL SECOND cast to
+    DECIMAL it is the epoch offset in seconds with microsecond fraction.
+    (timestampdiff would cast the NTZ value through the session zone first,
+    which moves wall clocks inside a DST gap by an hour.)"""
+    offset = (_col(c) - F.expr(_EPOCH_NTZ)).cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((offset * F.lit(1_000_000)).cast("long"))
 
 
 def instant_to_wallclock(c) -> Column:

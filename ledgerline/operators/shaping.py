@@ -168,14 +168,25 @@ def uplifted_amount(amount, key, is_fraud) -> Column:
     return F.when(_col(is_fraud) == F.lit(1.0), raised).otherwise(_col(amount))
 
 
+def zero_pad(idx, width: int) -> Column:
+    """Python's ``f"{idx:0{width}d}"``: zero-padded to ``width`` characters
+    (sign included), never truncated. lpad is used instead of format_string:
+    it is about three times cheaper per row."""
+    x = _col(idx)
+    digits = F.abs(x).cast("string")
+    pad_to = F.when(x < 0, F.lit(width - 1)).otherwise(F.lit(width))
+    padded = F.when(F.length(digits) >= pad_to, digits).otherwise(F.lpad(digits, pad_to, "0"))
+    return F.when(x < 0, F.concat(F.lit("-"), padded)).otherwise(padded)
+
+
 def transaction_id(idx, seed: int | None = None) -> Column:
-    """txn_{idx:07d} (or txn_{seed}_{idx:07d}); never truncates long ids."""
+    """txn_{idx:07d} (or txn_{seed}_{idx:07d}); null id -> null."""
     prefix = "txn_" if seed is None else f"txn_{int(seed)}_"
-    return F.when(_col(idx).isNotNull(), F.format_string(prefix + "%07d", _col(idx)))
+    return F.concat(F.lit(prefix), zero_pad(idx, 7))
 
 
 def user_id(idx) -> Column:
-    return F.when(_col(idx).isNotNull(), F.format_string("user_%05d", _col(idx)))
+    return F.concat(F.lit("user_"), zero_pad(idx, 5))
 
 
 # ---- frame-level helpers (each registered as its own query) ---------------

@@ -53,3 +53,10 @@ def test_weighted_pick_null_column_draw(spark):
     df = spark.createDataFrame([(None,), (5,), (99,), (1000,), (-7,)], "n int")
     got = [r[0] for r in df.select(S.weighted_pick("n", S.CHANNEL_WEIGHTS)).collect()]
     assert got == ["api", "mobile", "api", "api", "mobile"]
+
+
+def test_zero_pad_matches_python_format(spark):
+    vals = [0, 7, 1234567, 12345678, -5, -123456789, None]
+    df = spark.createDataFrame([(v,) for v in vals], "i bigint")
+    got = [r[0] for r in df.select(S.zero_pad("i", 7)).collect()]
+    assert got == [None if v is None else f"{v:07d}" for v in vals]

@@ -151,17 +151,29 @@ def test_results_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_zone_free_conversion_across_dst(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_zone_free_conversion_across_dst(spark, zone):
     from ledgerline.functions.timecols import instant_to_wallclock, wallclock_to_instant
 
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    # summer time, a DST gap (02:30 does not exist in New York that day),
+    # a DST overlap, and a pre-epoch instant
+    walls = [
+        datetime(2024, 7, 4, 12, 34, 56, 123456),
+        datetime(2024, 3, 10, 2, 30, 0, 500000),
+        datetime(2024, 11, 3, 1, 30, 0, 250000),
+        datetime(1969, 12, 31, 23, 59, 59, 999999),
+    ]
+    expected = [(w - datetime(1970, 1, 1)) // timedelta(microseconds=1) for w in walls]
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-04 12:34:56.123456' AS w")
-        r = df.select(
+        df = spark.createDataFrame([(w,) for w in walls], "w timestamp_ntz")
+        rows = df.select(
             F.unix_micros(wallclock_to_instant("w")).alias("u"),
             instant_to_wallclock(wallclock_to_instant("w")).alias("back"),
-        ).first()
-        assert r.u == 1720096496123456
-        assert r.back == datetime(2024, 7, 4, 12, 34, 56, 123456)
+            instant_to_wallclock(F.timestamp_micros(F.unix_micros(wallclock_to_instant("w")))).alias("back2"),
+        ).collect()
+        assert [r.u for r in rows] == expected
+        assert [r.back for r in rows] == walls
+        assert [r.back2 for r in rows] == walls
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
