@@ -177,3 +177,11 @@ def test_zone_free_conversion_across_dst(spark, zone):
         assert [r.back2 for r in rows] == walls
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_chained_windowed_query_equals_source_mode(spark, fresh_dir):
+    src = lambda: transactions_from_events(events_stream(spark, SF_SMALL))
+    a = run_stream(spark, src, fresh_dir("a"), fresh_dir("ca"))
+    b = run_stream(spark, src, fresh_dir("b"), fresh_dir("cb"), windowed_from="enriched")
+    assert _same(a.windows(spark), b.windows(spark))
+    assert _same(a.enriched(spark), b.enriched(spark))
