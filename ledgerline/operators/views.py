@@ -107,8 +107,8 @@ def histograms(df: DataFrame, columns: Sequence[tuple[str, str]], bins: int = 34
     lo == hi widens the range by 0.5 each side; null and NaN are skipped.
 
     ``columns`` is a list of (series name, column). Two passes over ``df``:
-    per-series bounds (at most len(columns) rows, broadcast by an equi-join on
-    the series name), then a grouped count per (series, bin), map-side
+    per-series bounds (at most len(columns) rows, checkpointed, broadcast by an
+    equi-join on the series name), then a grouped count per (series, bin), map-side
     combined, so each task ships at most len(columns) * bins rows. Every bin
     is returned; empty ones with count 0.
     """
@@ -136,6 +136,12 @@ def histograms(df: DataFrame, columns: Sequence[tuple[str, str]], bins: int = 34
         )
         .select("*", ((F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("step"))
     )
+    # One row per series, used twice (placement and the bin grid): checkpoint
+    # it once so the input is not scanned again for the grid.
+    from ledgerline.session import shared_root
+
+    shared_root(df.sparkSession)
+    bounds = bounds.checkpoint(eager=True)
     last = F.lit(bins - 1)
 
     def edge(i):
