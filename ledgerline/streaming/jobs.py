@@ -125,10 +125,25 @@ def run_stream(
 
 
 def stream_metrics(spark: SparkSession, run: StreamRun, full: DataFrame, with_duration: bool = False) -> DataFrame:
-    """C4 over the committed sink outputs (and the full source table)."""
-    return run_metrics(
+    """C4 over the committed sink outputs (and the full source table).
+
+    With ``with_duration`` the row also carries the wall time, throughput and
+    the streaming progress counts (data micro-batches per query, rows dropped
+    by the watermark)."""
+    from pyspark.sql import functions as F
+
+    out = run_metrics(
         full, run.enriched(spark), run.windows(spark), run.duration_seconds if with_duration else None
     )
+    if with_duration:
+        stats = run.stats()
+        out = out.select(
+            "*",
+            F.lit(stats["enriched"]["batches_with_data"]).alias("enriched_batches"),
+            F.lit(stats["windowed"]["batches_with_data"]).alias("windowed_batches"),
+            F.lit(stats["windowed"]["rows_dropped_by_watermark"]).alias("rows_dropped_by_watermark"),
+        )
+    return out
 
 
 def legacy_stream(raw: DataFrame, params: JobParams = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -65,3 +65,18 @@ def test_kafka_option_builders():
         "startingOffsets": "earliest",
     }
     assert kafka_sink_options(p, "out") == {"kafka.bootstrap.servers": "broker:9092", "topic": "out"}
+
+
+def test_command_line_run_and_rerun(spark, fresh_dir):
+    from ledgerline.__main__ import main
+
+    out = fresh_dir("cli")
+    args = ["--source", "events", "--input", f"{SF_SMALL}/events*.parquet", "--out", out,
+            "--full", f"{SF_SMALL}/events.parquet"]
+    first = main(args)
+    assert first["source_events"] == 1000 and first["enriched_events"] > 0
+    assert first["enriched_batches"] == 1 and first["rows_dropped_by_watermark"] == 0
+    again = main(args)
+    assert again["enriched_events"] == first["enriched_events"]
+    assert again["enriched_batches"] == 0
+    assert spark.read.json(f"{out}/metrics").count() == 2
