@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,14 +26,15 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from ledgerline.session import create_session
 
-    scratch = tempfile.mkdtemp(prefix="ledgerline-bench-")
+    from ledgerline.session import shared_root
+
     spark = create_session(
         "ledgerline-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
-        **{"spark.driver.memory": "8g", "spark.checkpoint.dir": f"{scratch}/checkpoints"},
+        **{"spark.driver.memory": "8g"},
     )
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+    shared_root(spark)  # the configured spark.checkpoint.dir, or a local one if unset
 
     from pyspark.sql import functions as F
 

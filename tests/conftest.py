@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,14 +14,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from ledgerline.session import create_session
 
-    scratch = tempfile.mkdtemp(prefix="ledgerline-tests-")
-    session = create_session(
-        "ledgerline-tests",
-        master="local[*]",
-        shuffle_partitions=8,
-        **{"spark.checkpoint.dir": f"{scratch}/checkpoints"},
-    )
-    session.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+    from ledgerline.session import shared_root
+
+    session = create_session("ledgerline-tests", master="local[*]", shuffle_partitions=8)
+    shared_root(session)  # sets a local checkpoint dir only when none is configured
     yield session
     session.stop()
 

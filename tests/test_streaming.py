@@ -185,3 +185,36 @@ def test_chained_windowed_query_equals_source_mode(spark, fresh_dir):
     b = run_stream(spark, src, fresh_dir("b"), fresh_dir("cb"), windowed_from="enriched")
     assert _same(a.windows(spark), b.windows(spark))
     assert _same(a.enriched(spark), b.enriched(spark))
+
+
+def test_late_rows_are_dropped_one_batch_late(tmp_path, spark, fresh_dir):
+    """Files arrive newest first, one per micro-batch. Batch 1 is already
+    behind the watermark set by batch 0 but is kept (late rows are filtered
+    with the previous batch's watermark); batch 2 is dropped entirely."""
+    import json as _json
+
+    d = tmp_path / "reverse"
+    d.mkdir()
+    starts = [datetime(2026, 1, 15, 12, 0), datetime(2026, 1, 15, 10, 0), datetime(2026, 1, 15, 9, 0)]
+    now = time.time()
+    for i, start in enumerate(starts):
+        f = d / f"part_{i}.json"
+        with f.open("w") as h:
+            for m in range(30):
+                rec = {
+                    "transaction_id": f"f{i}_{m}", "user_id": "u", "amount": 10.0, "currency": "USD",
+                    "status": "SUCCESS", "merchant_category": "grocery", "channel": "pos", "country": "US",
+                    "event_time": (start + timedelta(minutes=2 * m)).strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z",
+                    "is_fraud": 0.0,
+                }
+                h.write(_json.dumps(rec) + "\n")
+        os.utime(f, (now - 100 + 10 * i, now - 100 + 10 * i))
+    out, ckpt = fresh_dir("out"), fresh_dir("ckpt")
+    src = ndjson_stream(spark, str(d), TRANSACTION, max_files_per_trigger=1, timestamp_format=ISO_TIMESTAMP_FORMAT)
+    q = start_windowed(src, out, ckpt)
+    await_query(q)
+    got = wallclock(read_output(spark, out, WINDOWED))
+    hours = {r.window_start.hour for r in got.collect()}
+    assert 10 in hours  # second file: behind the watermark, still aggregated
+    assert 9 not in hours  # third file: dropped
+    assert query_stats(q)["rows_dropped_by_watermark"] > 0
