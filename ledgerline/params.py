@@ -24,8 +24,11 @@ class JobParams:
 
     ``discount_rules`` may be empty: every category then gets rate 0.0.
     ``max_files_per_trigger`` bounds a file-source micro-batch (None: no bound).
-    ``shuffle_partitions`` is fixed into a stateful query's checkpoint at its
-    first start, so choose it for the final data size before the first run.
+    ``state_partitions``: shuffle partitions of the stateful window query
+    (None: the session's setting capped at ``STATE_PARTITIONS_CAP``). Its keys
+    are the open windows (about delay/duration + 1), not the rows, so more
+    partitions than that only add per-batch state-store commits. The number is
+    fixed into the query's checkpoint at its first start.
     """
 
     window_duration: str = "5 minutes"
@@ -45,10 +48,12 @@ class JobParams:
     kafka_bootstrap: str = "localhost:9092"
     kafka_topic: str = "transactions"
     starting_offsets: str = "earliest"
-    shuffle_partitions: int | None = None
+    state_partitions: int | None = None
 
     def with_(self, **changes) -> "JobParams":
         return replace(self, **changes)
 
 
+STATE_PARTITIONS_CAP = 32
+
 DEFAULT_PARAMS = JobParams()

@@ -17,7 +17,7 @@ from ledgerline.operators.enrich import enrich
 from ledgerline.operators.legacy import legacy
 from ledgerline.operators.summary import run_metrics
 from ledgerline.operators.windows import windowed
-from ledgerline.params import DEFAULT_PARAMS, JobParams
+from ledgerline.params import DEFAULT_PARAMS, STATE_PARTITIONS_CAP, JobParams
 from ledgerline.schemas import ENRICHED, WINDOWED
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import read_output
@@ -73,9 +73,29 @@ def start_enriched(source: DataFrame, path: str, checkpoint: str, params: JobPar
     return start_parquet_sink(enrich(source, params), path, checkpoint, available_now)
 
 
+def state_partitions(spark: SparkSession, params: JobParams) -> int:
+    if params.state_partitions:
+        return int(params.state_partitions)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTITIONS_CAP)
+
+
+def start_windows_query(windows: DataFrame, path: str, checkpoint: str, params: JobParams, available_now: bool = True) -> StreamingQuery:
+    """Start a stateful window query with ``state_partitions`` shuffle
+    partitions. The query clones the session conf when it starts, so the
+    setting applies to this query only and is restored right after."""
+    spark = windows.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions(spark, params)))
+    try:
+        return start_parquet_sink(windows, path, checkpoint, available_now)
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_windowed(source: DataFrame, path: str, checkpoint: str, params: JobParams = DEFAULT_PARAMS, available_now: bool = True) -> StreamingQuery:
     """K2: watermarked window aggregates -> Parquet (append: closed windows)."""
-    return start_parquet_sink(windowed(enrich(source, params), params), path, checkpoint, available_now)
+    return start_windows_query(windowed(enrich(source, params), params), path, checkpoint, params, available_now)
 
 
 def run_stream(
@@ -105,8 +125,8 @@ def run_stream(
         if available_now:
             await_query(q1)
         chained = spark.readStream.schema(ENRICHED).parquet(enriched_path)
-        q2 = start_parquet_sink(
-            windowed(chained, params), windowed_path, f"{checkpoint_root}/windowed", available_now
+        q2 = start_windows_query(
+            windowed(chained, params), windowed_path, f"{checkpoint_root}/windowed", params, available_now
         )
     elif windowed_from == "source":
         if not concurrent:

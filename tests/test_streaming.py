@@ -218,3 +218,16 @@ def test_late_rows_are_dropped_one_batch_late(tmp_path, spark, fresh_dir):
     assert 10 in hours  # second file: behind the watermark, still aggregated
     assert 9 not in hours  # third file: dropped
     assert query_stats(q)["rows_dropped_by_watermark"] > 0
+
+
+def test_state_partitions_apply_to_the_window_query_only(spark, fresh_dir):
+    from ledgerline.streaming.jobs import state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src = transactions_from_events(events_stream(spark, SF_SMALL))
+    q = start_windowed(src, fresh_dir("o"), fresh_dir("c"), JobParams(state_partitions=3))
+    await_query(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [op for p in q.recentProgress for op in (p.get("stateOperators") or [])]
+    assert ops and all(op["numShufflePartitions"] == 3 for op in ops)
+    assert state_partitions(spark, JobParams()) == min(int(before), 32)
