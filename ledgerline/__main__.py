@@ -4,7 +4,8 @@
 
 Writes enriched and windowed Parquet under ``--out``, checkpoints under
 ``--checkpoints`` (default ``<out>/_checkpoints``), appends one metrics row
-(JSON) under ``<out>/metrics`` and prints it. A rerun with the same folders
+(JSON) under ``<out>/metrics`` and prints it; with ``--report`` also the
+chart/report datasets under ``<out>/report``. A rerun with the same folders
 processes only new input.
 """
 
@@ -34,6 +35,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--continuous", action="store_true", help="default trigger; wait for any query to stop")
     p.add_argument("--kafka-bootstrap", default="localhost:9092")
     p.add_argument("--kafka-topic", default="transactions")
+    p.add_argument("--report", action="store_true", help="also write the report datasets under <out>/report")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -79,6 +81,12 @@ def main(argv=None) -> dict:
         full = run.enriched(spark)  # no full copy: count what was enriched
     metrics = stream_metrics(spark, run, full, with_duration=True)
     append_metrics(metrics, f"{args.out.rstrip('/')}/metrics", uuid.uuid4().hex)
+    if args.report:
+        from ledgerline.operators.views import report_datasets, write_report_datasets
+
+        write_report_datasets(
+            report_datasets(run.enriched(spark), run.windows(spark), full, params), f"{args.out.rstrip('/')}/report"
+        )
     row = metrics.first().asDict()
     print(json.dumps(row, default=str))
     return row

@@ -198,3 +198,32 @@ def sample_enriched(enriched: DataFrame, n: int = 8) -> DataFrame:
 def sample_windows(windows: DataFrame, n: int = 12) -> DataFrame:
     """First n windows by start (T4)."""
     return first_n(windows, ["window_start"], n)
+
+
+def report_datasets(
+    enriched: DataFrame, windows: DataFrame, full: DataFrame, params: JobParams = DEFAULT_PARAMS
+) -> dict[str, DataFrame]:
+    """The data behind every chart and report table (C6), as DataFrames."""
+    from ledgerline.operators.windows import alerts
+
+    return {
+        "throughput_series": throughput_series(windows),
+        "flag_rate_series": flag_rate_series(windows, params),
+        "alert_windows": alerts(windows, params),
+        "status_breakdown": status_breakdown(full, enriched),
+        "net_value_by_category": net_value_by_category(enriched),
+        "amount_histogram": amount_histogram(enriched, params.histogram_bins),
+        "flag_rate_by_channel": flag_rate_by_channel(enriched, params),
+        "sample_enriched": sample_enriched(enriched, 8),
+        "sample_windows": sample_windows(windows, 12),
+    }
+
+
+def write_report_datasets(datasets: dict[str, DataFrame], root: str) -> list[str]:
+    """Write each dataset as Parquet under ``root/<name>`` (overwrite)."""
+    paths = []
+    for name, df in datasets.items():
+        path = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths.append(path)
+    return paths

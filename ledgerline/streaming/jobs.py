@@ -57,6 +57,11 @@ class StreamRun:
     windowed_path: str
     duration_seconds: float
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
+    started: float = 0.0
+
+    def stop(self) -> None:
+        for q in self.queries.values():
+            q.stop()
 
     def stats(self) -> dict:
         return {name: query_stats(q) for name, q in self.queries.items()}
@@ -98,7 +103,13 @@ def start_windowed(source: DataFrame, path: str, checkpoint: str, params: JobPar
     return start_windows_query(windowed(enrich(source, params), params), path, checkpoint, params, available_now)
 
 
-def run_stream(
+def _ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on its file system (local, HDFS, object store)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+
+
+def start_stream(
     spark: SparkSession,
     source: Callable[[], DataFrame],
     out_root: str,
@@ -108,40 +119,64 @@ def run_stream(
     available_now: bool = True,
     windowed_from: str = "enriched",
 ) -> StreamRun:
-    """Enriched and windowed sinks.
-
-    ``windowed_from='source'``: each query reads the source on its own (as in
-    the reference); with ``concurrent`` both run at once, else one after the
-    other. ``windowed_from='enriched'``: the windowed query streams the
-    committed enriched output instead, so the raw source is read and enriched
-    once; under availableNow it starts when the enriched query has drained.
-    The watermark still sees only successful rows, so results are the same.
-    Reruns with the same roots resume from the checkpoints and add only new
-    input (W9)."""
+    """Start the enriched and windowed sinks (C3, W10) and return at once
+    (under availableNow a query the other depends on is awaited first).
+
+    ``windowed_from='enriched'`` (default): the windowed query streams the
+    committed enriched output, so the raw source is read and enriched once;
+    under availableNow it starts when the enriched query has drained, in
+    continuous mode it tails the enriched output. The watermark still sees
+    only successful rows, so results are the same as
+    ``windowed_from='source'``, where each query reads the source on its own
+    (as in the reference) and, with ``concurrent``, both run at once.
+    Restarting with the same roots resumes from the checkpoints (W9)."""
     started = time.perf_counter()
     enriched_path, windowed_path = f"{out_root}/enriched", f"{out_root}/windowed"
     q1 = start_enriched(source(), enriched_path, f"{checkpoint_root}/enriched", params, available_now)
     if windowed_from == "enriched":
         if available_now:
             await_query(q1)
+        else:
+            _ensure_dir(spark, enriched_path)
         chained = spark.readStream.schema(ENRICHED).parquet(enriched_path)
         q2 = start_windows_query(
             windowed(chained, params), windowed_path, f"{checkpoint_root}/windowed", params, available_now
         )
     elif windowed_from == "source":
-        if not concurrent:
+        if available_now and not concurrent:
             await_query(q1)
         q2 = start_windowed(source(), windowed_path, f"{checkpoint_root}/windowed", params, available_now)
     else:
         raise ValueError(f"windowed_from must be 'source' or 'enriched', not {windowed_from!r}")
-    await_query(q1)
-    await_query(q2)
-    return StreamRun(
-        enriched_path,
-        windowed_path,
-        time.perf_counter() - started,
-        {"enriched": q1, "windowed": q2},
-    )
+    run = StreamRun(enriched_path, windowed_path, 0.0, {"enriched": q1, "windowed": q2})
+    run.started = started
+    return run
+
+
+def run_stream(
+    spark: SparkSession,
+    source: Callable[[], DataFrame],
+    out_root: str,
+    checkpoint_root: str,
+    params: JobParams = DEFAULT_PARAMS,
+    concurrent: bool = True,
+    available_now: bool = True,
+    windowed_from: str = "enriched",
+) -> StreamRun:
+    """``start_stream`` then wait: availableNow waits for both queries to
+    drain; continuous mode waits until any query stops (W8). A failure of
+    either query is re-raised (W7)."""
+    run = start_stream(spark, source, out_root, checkpoint_root, params, concurrent, available_now, windowed_from)
+    if available_now:
+        for q in run.queries.values():
+            await_query(q)
+    else:
+        await_any(spark, forget_finished=True)
+        for q in run.queries.values():
+            if q.exception() is not None:
+                raise q.exception()
+    run.duration_seconds = time.perf_counter() - run.started
+    return run
 
 
 def stream_metrics(spark: SparkSession, run: StreamRun, full: DataFrame, with_duration: bool = False) -> DataFrame:

@@ -72,7 +72,7 @@ def test_command_line_run_and_rerun(spark, fresh_dir):
 
     out = fresh_dir("cli")
     args = ["--source", "events", "--input", f"{SF_SMALL}/events*.parquet", "--out", out,
-            "--full", f"{SF_SMALL}/events.parquet"]
+            "--full", f"{SF_SMALL}/events.parquet", "--report"]
     first = main(args)
     assert first["source_events"] == 1000 and first["enriched_events"] > 0
     assert first["enriched_batches"] == 1 and first["rows_dropped_by_watermark"] == 0
@@ -80,3 +80,5 @@ def test_command_line_run_and_rerun(spark, fresh_dir):
     assert again["enriched_events"] == first["enriched_events"]
     assert again["enriched_batches"] == 0
     assert spark.read.json(f"{out}/metrics").count() == 2
+    assert spark.read.parquet(f"{out}/report/status_breakdown").count() == 3
+    assert spark.read.parquet(f"{out}/report/amount_histogram").count() == 68
