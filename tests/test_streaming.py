@@ -251,3 +251,19 @@ def test_continuous_chained_mode_tails_the_enriched_output(spark, fresh_dir):
         assert 0 < run.windows(spark).count() <= closed_windows(enrich(tx)).count()
     finally:
         run.stop()
+
+
+def test_ndjson_landing_file_sizes_and_order(spark, fresh_dir):
+    import json as _json
+
+    landing = fresh_dir("land")
+    land_ndjson(transactions(spark, SF_SMALL), landing, batch_size=50, partitions=4)
+    files = sorted(f for f in os.listdir(landing) if f.endswith(".json"))
+    times, sizes = [], []
+    for f in files:
+        lines = open(os.path.join(landing, f)).read().splitlines()
+        sizes.append(len(lines))
+        times += [_json.loads(line)["event_time"] for line in lines]
+    assert sum(sizes) == 1000 and max(sizes) <= 50
+    assert times == sorted(times)  # ISO text with a fixed offset sorts as time
+    assert all(t.endswith("Z") and len(t) == len("2024-01-01T00:00:00.000000Z") for t in times)
