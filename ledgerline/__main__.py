@@ -43,7 +43,6 @@ def parse(argv=None) -> argparse.Namespace:
 def main(argv=None) -> dict:
     args = parse(argv)
     from ledgerline.plans.registry import EVENTS_SCHEMA
-    from ledgerline.schemas import TRANSACTION
     from ledgerline.session import create_session
     from ledgerline.sources.events import transactions_from_events
     from ledgerline.sources.readers import parquet_stream, read_transactions
@@ -60,14 +59,12 @@ def main(argv=None) -> dict:
         kafka_bootstrap=args.kafka_bootstrap,
         kafka_topic=args.kafka_topic,
     )
-    if args.source == "table":
-        source = lambda: parquet_stream(spark, args.input, TRANSACTION, args.max_files_per_trigger)
-    elif args.source == "events":
+    if args.source == "events":
         source = lambda: transactions_from_events(
             parquet_stream(spark, args.input, EVENTS_SCHEMA, args.max_files_per_trigger)
         )
     else:
-        source = lambda: read_transactions(spark, params, args.input)
+        source = lambda: read_transactions(spark, params, args.input, source=args.source)
     checkpoints = args.checkpoints or f"{args.out.rstrip('/')}/_checkpoints"
     run = run_stream(
         spark, source, args.out, checkpoints, params,

@@ -213,3 +213,10 @@ def with_uplift(df: DataFrame, key="event_id") -> DataFrame:
     return df.withColumn("uplift_factor", uplift_factor(key)).withColumn(
         "amount", uplifted_amount("amount", key, "is_fraud")
     )
+
+
+# Names of the planned API (same functions).
+shape_amounts = with_amounts
+risk_probability = with_risk_probability
+assign_labels = with_labels
+uplift = with_uplift

@@ -190,9 +190,13 @@ def first_n(df: DataFrame, order_cols: Sequence[str], n: int, columns: Sequence[
     return out.select(*columns) if columns else out
 
 
-def sample_enriched(enriched: DataFrame, n: int = 8) -> DataFrame:
-    """First n enriched events by event time; transaction id breaks ties."""
-    return first_n(enriched, ["event_time", "transaction_id"], n, SAMPLE_ENRICHED_COLUMNS)
+def sample_enriched(enriched: DataFrame, n: int = 8, with_user: bool = False) -> DataFrame:
+    """First n enriched events by event time; transaction id breaks ties.
+    ``with_user`` gives the 10-column display variant (adds user_id)."""
+    cols = list(SAMPLE_ENRICHED_COLUMNS)
+    if with_user:
+        cols.insert(1, "user_id")
+    return first_n(enriched, ["event_time", "transaction_id"], n, cols)
 
 
 def sample_windows(windows: DataFrame, n: int = 12) -> DataFrame:

@@ -63,12 +63,17 @@ def read_transactions(
     source: str | None = None,
     timestamp_format: str | None = None,
 ) -> DataFrame:
-    """Source switch: 'kafka' (case-insensitive) -> Kafka; anything else ->
-    the NDJSON directory at ``path``. The choice is an explicit argument with
+    """Source switch: 'kafka' (case-insensitive) -> Kafka; 'table' -> the
+    Parquet transaction table at ``path`` as a stream; anything else -> the
+    NDJSON directory at ``path``. The choice is an explicit argument with
     ``params.source`` as its default."""
     kind = (source or params.source or "file").lower()
     if kind == "kafka":
         return kafka_stream(spark, params)
+    if kind == "table":
+        if path is None:
+            raise ValueError("table source needs a path")
+        return parquet_stream(spark, path, TRANSACTION, params.max_files_per_trigger)
     if path is None:
         raise ValueError("file source needs a path")
     return ndjson_stream(spark, path, TRANSACTION, params.max_files_per_trigger, timestamp_format)

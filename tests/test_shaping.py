@@ -60,3 +60,28 @@ def test_zero_pad_matches_python_format(spark):
     df = spark.createDataFrame([(v,) for v in vals], "i bigint")
     got = [r[0] for r in df.select(S.zero_pad("i", 7)).collect()]
     assert got == [None if v is None else f"{v:07d}" for v in vals]
+
+
+def test_frame_helpers_compose_to_the_adapter(spark):
+    from ledgerline.sources.events import base_amount, keyed_transactions, with_dimensions
+
+    ev = events(spark, SF_SMALL)
+    dims = with_dimensions(ev).withColumn("base_amount", base_amount())
+    shaped = S.assign_labels(S.risk_probability(S.shape_amounts(dims)))
+    raised = S.uplift(shaped)
+    ref = keyed_transactions(ev).select("event_id", "amount", "is_fraud")
+    got = shaped.select("event_id", "amount", "is_fraud")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    assert raised.filter(F.col("is_fraud") == 0.0).join(ref, ["event_id", "amount"]).count() == ref.filter(
+        F.col("is_fraud") == 0.0
+    ).count()
+
+
+def test_table_source_switch(spark, fresh_dir):
+    from ledgerline.params import JobParams
+    from ledgerline.sources.readers import read_transactions
+
+    path = fresh_dir("tx")
+    transactions(spark, SF_SMALL).write.parquet(path)
+    df = read_transactions(spark, JobParams(), path, source="TABLE")
+    assert df.isStreaming and df.columns == transactions(spark, SF_SMALL).columns
