@@ -37,7 +37,6 @@ def main() -> None:
     )
     shared_root(spark)  # the configured spark.checkpoint.dir, or a local one if unset
 
-    from pyspark.sql import functions as F
 
     from ledgerline.params import DEFAULT_PARAMS
     from ledgerline.plans import registry as R

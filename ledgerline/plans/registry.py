@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from ledgerline.functions.scoring import discount_rate
 from ledgerline.functions.timecols import instant_to_wallclock
 from ledgerline.operators import shaping as S
 from ledgerline.operators.enrich import enrich, enrich_with_rules, flagged, rules_frame, score_components
@@ -30,15 +31,13 @@ from ledgerline.operators.views import (
     throughput_series,
 )
 from ledgerline.operators.windows import alerts, closed_windows, windowed
-from ledgerline.functions.scoring import discount_rate
 from ledgerline.params import DEFAULT_PARAMS, JobParams
-from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, TRANSACTION, WINDOWED
+from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, LEGACY_TRANSACTION, TRANSACTION, WINDOWED
 from ledgerline.session import work_path
 from ledgerline.sources.events import base_amount, keyed_transactions, transactions_from_events, with_dimensions
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_ndjson, read_output
-from ledgerline.sources.sinks import land_ndjson, start_parquet_sink, write_full_copy
-from ledgerline.schemas import LEGACY_TRANSACTION
+from ledgerline.sources.sinks import land_ndjson, write_full_copy
 from ledgerline.streaming.jobs import await_query, run_stream, start_enriched, start_windowed, stream_metrics
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"

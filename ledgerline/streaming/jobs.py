@@ -18,11 +18,10 @@ from ledgerline.operators.legacy import legacy
 from ledgerline.operators.summary import run_metrics
 from ledgerline.operators.windows import windowed
 from ledgerline.params import DEFAULT_PARAMS, STATE_PARTITIONS_CAP, JobParams
-from ledgerline.schemas import ENRICHED, WINDOWED
+from ledgerline.schemas import ENRICHED, LEGACY_TRANSACTION, WINDOWED
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import read_output
 from ledgerline.sources.sinks import start_debug_sink, start_kafka_sink, start_parquet_sink
-from ledgerline.schemas import LEGACY_TRANSACTION
 
 
 def await_query(query: StreamingQuery) -> None:

@@ -5,7 +5,6 @@ from datetime import datetime
 from itertools import product
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.operators.enrich import enrich, enrich_with_rules, rules_frame, score_components
 from ledgerline.params import JobParams

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
