@@ -170,8 +170,14 @@ def run_stream(
         for q in run.queries.values():
             await_query(q)
     else:
-        await_any(spark, forget_finished=True)
-        for q in run.queries.values():
+        queries = list(run.queries.values())
+        # Wait for the first of *these* queries to stop (others in the session
+        # do not count); awaitTermination re-raises a failure.
+        while all(q.isActive for q in queries):
+            for q in queries:
+                if q.awaitTermination(1):
+                    break
+        for q in queries:
             if q.exception() is not None:
                 raise q.exception()
     run.duration_seconds = time.perf_counter() - run.started

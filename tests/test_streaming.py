@@ -267,3 +267,41 @@ def test_ndjson_landing_file_sizes_and_order(spark, fresh_dir):
     assert sum(sizes) == 1000 and max(sizes) <= 50
     assert times == sorted(times)  # ISO text with a fixed offset sorts as time
     assert all(t.endswith("Z") and len(t) == len("2024-01-01T00:00:00.000000Z") for t in times)
+
+
+def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
+    import threading
+
+    landing = fresh_dir("land")
+    tx = transactions(spark, SF_SMALL)
+    tx.write.parquet(landing)
+    box = {}
+
+    def stopper():
+        time.sleep(15)
+        for q in spark.streams.active:
+            if q.name is None and q.id in box.get("ids", set()):
+                q.stop()
+
+    from ledgerline.streaming import jobs
+
+    real_start = jobs.start_stream
+
+    def spy(*a, **k):
+        run = real_start(*a, **k)
+        box["ids"] = {q.id for q in run.queries.values()}
+        return run
+
+    jobs.start_stream = spy
+    try:
+        threading.Thread(target=stopper, daemon=True).start()
+        run = jobs.run_stream(
+            spark, lambda: spark.readStream.schema(tx.schema).parquet(landing), fresh_dir("o"), fresh_dir("c"),
+            available_now=False,
+        )
+    finally:
+        jobs.start_stream = real_start
+        for q in spark.streams.active:
+            if q.id in box.get("ids", set()):
+                q.stop()
+    assert run.enriched(spark).count() == enrich(tx).count()
