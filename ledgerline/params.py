@@ -29,6 +29,8 @@ class JobParams:
     are the open windows (about delay/duration + 1), not the rows, so more
     partitions than that only add per-batch state-store commits. The number is
     fixed into the query's checkpoint at its first start.
+    ``partition_enriched_by_date`` writes the enriched sink partitioned by
+    ``event_date`` (UTC date of the event) so date-bounded readers prune files.
     """
 
     window_duration: str = "5 minutes"
@@ -49,6 +51,7 @@ class JobParams:
     kafka_topic: str = "transactions"
     starting_offsets: str = "earliest"
     state_partitions: int | None = None
+    partition_enriched_by_date: bool = False
 
     def with_(self, **changes) -> "JobParams":
         return replace(self, **changes)

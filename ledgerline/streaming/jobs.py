@@ -73,8 +73,16 @@ class StreamRun:
 
 
 def start_enriched(source: DataFrame, path: str, checkpoint: str, params: JobParams = DEFAULT_PARAMS, available_now: bool = True) -> StreamingQuery:
-    """K1: enriched events -> Parquet."""
-    return start_parquet_sink(enrich(source, params), path, checkpoint, available_now)
+    """K1: enriched events -> Parquet (optionally partitioned by event date)."""
+    out = enrich(source, params)
+    if params.partition_enriched_by_date:
+        from pyspark.sql import functions as F
+
+        from ledgerline.functions.timecols import instant_to_wallclock
+
+        out = out.withColumn("event_date", F.to_date(instant_to_wallclock("event_time")))
+        return start_parquet_sink(out, path, checkpoint, available_now, partition_by=["event_date"])
+    return start_parquet_sink(out, path, checkpoint, available_now)
 
 
 def state_partitions(spark: SparkSession, params: JobParams) -> int:
@@ -137,7 +145,7 @@ def start_stream(
             await_query(q1)
         else:
             _ensure_dir(spark, enriched_path)
-        chained = spark.readStream.schema(ENRICHED).parquet(enriched_path)
+        chained = spark.readStream.schema(ENRICHED).parquet(enriched_path).select(*ENRICHED.fieldNames())
         q2 = start_windows_query(
             windowed(chained, params), windowed_path, f"{checkpoint_root}/windowed", params, available_now
         )

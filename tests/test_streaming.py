@@ -305,3 +305,21 @@ def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
             if q.id in box.get("ids", set()):
                 q.stop()
     assert run.enriched(spark).count() == enrich(tx).count()
+
+
+def test_date_partitioned_enriched_sink_prunes_and_matches(spark, fresh_dir):
+    from ledgerline.schemas import ENRICHED_COLUMNS
+
+    src = lambda: transactions_from_events(events_stream(spark, SF_SMALL))
+    plain = run_stream(spark, src, fresh_dir("a"), fresh_dir("ca"))
+    parted = run_stream(spark, src, fresh_dir("b"), fresh_dir("cb"), JobParams(partition_enriched_by_date=True))
+    e = parted.enriched(spark)
+    assert "event_date" in e.columns
+    assert _same(e.select(*ENRICHED_COLUMNS), plain.enriched(spark))
+    assert _same(parted.windows(spark), plain.windows(spark))
+    day = e.filter(F.col("event_date") == F.lit("2024-01-05").cast("date"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert day.count() == wallclock(plain.enriched(spark)).filter(
+        F.to_date("event_time") == F.lit("2024-01-05").cast("date")
+    ).count()
