@@ -105,7 +105,14 @@ def weighted_pick(draw, weights: Sequence[tuple[str, int]]) -> Column:
     # optimizer treats element_at on a literal array as never null.
     d = _col(draw)
     idx = F.least(F.greatest(d, F.lit(0)), F.lit(len(table) - 1)) + F.lit(1)
-    return F.when(d.isNull(), last).otherwise(F.element_at(F.array(*[F.lit(x) for x in table]), idx.cast("int")))
+    return F.when(d.isNull(), last).otherwise(F.element_at(string_array(table), idx.cast("int")))
+
+
+def string_array(values: Sequence[str]) -> Column:
+    """Literal ARRAY<STRING> built by one SQL parse (one JVM call instead of
+    one per element when the array is assembled from ``F.lit`` columns)."""
+    quoted = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"array({quoted})")
 
 
 def pick_from_pool(index, pool: Sequence[str]) -> Column:
