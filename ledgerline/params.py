@@ -50,6 +50,7 @@ class JobParams:
     kafka_bootstrap: str = "localhost:9092"
     kafka_topic: str = "transactions"
     starting_offsets: str = "earliest"
+    max_offsets_per_trigger: int | None = None
     state_partitions: int | None = None
     partition_enriched_by_date: bool = False
 

@@ -15,11 +15,16 @@ from ledgerline.sources.payload import decode_json_payload
 
 
 def kafka_source_options(params: JobParams = DEFAULT_PARAMS) -> dict[str, str]:
-    return {
+    """Reader options; ``max_offsets_per_trigger`` bounds a micro-batch (the
+    Kafka counterpart of ``maxFilesPerTrigger``)."""
+    opts = {
         "kafka.bootstrap.servers": params.kafka_bootstrap,
         "subscribe": params.kafka_topic,
         "startingOffsets": params.starting_offsets,
     }
+    if params.max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(params.max_offsets_per_trigger))
+    return opts
 
 
 def ndjson_stream(

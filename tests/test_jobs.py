@@ -63,6 +63,8 @@ def test_kafka_option_builders():
         "startingOffsets": "earliest",
     }
     assert kafka_sink_options(p, "out") == {"kafka.bootstrap.servers": "broker:9092", "topic": "out"}
+    bounded = kafka_source_options(JobParams(max_offsets_per_trigger=1_000_000))
+    assert bounded["maxOffsetsPerTrigger"] == "1000000"
 
 
 def test_command_line_run_and_rerun(spark, fresh_dir):
