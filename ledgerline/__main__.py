@@ -20,10 +20,13 @@ from ledgerline.params import JobParams
 
 def parse(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="ledgerline")
+    p.add_argument("--job", default="pipeline", choices=["pipeline", "legacy"],
+                   help="pipeline: enrichment + windows; legacy: the older Kafka job (flat 10%% discount)")
+    p.add_argument("--output-topic", default="output-topic", help="legacy job: Kafka topic for the JSON records")
     p.add_argument("--input", help="NDJSON directory (file source) or Parquet table (table source)")
     p.add_argument("--source", default="file", choices=["file", "kafka", "table", "events"],
                    help="file: NDJSON stream; kafka: topic; table: Parquet transactions; events: driver events table")
-    p.add_argument("--out", required=True)
+    p.add_argument("--out", required=True, help="output root (legacy job offline: JSON records as Parquet)")
     p.add_argument("--checkpoints")
     p.add_argument("--full", help="full batch copy of the input, for source counts and status breakdown")
     p.add_argument("--window", default="5 minutes")
@@ -40,8 +43,42 @@ def parse(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
+def legacy_main(args) -> dict:
+    """Older Kafka job: Kafka -> decode -> SUCCESS only -> +discounted_amount ->
+    console + JSON records to Kafka. Offline (``--source file``): each line of
+    the files under ``--input`` is one record payload, and the records go to
+    Parquet under ``--out``."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.session import create_session
+    from ledgerline.streaming.jobs import await_query, start_legacy_job
+
+    spark = create_session(master=args.master) if args.master else create_session()
+    params = JobParams(kafka_bootstrap=args.kafka_bootstrap, kafka_topic=args.kafka_topic)
+    checkpoints = args.checkpoints or f"{args.out.rstrip('/')}/_checkpoints"
+    if args.source == "kafka":
+        from ledgerline.sources.readers import kafka_source_options
+
+        raw = spark.readStream.format("kafka").options(**kafka_source_options(params)).load()
+        queries = start_legacy_job(raw, checkpoints, params, topic=args.output_topic)
+        spark.streams.awaitAnyTermination()
+        return {}
+    raw = spark.readStream.text(args.input).select(F.col("value"))
+    queries = start_legacy_job(
+        raw, checkpoints, params, sink="parquet", out_path=f"{args.out.rstrip('/')}/records",
+        available_now=not args.continuous,
+    )
+    for q in queries:
+        await_query(q)
+    written = spark.read.parquet(f"{args.out.rstrip('/')}/records").count()
+    print(json.dumps({"records_written": written}))
+    return {"records_written": written}
+
+
 def main(argv=None) -> dict:
     args = parse(argv)
+    if args.job == "legacy":
+        return legacy_main(args)
     from ledgerline.plans.registry import EVENTS_SCHEMA
     from ledgerline.session import create_session
     from ledgerline.sources.events import transactions_from_events

@@ -228,20 +228,29 @@ def start_legacy_job(
     debug_format: str = "console",
     sink: str = "kafka",
     out_path: str | None = None,
+    available_now: bool = False,
+    topic: str | None = None,
 ) -> list[StreamingQuery]:
     """Debug sinks for input and output, plus the JSON sink.
 
-    ``sink='kafka'`` writes to the topic; ``sink='parquet'`` writes the JSON
-    records to ``out_path`` (used where no broker exists)."""
+    ``sink='kafka'`` writes the JSON records to ``topic``; ``sink='parquet'``
+    writes them to ``out_path`` (used where no broker exists). Debug sinks
+    have no checkpoint, as in the reference; the JSON sink has its own."""
     decoded, transformed, encoded = legacy_stream(raw, params)
-    queries = [
-        start_debug_sink(decoded, debug_format, "legacy_input" if debug_format == "memory" else None),
-        start_debug_sink(transformed, debug_format, "legacy_output" if debug_format == "memory" else None),
-    ]
+
+    def debug(df, name):
+        w = df.writeStream.format(debug_format).outputMode("append")
+        if debug_format == "memory":
+            w = w.queryName(name)
+        if available_now:
+            w = w.trigger(availableNow=True)
+        return w.start()
+
+    queries = [debug(decoded, "legacy_input"), debug(transformed, "legacy_output")]
     if sink == "kafka":
-        queries.append(start_kafka_sink(encoded, checkpoint, params))
+        queries.append(start_kafka_sink(encoded, checkpoint, params, topic))
     else:
-        queries.append(start_parquet_sink(encoded, out_path, checkpoint, available_now=False))
+        queries.append(start_parquet_sink(encoded, out_path, checkpoint, available_now=available_now))
     return queries
 
 

@@ -97,3 +97,17 @@ def test_legacy_job_with_memory_sinks(spark, fresh_dir):
 def test_legacy_semantics_differ_from_enrichment(spark):
     df = spark.createDataFrame([("a", "u", 100.0, "SUCCESS", "t")], LEGACY_TRANSACTION)
     assert legacy(df).first().discounted_amount == 90.0
+
+
+def test_legacy_command_line_offline(spark, fresh_dir, tmp_path):
+    from ledgerline.__main__ import main
+
+    d = tmp_path / "producer"
+    d.mkdir()
+    lines = [json.dumps(dict(zip(LEGACY_TRANSACTION.fieldNames(), r))) for r in GOLDEN_IN]
+    (d / "transactions.json").write_text("\n".join(lines) + "\n")
+    out = fresh_dir("legacy-cli")
+    got = main(["--job", "legacy", "--source", "file", "--input", str(d), "--out", out])
+    assert got == {"records_written": 8}
+    records = [json.loads(r.value) for r in spark.read.parquet(f"{out}/records").collect()]
+    assert {r["transaction_id"] for r in records} == set(GOLDEN_OUT)
