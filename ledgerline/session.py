@@ -38,13 +38,20 @@ def create_session(app_name: str = "ledgerline", master: str = "local[*]", shuff
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only if none is set."""
+    """The cluster's checkpoint folder. Only a local-mode session without one
+    (tests, local bench) gets a local folder; a cluster session must name a
+    shared folder in spark.checkpoint.dir."""
     root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: a cluster job needs a shared folder for "
+                "outputs, checkpoints and intermediate tables"
+            )
         root = tempfile.mkdtemp(prefix="ledgerline-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
