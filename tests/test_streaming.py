@@ -323,3 +323,16 @@ def test_date_partitioned_enriched_sink_prunes_and_matches(spark, fresh_dir):
     assert day.count() == wallclock(plain.enriched(spark)).filter(
         F.to_date("event_time") == F.lit("2024-01-05").cast("date")
     ).count()
+
+
+def test_rule_table_join_in_a_stream(spark, fresh_dir):
+    """J1 on a stream: stream-static left join against the (checked, broadcast) rule table."""
+    from ledgerline.operators.enrich import enrich_with_rules, rules_frame
+    from ledgerline.sources.sinks import start_parquet_sink
+
+    params = JobParams()
+    stream = transactions_from_events(events_stream(spark, SF_SMALL))
+    joined = enrich_with_rules(stream, rules_frame(spark, params.discount_rules), params)
+    out = fresh_dir("o")
+    await_query(start_parquet_sink(joined, out, fresh_dir("c")))
+    assert _same(read_output(spark, out, ENRICHED), enrich(transactions(spark, SF_SMALL), params))
