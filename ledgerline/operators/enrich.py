@@ -43,11 +43,11 @@ def _project(df: DataFrame, rate: Column, params: JobParams) -> DataFrame:
         rate.cast("double").alias("discount_rate"),
         score.alias("fraud_score"),
     )
-    return staged.select(
-        *[c for c in ENRICHED_COLUMNS if c not in ("net_amount", "is_flagged")],
-        (F.col("gross_amount") * (F.lit(1.0) - F.col("discount_rate"))).alias("net_amount"),
-        (F.col("fraud_score") >= F.lit(float(params.fraud_threshold))).alias("is_flagged"),
-    ).select(*ENRICHED_COLUMNS)
+    derived = {
+        "net_amount": F.col("gross_amount") * (F.lit(1.0) - F.col("discount_rate")),
+        "is_flagged": F.col("fraud_score") >= F.lit(float(params.fraud_threshold)),
+    }
+    return staged.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in ENRICHED_COLUMNS])
 
 
 def enrich(df: DataFrame, params: JobParams = DEFAULT_PARAMS) -> DataFrame:

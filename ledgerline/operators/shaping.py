@@ -84,9 +84,12 @@ def _dec(text: str, precision: int, scale: int) -> Column:
 
 
 def hash_draw(key, mult_offset: tuple[int, int], modulus: int) -> Column:
-    """Deterministic uniform-ish integer in [0, modulus) from a bigint key."""
+    """Deterministic uniform-ish integer in [0, modulus) from a bigint key:
+    (key * mult + offset) mod modulus. The key is reduced mod ``modulus``
+    first (same residue), so the product cannot overflow for any key."""
     mult, offset = mult_offset
-    return F.pmod(_col(key) * F.lit(mult) + F.lit(offset), F.lit(modulus))
+    reduced = F.pmod(_col(key), F.lit(modulus))
+    return F.pmod(reduced * F.lit(mult) + F.lit(offset), F.lit(modulus))
 
 
 def weighted_pick(draw, weights: Sequence[tuple[str, int]]) -> Column:
@@ -139,7 +142,8 @@ def shape_amount(base, category="merchant_category") -> Column:
     """
     scaled = F.round(_col(base) * category_multiplier(category), 2)
     clipped = F.greatest(_dec(AMOUNT_MIN, 6, 2), F.least(_dec(AMOUNT_MAX, 6, 2), scaled))
-    return clipped.cast("double")
+    # least/greatest skip nulls: keep a missing base amount missing.
+    return F.when(scaled.isNotNull(), clipped).cast("double")
 
 
 def fraud_probability_units(

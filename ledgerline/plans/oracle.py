@@ -58,8 +58,10 @@ mult AS (
 ),
 shaped AS (
   SELECT *,
-    CAST(greatest(CAST('4.00' AS DECIMAL(6,2)),
-                  least(CAST('4500.00' AS DECIMAL(6,2)), round(base_amount * category_multiplier, 2))) AS DOUBLE) AS amount
+    CASE WHEN base_amount IS NOT NULL THEN
+      CAST(greatest(CAST('4.00' AS DECIMAL(6,2)),
+                    least(CAST('4500.00' AS DECIMAL(6,2)), round(base_amount * category_multiplier, 2))) AS DOUBLE)
+    END AS amount
   FROM mult
 ),
 risk AS (

@@ -44,8 +44,9 @@ def with_dimensions(events: DataFrame) -> DataFrame:
 
 
 def base_amount(value="value") -> Column:
-    """Base amount before the category multiplier: value * 2 in DECIMAL."""
-    return F.col(value).cast("decimal(18,2)") * F.lit(2)
+    """Base amount before the category multiplier: value * 2 in DECIMAL.
+    NaN, infinite or out-of-range values give null (no job failure)."""
+    return F.col(value).try_cast("decimal(18,2)") * F.lit(2)
 
 
 def keyed_transactions(events: DataFrame, seed: int | None = None) -> DataFrame:

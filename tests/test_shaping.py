@@ -85,3 +85,19 @@ def test_table_source_switch(spark, fresh_dir):
     transactions(spark, SF_SMALL).write.parquet(path)
     df = read_transactions(spark, JobParams(), path, source="TABLE")
     assert df.isStreaming and df.columns == transactions(spark, SF_SMALL).columns
+
+
+def test_adapter_survives_extreme_inputs(spark):
+    from ledgerline.sources.events import transactions_from_events
+
+    rows = [
+        (2**62, None, 1, "view", float("nan"), '{"k": 5}'),
+        (-7, None, -3, "click", float("inf"), "not json"),
+        (3, None, 4, None, 1e300, None),
+    ]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    out = {r.transaction_id: r for r in transactions_from_events(df).collect()}
+    assert out[f"txn_{2**62}"].amount is None  # NaN value -> null amount, no failure
+    assert out["txn_-000007"].amount is None and out["txn_-000007"].merchant_category == "luxury"
+    assert out["txn_0000003"].amount is None and out["txn_0000003"].status == "SUCCESS"
+    assert all(r.channel in ("mobile", "web", "pos", "api") for r in out.values())
