@@ -279,6 +279,7 @@ FROM enriched ORDER BY event_time, transaction_id LIMIT 8""",
     "sample_windows_top12": f"{WINDOWS_CTE}\nSELECT * FROM emitted ORDER BY window_start LIMIT 12",
     "json_payload_encode": f"{WITH_TX},\nlg AS ({LEGACY_ROWS})\nSELECT {_json_text()} AS value FROM lg",
     "legacy_decode_discount": f"{WITH_TX}\n{LEGACY_ROWS}",
+    "stream_legacy_job": f"{WITH_TX},\nlg AS ({LEGACY_ROWS})\nSELECT {_json_text()} AS value FROM lg",
     "weighted_assignment": f"""{WITH_TX}
 SELECT event_id, k, status, merchant_category, channel, country, currency FROM dims""",
     "shape_amounts": f"""{WITH_TX}

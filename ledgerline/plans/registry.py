@@ -38,7 +38,14 @@ from ledgerline.sources.events import base_amount, keyed_transactions, transacti
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_ndjson, read_output
 from ledgerline.sources.sinks import land_ndjson, write_full_copy
-from ledgerline.streaming.jobs import await_query, run_stream, start_enriched, start_windowed, stream_metrics
+from ledgerline.streaming.jobs import (
+    await_query,
+    run_stream,
+    start_enriched,
+    start_legacy_job,
+    start_windowed,
+    stream_metrics,
+)
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -152,6 +159,20 @@ def q_stream_incremental_resume(spark, sf_dir):
     return wallclock(read_output(spark, out, WINDOWED))
 
 
+def q_stream_legacy_job(spark, sf_dir):
+    """Older Kafka job as a stream: producer-style JSON lines (one payload per
+    line) -> decode -> SUCCESS only -> discounted_amount -> JSON records,
+    written by its checkpointed sink; debug sinks are no-ops here."""
+    landing = work_path(spark, "legacy-lines")
+    payload = encode_json_payload(legacy_records(transactions(spark, sf_dir)), options={})
+    payload.write.text(landing)
+    out, ckpt = work_path(spark, "legacy-records"), work_path(spark, "ckpt-legacy")
+    raw = spark.readStream.text(landing)
+    for q in start_legacy_job(raw, ckpt, debug_format="noop", sink="parquet", out_path=out, available_now=True):
+        await_query(q)
+    return spark.read.parquet(out)
+
+
 # ---- batch keys -------------------------------------------------------------
 
 
@@ -332,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "stream_ndjson_source": q_stream_ndjson_source,
     "stream_dual_sink": q_stream_dual_sink,
     "stream_incremental_resume": q_stream_incremental_resume,
+    "stream_legacy_job": q_stream_legacy_job,
     "fraud_components": q_fraud_components,
     "discount_lookup": q_discount_lookup,
     "discount_lookup_join": q_discount_lookup_join,
