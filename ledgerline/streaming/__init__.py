@@ -1 +1,25 @@
-"""ledgerline.streaming."""
+"""Structured Streaming jobs."""
+
+from ledgerline.streaming.jobs import (
+    StreamRun,
+    await_any,
+    await_query,
+    legacy_stream,
+    query_stats,
+    run_stream,
+    start_legacy_job,
+    start_stream,
+    stream_metrics,
+)
+
+__all__ = [
+    "StreamRun",
+    "await_any",
+    "await_query",
+    "legacy_stream",
+    "query_stats",
+    "run_stream",
+    "start_legacy_job",
+    "start_stream",
+    "stream_metrics",
+]
