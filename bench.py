@@ -9,7 +9,8 @@ NDJSON files landed like the reference's producer (250 rows per file), the
 batch datasets (each forced with a no-op write so the whole plan runs), and
 source events/s with micro-batch counts.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there).
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ def main() -> None:
 
     from ledgerline.session import shared_root
 
-    spark = create_session(
-        "ledgerline-bench",
-        master=f"local[{cpus}]",
-        shuffle_partitions=cpus,
-        **{"spark.driver.memory": "8g"},
-    )
+    conf = {"spark.driver.memory": "8g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_log:  # stage/task timings for later analysis (opt-in)
+        os.makedirs(event_log, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = create_session("ledgerline-bench", master=f"local[{cpus}]", shuffle_partitions=cpus, **conf)
     shared_root(spark)  # the configured spark.checkpoint.dir, or a local one if unset
 
 
