@@ -39,3 +39,9 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0].source_events == 1000
+    assert df.schema.simpleString() == (
+        "struct<source_events:bigint,enriched_events:bigint,filtered_count:bigint,filtered_pct:double,"
+        "window_count:bigint,flagged_count:bigint,flagged_rate:double,total_gross_value:double,"
+        "total_net_value:double,discount_value:double,max_window_fraud_rate:double,"
+        "min_event_time:string,max_event_time:string,rows_unparsed:bigint>"
+    )

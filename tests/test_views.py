@@ -102,3 +102,22 @@ def test_run_metrics_identities(spark):
     assert m.filtered_count == m.source_events - m.enriched_events
     assert m.throughput_events_per_second == m.enriched_events / 2.0
     assert 0.0 <= m.max_window_fraud_rate <= 1.0
+
+
+def test_report_datasets_all_build(spark):
+    from ledgerline.operators.enrich import enrich
+    from ledgerline.operators.views import report_datasets
+    from ledgerline.operators.windows import closed_windows
+
+    t = transactions(spark, SF_SMALL)
+    e = enrich(t)
+    sets = report_datasets(e, closed_windows(e), t)
+    assert set(sets) == {
+        "throughput_series", "flag_rate_series", "alert_windows", "status_breakdown",
+        "net_value_by_category", "amount_histogram", "flag_rate_by_channel", "sample_enriched",
+        "sample_windows",
+    }
+    counts = {k: v.count() for k, v in sets.items()}
+    assert counts["status_breakdown"] == 3 and counts["amount_histogram"] == 68
+    assert counts["sample_enriched"] == 8 and counts["sample_windows"] == 12
+    assert all(n > 0 for n in counts.values())
