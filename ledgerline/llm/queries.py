@@ -5,17 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import simhash
+from ledgerline.llm import ann, langid, linededup, packing, phrases, quotes, sentencepiece_codec, sharding, simhash, toxicity
 from ledgerline.llm.common import table
 
+#: Where the public tokenizer files are; a cluster names its own folder here.
+TOKENIZERS_CONF = "spark.ledgerline.tokenizers"
+TOKENIZERS = "file:///opt/tokenizers"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        sharding.row_bytes().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = spark.conf.get(TOKENIZERS_CONF, TOKENIZERS)
+    model = sentencepiece_codec.load(spark, f"{folder}/piece_bpe_32k.model")
+    return sentencepiece_codec.encode_digest(table(spark, sf_dir, "documents"), model)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "lines_before", "lines_deleted", "runs_deleted", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    )
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_quotes": op3_quotes,
+    "op4_sharding": op4_sharding,
+    "op5_phrases": op5_phrases,
+    "op6_neighbours": op6_neighbours,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_language": op9_language,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
