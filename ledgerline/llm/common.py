@@ -23,6 +23,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` hasn't got."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def columns(names: Sequence[str]) -> list[Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def train_row(doc_id: Column | str = "doc_id") -> Column:
     """True where a document may be learnt from: crc32 of its id as text, mod 4, is not 2."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

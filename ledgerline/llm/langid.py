@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held_out, train_row
+from ledgerline.llm.common import columns, fresh, held_out, train_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -199,7 +199,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Network | None:
 
 
 def identify(docs: DataFrame, net: Network | None, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its probability in two added columns.
+    """``docs`` with the predicted language and its probability in two added columns, whose names it must not have.
 
     A text that is null or has no letter gets ``und`` and 0, and so does every
     text if nothing was learnt. Equal texts get equal results.
@@ -218,9 +218,9 @@ def identify(docs: DataFrame, net: Network | None, lang: str = "lang_pred", scor
             yield pd.DataFrame({"lang": named, "score": sure})
 
     readable: Column = F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary"))
-    return docs.withColumn("_told", told(readable)).select(
-        *docs.columns, F.col("_told.lang").alias(lang), F.col("_told.score").alias(score)
-    )
+    both = fresh(docs, "_told")
+    out = docs.select(*columns(docs.columns), told(readable).alias(both))
+    return out.select(*columns(docs.columns), F.col(f"{both}.lang").alias(lang), F.col(f"{both}.score").alias(score))
 
 
 def language(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -237,5 +237,6 @@ def language(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
 def drop_unknown_language(docs: DataFrame, train_rows: int = TRAIN_ROWS, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without texts of no learnt language: ``und``, or a probability below ``min_score``."""
-    told = identify(docs, train(docs, train_rows), "_lang_pred", "_lang_score")
-    return told.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= min_score)).select(docs.columns)
+    lang, score = fresh(docs, "_lang"), fresh(docs, "_score")
+    told = identify(docs, train(docs, train_rows), lang, score)
+    return told.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(*columns(docs.columns))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import LAST_ID, dense_ranks, materialise
+from ledgerline.llm.common import LAST_ID, columns, dense_ranks, fresh, materialise
 
 MIN_WORDS = 10
 WORD = r"[^\x20\x09-\x0D]+"
@@ -135,30 +135,34 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     added = ("lines_before", "lines_deleted", "runs_deleted")
     names = [c for c in docs.columns if c not in added]
-    gone = materialise(deletions(docs, min_words)).withColumnsRenamed({"id": "_id", "th": "_th", "gone": "_gone"})
-    id_, th = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text")
-    held = docs.select(*names).withColumns({"_id": id_, "_th": th}).join(gone, ["_id", "_th"], "left")
-    lines, out = _split(F.col("text")), F.transform("_gone", lambda x: x["line"])
+    key = {"id": fresh(docs, "_id"), "th": fresh(docs, "_th")}
+    gone_name = fresh(docs, "_gone")
+    gone = materialise(deletions(docs, min_words)).withColumnsRenamed(key | {"gone": gone_name})
+    values = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text"))
+    keyed = docs.select(*columns(names), *[v.alias(k) for k, v in zip(key.values(), values)])
+    held = keyed.join(gone, list(key.values()), "left")
+    gone = F.col(gone_name)
+    lines, out = _split(F.col("text")), F.transform(gone, lambda x: x["line"])
     left = F.filter(lines, lambda x, i: ~F.array_contains(out, i))
-    starts = F.filter(
-        "_gone", lambda x, i: (i == 0) | (F.col("_gone")[F.greatest(i - 1, F.lit(0))]["pos"] + 1 < x["pos"])
+    starts = F.filter(gone, lambda x, i: (i == 0) | (gone[F.greatest(i - 1, F.lit(0))]["pos"] + 1 < x["pos"]))
+    counts = (
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)),
+        F.when(gone.isNull(), 0).otherwise(F.size(starts)),
     )
-    counts = {
-        "lines_before": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
-        "lines_deleted": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"),
-        "runs_deleted": F.when(F.col("_gone").isNull(), 0).otherwise(F.size(starts)).cast("long"),
-    }
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counted = held.withColumns(counts)
-    return counted.withColumn("text", text).select(*names, *added)
+    text = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
+    kept = [text if name == "text" else c for name, c in zip(names, columns(names))]
+    return held.select(*kept, *[c.cast("long").alias(n) for n, c in zip(added, counts)])
 
 
 def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` after :func:`dedup_lines`, its own columns only: n_chars, if there is one,
     counts the new text, and documents of which only blank lines are left go."""
-    out = dedup_lines(docs, min_words)
+    added = {c: fresh(docs, f"_{c}") for c in ("lines_before", "lines_deleted", "runs_deleted") if c in docs.columns}
+    out = dedup_lines(docs.withColumnsRenamed(added), min_words)
     out = out.where((F.col("lines_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("lines_deleted") == 0, F.col("n_chars")).otherwise(F.length("text"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    held = [added.get(c, c) for c in docs.columns]
+    return out.select(*[col.alias(c) for col, c in zip(columns(held), docs.columns)])

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import columns
+
 SHARDS = 24
 SEED = 20_240_501
 BUCKET_BYTES = 16 << 20
@@ -26,35 +28,35 @@ def row_bytes(text: Column | str = "text") -> Column:
 
 
 def shuffle_rows(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` with a column ``_position``: its place, from 0, in a seeded random order of all rows.
+    """(row, position): the rows of ``docs`` as structs, and their places, from 0, in a seeded random order.
 
     The rows of a partition come in that order. The same table, seed and
     bucket size give the same order whatever the partitions or retries. Rows
     scatter by their id and text, so equal texts of different ids spread; rows
     that repeat whole meet in a bucket. Nulls are values like any other.
     """
-    hashed = docs.withColumn("_hash", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")))
     volume = docs.agg(F.sum(row_bytes())).first()[0] or 0
     buckets = max(1, -(-volume // bucket_bytes))
-    bucketed = hashed.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(buckets)).cast("int"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    hashed = docs.select(
+        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("hash"), F.struct(*columns(docs.columns)).alias("row")
+    )
+    bucketed = hashed.withColumn("bucket", F.pmod("hash", F.lit(buckets)).cast("int"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))  # a row for each bucket from here on
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        bucketed.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("n"))  # a row for each bucket from here on
+        .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     shuffled = (
-        bucketed.select("_bucket", "_hash", row.alias("_row"))
-        .repartitionById(buckets, "_bucket")
-        .sortWithinPartitions("_bucket", "_hash")
-        .groupBy("_bucket")
-        .agg(F.collect_list("_row").alias("_rows"))
-        .select("_bucket", F.shuffle("_rows", F.lit(seed)).alias("_rows"))
-        .select("_bucket", F.posexplode("_rows").alias("_at", "_row"))
+        bucketed.repartitionById(buckets, "bucket")
+        .sortWithinPartitions("bucket", "hash")
+        .groupBy("bucket")
+        .agg(F.collect_list("row").alias("rows"))
+        .select("bucket", F.shuffle("rows", F.lit(seed)).alias("rows"))
+        .select("bucket", F.posexplode("rows").alias("at", "row"))
     )
     offsets = F.broadcast(offsets) if buckets <= BROADCAST_BUCKETS else offsets
-    return shuffled.join(offsets, "_bucket").select("_row.*", (F.col("_offset") + F.col("_at")).alias("_position"))
+    return shuffled.join(offsets, "bucket").select("row", (F.col("offset") + F.col("at")).alias("position"))
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -64,12 +66,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes:
     empty. Columns of ``docs`` named shard or slot are replaced. An empty table
     gives no rows.
     """
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")])
-    total = kept.count()
+    kept = docs.select(*columns([c for c in docs.columns if c.lower() not in ("shard", "slot")]))
+    total = max(1, kept.count())
     placed = shuffle_rows(kept, seed, bucket_bytes)
-    number = F.expr(f"(_position * {shards}L) div {max(1, total)}L")
-    start = F.expr(f"(shard * {max(1, total)}L + {shards - 1}L) div {shards}L")
-    return placed.withColumn("shard", number.cast("int")).withColumn("slot", F.col("_position") - start).drop("_position")
+    number = F.expr(f"CAST((position * {shards}L) div {total}L AS INT)")
+    start = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
+    placed = placed.withColumn("shard", number).withColumn("slot", F.col("position") - start)
+    return placed.select("row.*", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> None:

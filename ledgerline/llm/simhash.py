@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import connected_components, materialise
+from ledgerline.llm.common import columns, connected_components, materialise
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -165,4 +165,5 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, ma
     classes = near_duplicates(docs, shingle_words, max_bits)
     kept = classes.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null")
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    firsts = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return firsts.unionByName(docs.where("doc_id is null")).select(*columns(docs.columns))

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held_out, train_row
+from ledgerline.llm.common import columns, fresh, held_out, train_row
 
 BITS = 20
 TRAIN_ROWS = 16_384
@@ -143,14 +143,12 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     return fit(rows, marks)
 
 
-def score(docs: DataFrame, model: Model, text: Column | None = None) -> DataFrame:
-    """``docs`` with a double column ``toxic_score`` behind its own columns.
+def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
+    """``docs`` with a double column ``name``, which ``docs`` must not have, behind its own columns.
 
     Null and empty texts get the score of a text without features. A model that
-    has seen no rows scores 0. A column of that name in ``docs`` is replaced.
+    has seen no rows scores 0.
     """
-    names = [c for c in docs.columns if c != "toxic_score"]
-    kept = docs.select(*names)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -167,8 +165,7 @@ def score(docs: DataFrame, model: Model, text: Column | None = None) -> DataFram
 
         return pd.Series([one(x) for x in texts], dtype="float64")
 
-    text = F.col("text") if text is None else text
-    return kept.withColumn("toxic_score", scored(text.cast("binary")))
+    return docs.select(*columns(docs.columns), scored(F.col("text").cast("binary")).alias(name))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
@@ -191,6 +188,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, t
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more."""
-    found = score(docs.withColumnRenamed("toxic_score", "_toxic_score"), train(docs, labels, train_rows))
-    kept = found.where(F.col("toxic_score") < threshold).drop("toxic_score")
-    return kept.withColumnRenamed("_toxic_score", "toxic_score").select(docs.columns)
+    name = fresh(docs, "toxic_score")
+    found = score(docs, train(docs, labels, train_rows), name)
+    return found.where(F.col(name) < threshold).select(*columns(docs.columns))
