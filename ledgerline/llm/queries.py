@@ -81,4 +81,49 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def _line_dedup(words: int) -> str:
+    """Windows of non-blank lines that have ``words`` words and would not have them
+    without their first or without their last line; all but a window's first copy
+    lose their lines."""
+    return rf"""WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS line
+  FROM documents WHERE text IS NOT NULL
+),
+s AS (
+  SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos,
+         len(regexp_extract_all(x, '{_WORDS}')) AS words
+  FROM l WHERE regexp_matches(x, '{_WORDS}')
+),
+a AS (
+  SELECT doc_id, pos, list(x) OVER w AS xs, list(words) OVER w AS ws, list({{'line': line, 'pos': pos}}) OVER w AS spots
+  FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {words - 1} FOLLOWING)
+),
+n AS (SELECT *, unnest(range(1, len(xs) + 1)) AS n FROM a),
+w AS (
+  SELECT doc_id, pos, xs[1:n] AS run, spots[1:n] AS spots FROM n
+  WHERE list_sum(ws[1:n]) >= {words}
+    AND (COALESCE(list_sum(ws[1:n - 1]), 0) < {words} OR COALESCE(list_sum(ws[2:n]), 0) < {words})
+),
+copies AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS copy FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest(spots, recursive := true) FROM copies WHERE copy > 1),
+runs AS (
+  SELECT doc_id, count(*) AS deleted, count(*) FILTER (WHERE before IS NULL OR before + 1 < pos) AS runs
+  FROM (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id
+),
+kept AS (
+  SELECT l.doc_id, count(*) AS lines, string_agg(l.x, chr(10) ORDER BY l.line) FILTER (WHERE gone.line IS NULL) AS text
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.line = gone.line GROUP BY l.doc_id
+)
+SELECT d.doc_id, COALESCE(kept.lines, 0) AS lines_before, COALESCE(runs.deleted, 0) AS lines_deleted,
+       COALESCE(runs.runs, 0) AS runs_deleted, CASE WHEN d.text IS NOT NULL THEN sha256(COALESCE(kept.text, '')) END AS text_sha256
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN runs ON d.doc_id = runs.doc_id"""
+
+
+#: Where SQL can express the operator. The others hash, shuffle, pack or learn in
+#: ways that SQL has no functions for; tests hold them against brute force.
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": _line_dedup(linededup.MIN_WORDS),
+}
