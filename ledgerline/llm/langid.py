@@ -29,6 +29,7 @@ FILTERS = 16
 EMBED = 8
 TRAIN_ROWS = 4000
 EPOCHS = 8
+MIN_STEPS = 400
 BATCH = 64
 RATE = 0.01
 MIN_SCORE = 0.4
@@ -63,7 +64,8 @@ def _adam(grads: list[np.ndarray], params: list[np.ndarray], state: list[list[np
 
 
 def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 5) -> Network:
-    """Train on windows (n, WINDOW) of bytes with label numbers, by Adam on the cross entropy."""
+    """Train on windows (n, WINDOW) of bytes with label numbers, by Adam on the cross
+    entropy: EPOCHS passes, or as many as make MIN_STEPS steps."""
     rng = np.random.default_rng(seed)
     k, n = len(WIDTHS) * FILTERS, len(languages)
     net = Network(
@@ -77,7 +79,7 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int
     params = [net.embed, *net.taps, net.shift, net.out, net.out_shift]
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-MIN_STEPS * BATCH // len(windows)))):
         order = rng.permutation(len(windows))
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
@@ -120,8 +122,8 @@ def predict_windows(net: Network, tables: list[list[np.ndarray]], windows: np.nd
         for j in range(1, len(bank)):
             heard += bank[j][windows[:, j : j + span]]
         peaks.append(heard.max(1))
-    live = np.maximum(np.concatenate(peaks, 1) + net.shift, 0)
-    return _softmax(live @ net.out + net.out_shift)
+    live = np.maximum(np.concatenate(peaks, 1) + net.shift, 0).astype(np.float64)
+    return _softmax(live @ net.out.astype(np.float64) + net.out_shift)
 
 
 def cut(text: bytes) -> np.ndarray:
@@ -131,7 +133,8 @@ def cut(text: bytes) -> np.ndarray:
 
 
 def predict(net: Network, texts: list[bytes]) -> np.ndarray:
-    """Probabilities (texts, languages); windows of many texts share a batch."""
+    """Probabilities (texts, languages) to six digits, which don't depend on the texts
+    that share a batch."""
     tables = net.tables()
     total = np.zeros((len(texts), len(net.languages)))
     pending: list[tuple[int, np.ndarray]] = []
@@ -156,7 +159,7 @@ def predict(net: Network, texts: list[bytes]) -> np.ndarray:
             if held >= _WINDOWS_AT_ONCE:
                 flush()
     flush()
-    return total / total.sum(1, keepdims=True)
+    return np.round(total / total.sum(1, keepdims=True), 6)
 
 
 def training_windows(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:

@@ -81,9 +81,12 @@ def _sigmoid(x: float) -> float:
 
 
 def fit(rows: list[np.ndarray], labels: list[int]) -> Model:
-    """FTRL-proximal over rows of distinct feature buckets with 0/1 labels."""
+    """FTRL-proximal over rows of distinct feature buckets with 0/1 labels.
+
+    The bias starts at the log odds of the labels, so few rows don't make the
+    score of a text without known features a coin toss."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    bias, grads = 0.0, 1.0
+    bias, grads = float(np.log((sum(labels) + 0.5) / (len(labels) - sum(labels) + 0.5))), 1.0
     order = np.random.default_rng(7)
     for _ in range(EPOCHS if rows else 0):
         for r in order.permutation(len(rows)):

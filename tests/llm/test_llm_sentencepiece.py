@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from ledgerline.llm import queries, sentencepiece_codec as codec
+
+PATH = "/opt/tokenizers/piece_bpe_32k.model"
+TEXTS = [
+    "", " ", "   ", "a", "Hello world", " leading", "trailing ", "two  spaces   three", "tabs\tand\nlines\r\n\n", "▁ already marked▁▁x",
+    "Ünïcödé ☃ 𝄞 你好 العربية", "<s> control </s> <unk> <0x41>", "\x00\x01\x7f", "é combining", "🙂🙃🙂", "aaaaaaaaaaaaaaaaaaaaaaaaaa",
+    "1234567890 3.14", "x" * 3000, "word " * 3000, "​ zero ﻿ width", "ﬁ ligature Ａ wide",
+]
+
+
+def numbers(n):
+    out = b""
+    while True:
+        out += bytes([n & 127 | (128 if n > 127 else 0)])
+        n >>= 7
+        if not n:
+            return out
+
+
+def field(number, value):
+    if isinstance(value, bytes):
+        return numbers(number << 3 | 2) + numbers(len(value)) + value
+    if isinstance(value, float):
+        return numbers(number << 3 | 5) + struct.pack("<f", value)
+    return numbers(number << 3) + numbers(value)
+
+
+def unigram_model(byte_fallback=True, remove_extra=False):
+    """A small unigram model written by hand, in the same file format."""
+    bits = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    bits += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if byte_fallback else []
+    scored = {"▁": -2.0, "▁the": -3.0, "▁cat": -4.5, "▁sat": -4.6, "the": -5.0, "cat": -5.2, "at": -4.9, "s": -6.0, "c": -6.1, "a": -6.2,
+              "t": -6.3, "h": -6.4, "e": -6.5, "▁c": -5.5, "he": -5.1, "▁s": -5.6, "m": -6.6, "▁mat": -4.7}
+    bits += [(p, s, 1) for p, s in scored.items()]
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in bits)
+    trainer = field(3, 1) + field(35, int(byte_fallback)) + field(40, 0) + field(41, 1) + field(42, 2) + field(43, (1 << 64) - 1)
+    return data + field(2, trainer) + field(3, field(1, b"identity") + field(3, 1) + field(4, int(remove_extra)) + field(5, 1))
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    with open(PATH, "rb") as f:
+        return f.read()
+
+
+def same(data, texts):
+    ours, other = codec.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    for text, (ids, whole) in zip(texts, ours.encode_checked(texts)):
+        assert ids.tolist() == other.encode(text), text[:50]
+        assert ours.decode([ids])[0] == other.decode(ids.tolist()), text[:50]
+        assert whole or ours.decode([ids])[0] != text
+
+
+def test_bpe_parity_on_odd_texts(bpe):
+    same(bpe, TEXTS)
+
+
+def test_bpe_parity_on_table_texts(bpe, spark):
+    some = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    same(bpe, [r.text for r in some])
+
+
+def test_whole_texts_give_the_same_ids_as_words(bpe):
+    by_word, whole = codec.Codec(bpe), codec.Codec(bpe)
+    assert by_word.apart and by_word.simple
+    whole.apart = False
+    for a, b in zip(by_word.encode(TEXTS), whole.encode(TEXTS)):
+        assert a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+@pytest.mark.parametrize("remove_extra", [True, False])
+def test_unigram_parity(byte_fallback, remove_extra):
+    data = unigram_model(byte_fallback, remove_extra)
+    texts = ["the cat sat", "thecat  sat", " the ", "acheathes mat", "", "cat cat cat", "hhheee", "  the   cat  "]
+    texts += ["the dög", "x", "the ☃ sat"] if byte_fallback else ["the x cat", "x"]
+    ours, other = codec.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    for text, ids in zip(texts, ours.encode(texts)):
+        assert ids.tolist() == other.encode(text), text
+
+
+def test_forgetting_words_changes_nothing(bpe, monkeypatch):
+    texts = [f"word{i} other{i * 7} third{i % 5}" for i in range(300)]
+    want = [x.tolist() for x in codec.Codec(bpe).encode(texts)]
+    monkeypatch.setattr(codec, "_KNOWN_WORDS", 50)
+    small = codec.Codec(bpe)
+    got = [x.tolist() for at in range(0, 300, 10) for x in small.encode(texts[at : at + 10])]
+    assert got == want
+
+
+def test_frames(spark, docs_of, odd_rows, with_clashes, bpe):
+    docs = with_clashes(docs_of(odd_rows))
+    encoded = codec.encode(docs, bpe)
+    other = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    got = sorted(((r.doc_id, r.ids) for r in encoded.collect()), key=str)
+    assert got == sorted(((d, None if t is None else other.encode(t)) for d, t in odd_rows), key=str)
+    back = sorted(((r.doc_id, r.text) for r in codec.decode(encoded, bpe).collect()), key=str)
+    assert back == sorted(odd_rows, key=str)
+    digest = codec.encode_digest(docs, bpe).collect()
+    want = sorted(
+        (d, *((None,) * 4 if t is None else (len(i := other.encode(t)), zlib.crc32(np.array(i, "<i4").tobytes()), True, True))) for d, t in odd_rows if d
+    )
+    assert sorted(tuple(r) for r in digest if r.doc_id) == want
+    assert codec.encode_digest(docs_of([]), bpe).count() == 0 and codec.encode(docs_of([]), bpe).count() == 0
+
+
+def test_query_has_parity_on_the_whole_table(spark):
+    out = queries.op7_sentencepiece(spark, "/root/testdata/sf0.01")
+    assert out.where("parity AND round_trip").count() == out.count() == 1000
+    assert out.agg(F.sum("n_tokens")).first()[0] > 300_000
+
+
+def test_unsupported_models_are_refused():
+    with pytest.raises(ValueError):
+        codec.read_model(field(2, field(3, 4)))

@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ledgerline.llm import simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text, k=3):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+    words = re.findall(r"[^\x20\x09-\x0D]+", folded)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows, max_bits=2):
+    """rows of (doc_id, fingerprint) -> smallest reachable id of each row."""
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (rows[i][1] ^ rows[j][1]).bit_count() <= max_bits:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        r = find(i)
+        if doc is not None:
+            least[r] = min(doc, least.get(r, doc))
+    return [least.get(find(i)) for i in range(len(rows))]
+
+
+def result(found):
+    return sorted(
+        ((r.doc_id, r.fingerprint, r.component_id) for r in found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id").collect()),
+        key=str,
+    )
+
+
+def expected(rows):
+    prints = [brute_fingerprint(t) for _, t in rows]
+    roots = brute_components([(d, p) for (d, _), p in zip(rows, prints)])
+    return sorted(((d, f"{p:016x}", c) for (d, _), p, c in zip(rows, prints, roots)), key=str)
+
+
+def near_texts(n=80):
+    base = [f"word{i * 7 % 41} item{i}" for i in range(400)]
+    out = []
+    for i in range(n):
+        some = list(base)
+        some[i * 5 % 400] = f"changed{i}"
+        out.append((1000 - i, " ".join(some)))
+    return out
+
+
+@pytest.mark.parametrize("cell_rows", [64, 4])
+def test_components_equal_brute_force(spark, docs_of, odd_rows, cell_rows):
+    # 4: nearly every cell is crowded, so the links come through shared keys
+    rows = odd_rows + near_texts() + [(2000 + i, f"short {i}") for i in range(30)] + [(3000, "A B\x0bC"), (3001, "a b c")]
+    assert result(simhash.near_duplicates(docs_of(rows), cell_rows=cell_rows)) == expected(rows)
+
+
+def test_table_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert result(simhash.near_duplicates(docs)) == expected(rows)
+
+
+def test_links_of_random_fingerprints(spark):
+    import random
+
+    rng = random.Random(4)
+    some = [rng.getrandbits(64) for _ in range(150)]
+    some += [x ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for x in some for _ in range(2)]
+    signed = sorted({x - (1 << 64) if x >> 63 else x for x in some})
+    frame = spark.createDataFrame([(x,) for x in signed], "fp long")
+    pairs = {(r.u, r.v) for r in simhash.links(frame, cell_rows=1000).collect()}
+    near = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert {(min(p), max(p)) for p in pairs} == near
+    starred = {(r.u, r.v) for r in simhash.links(frame, cell_rows=1).collect()}
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for a, b in starred)
+
+
+def test_counts_bound_the_distance(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.getrandbits(63), rng.getrandbits(63) - (1 << 62)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    l1 = F.bit_count(simhash.segment_counts(F.col("a")).bitwiseXOR(simhash.segment_counts(F.col("b"))))
+    got = df.select("a", "b", l1.alias("l1"), F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("h")).collect()
+    for r in got:
+        per = [[(x >> 2 * i & 3).bit_count() for i in range(32)] for x in (r.a, r.b)]
+        assert r.l1 == sum(abs(x - y) for x, y in zip(*per)) <= r.h
+
+
+def test_drop_keeps_the_smallest_id(spark, docs_of, odd_rows, with_clashes):
+    rows = odd_rows + near_texts(10)
+    out = simhash.drop_near_duplicates(with_clashes(docs_of(rows)))
+    want = {c for _, _, c in expected(rows) if c is not None}
+    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == sorted(want)
+    assert sum(r.doc_id is None for r in out.collect()) == 2
+    assert simhash.near_duplicates(docs_of([])).count() == 0
+    assert simhash.drop_near_duplicates(docs_of([])).count() == 0
+
+
+def test_odd_limits_are_refused(spark, docs_of):
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs_of([(1, "a")]), max_bits=3)
