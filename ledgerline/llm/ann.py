@@ -30,7 +30,7 @@ SAMPLE_ROWS = 8192
 PART_ROWS = 2048
 MAX_PARTS = 128
 CELL_ROWS = 4096
-RECALL = 0.97
+RECALL = 0.95
 _GRAPH = 10
 _HIDDEN = 128
 _EPOCHS = 40
