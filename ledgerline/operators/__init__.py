@@ -2,7 +2,14 @@
 
 from ledgerline.operators.enrich import enrich, enrich_with_rules, flagged, score_components
 from ledgerline.operators.legacy import legacy
-from ledgerline.operators.summary import enriched_summary, run_metrics, status_counts, windowed_summary
+from ledgerline.operators.summary import (
+    enriched_summary,
+    metrics_record,
+    run_metrics,
+    status_counts,
+    table_metrics,
+    windowed_summary,
+)
 from ledgerline.operators.views import (
     amount_histogram,
     first_n,
@@ -33,6 +40,7 @@ __all__ = [
     "histogram",
     "histograms",
     "legacy",
+    "metrics_record",
     "net_value_by_category",
     "report_datasets",
     "run_metrics",
@@ -41,6 +49,7 @@ __all__ = [
     "score_components",
     "status_breakdown",
     "status_counts",
+    "table_metrics",
     "throughput_series",
     "windowed",
     "windowed_summary",

@@ -22,11 +22,6 @@ from ledgerline.functions.scoring import (
 from ledgerline.params import DEFAULT_PARAMS, JobParams
 from ledgerline.schemas import ENRICHED_COLUMNS
 
-# A rule table with at most this many rows is broadcast; a larger one is
-# joined by shuffle (AQE may still pick a broadcast from runtime sizes).
-RULE_TABLE_BROADCAST_MAX_ROWS = 100_000
-
-
 def successful(df: DataFrame) -> DataFrame:
     """status := upper(status); keep 'SUCCESS'. No trim: ' SUCCESS ' is dropped."""
     return df.withColumn("status", F.upper(F.col("status"))).filter(F.col("status") == F.lit("SUCCESS"))
@@ -50,45 +45,43 @@ def _project(df: DataFrame, rate: Column, params: JobParams) -> DataFrame:
     return staged.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in ENRICHED_COLUMNS])
 
 
+def enriched_columns(df: DataFrame, params: JobParams = DEFAULT_PARAMS) -> DataFrame:
+    """Every row with the enriched columns, and ``_kept``: whether ``enrich`` keeps it."""
+    upper = df.withColumn("status", F.upper("status"))
+    rate = discount_rate("merchant_category", params.discount_rules)
+    return _project(upper, rate, params).withColumn("_kept", F.coalesce(F.col("status") == "SUCCESS", F.lit(False)))
+
+
 def enrich(df: DataFrame, params: JobParams = DEFAULT_PARAMS) -> DataFrame:
     """14-column enriched frame."""
     return _project(successful(df), discount_rate("merchant_category", params.discount_rules), params)
 
 
 def rules_frame(spark, rules) -> DataFrame:
-    """Rule dict -> (merchant_category, discount_rate) frame."""
-    return spark.createDataFrame(
-        [(k, float(v)) for k, v in dict(rules).items()],
-        "merchant_category string, discount_rate double",
-    )
+    """Rule dict -> (merchant_category, discount_rate) frame of known size."""
+    import pyarrow as pa
+
+    pairs = dict(rules)
+    names, rates = pa.array(pairs.keys(), pa.string()), pa.array(map(float, pairs.values()), pa.float64())
+    return spark.createDataFrame(pa.table({"merchant_category": names, "discount_rate": rates}))
 
 
-def enrich_with_rules(
-    df: DataFrame,
-    rules: DataFrame,
-    params: JobParams = DEFAULT_PARAMS,
-    broadcast_max_rows: int = RULE_TABLE_BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def enrich_with_rules(df: DataFrame, rules: DataFrame, params: JobParams = DEFAULT_PARAMS) -> DataFrame:
     """Same result as ``enrich`` with the rates looked up in a rule *table*.
 
     Left equi-join on merchant_category; unmatched -> 0.0. Rule keys must be
-    unique (a duplicated key would duplicate rows). One small job checks the
-    size and uniqueness of the rule table before the join is planned: the table
-    is broadcast only when its row count is within ``broadcast_max_rows``.
+    unique: a duplicated key (it would duplicate rows) fails the query when it
+    runs. Spark picks the join by the rule table's bytes.
     """
-    table = rules.select(
-        F.col("merchant_category"), F.col("discount_rate").cast("double").alias("_rule_rate")
+    key = "merchant_category"
+    twice = F.raise_error(F.concat(F.lit("discount rule table has duplicate merchant_category keys: "), F.col(key)))
+    table = (
+        rules.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.first("discount_rate").cast("double").alias("_rate"), F.count(F.lit(1)).alias("_n"))
+        .select(key, F.when(F.col("_n") > 1, twice.cast("double")).otherwise(F.col("_rate")).alias("_rule_rate"))
     )
-    check = table.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("merchant_category").alias("d"),
-        F.count("merchant_category").alias("nn"),
-    ).first()
-    if check["d"] != check["nn"]:
-        raise ValueError("discount rule table has duplicate merchant_category keys")
-    if check["n"] <= broadcast_max_rows:
-        table = F.broadcast(table)
-    kept = successful(df)
-    joined = kept.join(table, on="merchant_category", how="left")
+    joined = successful(df).join(table, on=key, how="left")
     return _project(joined, F.coalesce(F.col("_rule_rate"), F.lit(0.0)), params)
 
 

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Category / channel / country shares (percent), currency pool,
+# Category / channel / country / status shares (percent), currency pool,
 # amount multipliers and bounds, fraud-probability terms; they must equal the
 # reference generator's.
 CATEGORY_WEIGHTS = (
@@ -38,6 +38,7 @@ COUNTRY_WEIGHTS = (
     ("BR", 3),
     ("IN", 3),
 )
+STATUS_WEIGHTS = (("SUCCESS", 88), ("FAILED", 8), ("PENDING", 4))
 CURRENCIES = ("USD", "USD", "USD", "EUR", "GBP", "JPY", "CAD")
 CATEGORY_MULTIPLIERS = (
     ("travel", "2.00"),
@@ -73,6 +74,7 @@ CHANNEL_HASH = (7919, 13)
 COUNTRY_HASH = (104729, 7)
 LABEL_HASH = (48271, 11)
 UPLIFT_HASH = (31, 5)
+STATUS_HASH = (15485863, 3)
 
 
 def _col(c) -> Column:
@@ -118,6 +120,11 @@ def string_array(values: Sequence[str]) -> Column:
     return F.expr(f"array({quoted})")
 
 
+def weighted_status(key) -> Column:
+    """Status by its share, drawn by a hash of the row key."""
+    return weighted_pick(hash_draw(key, STATUS_HASH, 100), STATUS_WEIGHTS)
+
+
 def pick_from_pool(index, pool: Sequence[str]) -> Column:
     """pool[index mod len(pool)]."""
     i = F.pmod(_col(index), F.lit(len(pool)))
@@ -200,34 +207,8 @@ def user_id(idx) -> Column:
     return F.concat(F.lit("user_"), zero_pad(idx, 5))
 
 
-# ---- frame-level helpers (each registered as its own query) ---------------
-
-
-def with_amounts(df: DataFrame, base="base_amount", category="merchant_category") -> DataFrame:
-    return df.withColumn("category_multiplier", category_multiplier(category)).withColumn(
-        "amount", shape_amount(base, category)
-    )
-
-
 def with_risk_probability(df: DataFrame) -> DataFrame:
     units = fraud_probability_units()
     return df.withColumn("fraud_probability_units", units).withColumn(
         "fraud_probability", F.col("fraud_probability_units") / F.lit(float(FRAUD_UNITS))
     )
-
-
-def with_labels(df: DataFrame, key="event_id") -> DataFrame:
-    return df.withColumn("is_fraud", fraud_label(key, fraud_probability_units()))
-
-
-def with_uplift(df: DataFrame, key="event_id") -> DataFrame:
-    return df.withColumn("uplift_factor", uplift_factor(key)).withColumn(
-        "amount", uplifted_amount("amount", key, "is_fraud")
-    )
-
-
-# Names of the planned API (same functions).
-shape_amounts = with_amounts
-risk_probability = with_risk_probability
-assign_labels = with_labels
-uplift = with_uplift

@@ -67,50 +67,44 @@ def flag_rate_by_channel(enriched: DataFrame, params: JobParams = DEFAULT_PARAMS
     )
 
 
-def status_breakdown(full: DataFrame, enriched: DataFrame) -> DataFrame:
+def status_breakdown(full: DataFrame, enriched: DataFrame | None = None) -> DataFrame:
     """Raw status counts over the fixed domain, zero-filled (J2), plus the
     filtered share (full - enriched) / full, not clamped (A9).
 
     One pass with conditional counts, unpivoted to rows: no join, and the
-    result has exactly len(STATUS_DOMAIN) rows whatever the input holds.
+    result has exactly len(STATUS_DOMAIN) rows whatever the input holds. Without
+    ``enriched`` the same pass counts the rows that enrichment would keep.
     """
+    own = F.count_if(F.upper("status") == F.lit(STATUS_DOMAIN[0]))
     counts = full.agg(
         F.count(F.lit(1)).alias("_total"),
+        own.alias("_kept"),
         *[F.count_if(F.col("status") == F.lit(s)).alias(f"_n{i}") for i, s in enumerate(STATUS_DOMAIN)],
     )
-    stacked = counts.select(
-        "_total",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("position"), F.lit(s).alias("status"), F.col(f"_n{i}").alias("count"))
-                    for i, s in enumerate(STATUS_DOMAIN)
-                ]
-            )
-        ),
+    domain = F.array(
+        *[
+            F.struct(F.lit(i).alias("position"), F.lit(s).alias("status"), F.col(f"_n{i}").alias("count"))
+            for i, s in enumerate(STATUS_DOMAIN)
+        ]
     )
-    n_enriched = enriched.agg(F.count(F.lit(1))).scalar()
-    return stacked.select(
-        "position",
-        "status",
-        "count",
-        F.when(F.col("_total") > 0, (F.col("_total") - n_enriched) / F.col("_total"))
-        .otherwise(F.lit(0.0))
-        .alias("filtered_share"),
-    ).orderBy("position")
+    stacked = counts.select("_total", "_kept", F.inline(domain))
+    kept = F.col("_kept") if enriched is None else enriched.agg(F.count(F.lit(1))).scalar()
+    share = F.when(F.col("_total") > 0, (F.col("_total") - kept) / F.col("_total")).otherwise(F.lit(0.0))
+    return stacked.select("position", "status", "count", share.alias("filtered_share")).orderBy("position")
 
 
 def histograms(df: DataFrame, columns: Sequence[tuple[str, str]], bins: int = 34) -> DataFrame:
     """Equal-width histograms of several columns, each over its own [min, max],
     with numpy's rules: edges lo + i*step (last edge = hi), last bin closed,
     values nudged into the right bin when float rounding crosses an edge;
-    lo == hi widens the range by 0.5 each side; null and NaN are skipped.
-
-    ``columns`` is a list of (series name, column). Two passes over ``df``:
-    per-series bounds (at most len(columns) rows, checkpointed, broadcast by an
-    equi-join on the series name), then a grouped count per (series, bin), map-side
-    combined, so each task ships at most len(columns) * bins rows. Every bin
-    is returned; empty ones with count 0.
+    lo == hi widens the range by 0.5 each side; null and NaN are skipped; an
+    infinite value fails the query when it runs, as it has no finite range.
+
+    ``columns`` is a list of (series name, column). Two passes over ``df``, as
+    exact bounds need one of their own: bounds (a row per series, joined on its
+    name), then a count per (series, bin), map-side combined, so each task
+    ships at most len(columns) * bins rows. Every bin is returned; empty ones
+    with count 0. Nothing runs while the plan is built.
     """
     vals = df.select(
         F.inline(
@@ -118,59 +112,42 @@ def histograms(df: DataFrame, columns: Sequence[tuple[str, str]], bins: int = 34
                 *[
                     F.struct(
                         F.lit(name).alias("series"),
-                        F.when(F.isnan(F.col(c)), F.lit(None)).otherwise(F.col(c)).cast("double").alias("x"),
+                        F.when(~F.isnan(F.col(c)), F.col(c)).cast("double").alias("x"),
                     )
                     for name, c in columns
                 ]
             )
         )
-    )
-    bounds = (
-        vals.groupBy("series")
-        .agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
-        .filter(F.col("lo0").isNotNull())
-        .select(
-            "series",
-            F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - F.lit(0.5)).otherwise(F.col("lo0")).alias("lo"),
-            F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + F.lit(0.5)).otherwise(F.col("hi0")).alias("hi"),
-        )
-        .select("*", ((F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("step"))
-    )
-    # One row per series, used twice (placement and the bin grid): checkpoint
-    # it once so the input is not scanned again for the grid.
-    from ledgerline.session import shared_root
-
-    shared_root(df.sparkSession)
-    bounds = bounds.checkpoint(eager=True)
+    ).where("x is not null")
+    endless = F.raise_error(F.concat(F.lit("histogram range is not finite: "), F.col("series"))).cast("double")
+    finite = lambda end: F.when(F.abs(end) == float("inf"), endless).otherwise(end)
+    bounds = vals.groupBy("series").agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
+    bounds = bounds.withColumns({"lo0": finite(F.col("lo0")), "hi0": finite(F.col("hi0"))})
+    half = F.when(F.col("lo0") == F.col("hi0"), F.lit(0.5)).otherwise(F.lit(0.0))
+    bounds = bounds.select("series", (F.col("lo0") - half).alias("lo"), (F.col("hi0") + half).alias("hi"))
+    bounds = bounds.withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
     last = F.lit(bins - 1)
 
     def edge(i):
         return F.when(i == F.lit(bins), F.col("hi")).otherwise(i * F.col("step") + F.col("lo"))
 
     # ``bounds`` has one row per series: a fixed bound, safe to broadcast.
-    placed = vals.join(F.broadcast(bounds), "series").select(
-        "series", "x", "lo", "hi", "step",
-        F.least(F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))), last).alias("i0"),
-    )
-    placed = placed.select(
-        "series", "x", "lo", "hi", "step",
-        F.when(F.col("x") < edge(F.col("i0")), F.col("i0") - 1).otherwise(F.col("i0")).alias("i1"),
-    )
-    placed = placed.select(
-        "series",
-        F.when((F.col("i1") != last) & (F.col("x") >= edge(F.col("i1") + 1)), F.col("i1") + 1)
-        .otherwise(F.col("i1"))
-        .alias("bin"),
-    )
-    counts = placed.groupBy("series", "bin").agg(F.count(F.lit(1)).alias("count"))
-    grid = bounds.select("series", "lo", "hi", "step", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
-    # counts holds at most len(columns) * bins rows: a fixed bound.
-    return grid.join(F.broadcast(counts), ["series", "bin"], "left").select(
+    per_unit = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
+    placed = vals.join(F.broadcast(bounds), "series")
+    placed = placed.withColumn("i", F.least(F.floor((F.col("x") - F.col("lo")) * per_unit), last))
+    placed = placed.withColumn("i", F.when(F.col("x") < edge(F.col("i")), F.col("i") - 1).otherwise(F.col("i")))
+    above = (F.col("i") != last) & (F.col("x") >= edge(F.col("i") + 1))
+    placed = placed.withColumn("bin", F.when(above, F.col("i") + 1).otherwise(F.col("i")).cast("int"))
+    series = ["series", "lo", "hi", "step"]
+    counts = placed.groupBy(*series, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # at most ``bins`` entries a series
+    filled = counts.groupBy(*series).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("n"))
+    return filled.select(*series, "n", F.explode(F.sequence(F.lit(0), last)).alias("bin")).select(
         "series",
-        F.col("bin").cast("int").alias("bin"),
+        "bin",
         (F.col("bin") * F.col("step") + F.col("lo")).alias("bin_start"),
         edge(F.col("bin") + 1).alias("bin_end"),
-        F.coalesce(F.col("count"), F.lit(0)).alias("count"),
+        F.coalesce(F.try_element_at("n", F.col("bin")), F.lit(0)).cast("long").alias("count"),
     )
 
 
@@ -205,16 +182,17 @@ def sample_windows(windows: DataFrame, n: int = 12) -> DataFrame:
 
 
 def report_datasets(
-    enriched: DataFrame, windows: DataFrame, full: DataFrame, params: JobParams = DEFAULT_PARAMS
+    enriched: DataFrame, windows: DataFrame, full: DataFrame | None, params: JobParams = DEFAULT_PARAMS
 ) -> dict[str, DataFrame]:
-    """The data behind every chart and report table (C6), as DataFrames."""
+    """The data behind every chart and report table (C6), as DataFrames. Without
+    a ``full`` table of the input there is no status breakdown."""
     from ledgerline.operators.windows import alerts
 
-    return {
+    breakdown = {} if full is None else {"status_breakdown": status_breakdown(full, enriched)}
+    return breakdown | {
         "throughput_series": throughput_series(windows),
         "flag_rate_series": flag_rate_series(windows, params),
         "alert_windows": alerts(windows, params),
-        "status_breakdown": status_breakdown(full, enriched),
         "net_value_by_category": net_value_by_category(enriched),
         "amount_histogram": amount_histogram(enriched, params.histogram_bins),
         "flag_rate_by_channel": flag_rate_by_channel(enriched, params),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field, replace
 from typing import Mapping
 
@@ -25,10 +26,12 @@ class JobParams:
     ``discount_rules`` may be empty: every category then gets rate 0.0.
     ``max_files_per_trigger`` bounds a file-source micro-batch (None: no bound).
     ``state_partitions``: shuffle partitions of the stateful window query
-    (None: the session's setting capped at ``STATE_PARTITIONS_CAP``). Its keys
-    are the open windows (about delay/duration + 1), not the rows, so more
-    partitions than that only add per-batch state-store commits. The number is
-    fixed into the query's checkpoint at its first start.
+    (None: the session's setting). Its keys are the open windows (about
+    delay/duration + 1), not the rows: a job whose open windows are few saves
+    per-batch state-store commits by setting it to about their number. The
+    number is fixed into the query's checkpoint at its first start.
+    ``chained_files_per_trigger`` bounds a micro-batch of the windowed query
+    in the chained layout, whose source is the enriched output.
     ``partition_enriched_by_date`` writes the enriched sink partitioned by
     ``event_date`` (UTC date of the event) so date-bounded readers prune files.
     """
@@ -44,6 +47,7 @@ class JobParams:
     )
     legacy_discount_factor: float = 0.9
     max_files_per_trigger: int | None = 4
+    chained_files_per_trigger: int | None = 4
     batch_size: int = 250
     histogram_bins: int = 34
     source: str = "file"
@@ -57,7 +61,16 @@ class JobParams:
     def with_(self, **changes) -> "JobParams":
         return replace(self, **changes)
 
+    @classmethod
+    def from_env(cls, env: Mapping[str, str] | None = None, **changes) -> "JobParams":
+        """Defaults with the source switch taken from SOURCE, KAFKA_BOOTSTRAP and
+        KAFKA_TOPIC where these are set; ``changes`` that aren't None win."""
+        env = os.environ if env is None else env
+        named = {"source": "SOURCE", "kafka_bootstrap": "KAFKA_BOOTSTRAP", "kafka_topic": "KAFKA_TOPIC"}
+        found = {name: env[key] for name, key in named.items() if env.get(key)}
+        if "source" in found:
+            found["source"] = found["source"].lower()
+        return cls(**found | {k: v for k, v in changes.items() if v is not None})
 
-STATE_PARTITIONS_CAP = 32
 
 DEFAULT_PARAMS = JobParams()

@@ -2,7 +2,7 @@
 
 Each statement is self-contained over the pre-registered ``events`` view.
 Rules that keep both engines bit-equal: double literals carry ``::DOUBLE``
-(DuckDB literals are DECIMAL); money sums go through DECIMAL(18,6); the
+(DuckDB literals are DECIMAL); money sums go through DECIMAL(30,12); the
 medium-amount bound is 450*0.55 computed in doubles; integer sums are cast to
 BIGINT (DuckDB widens them).
 """
@@ -125,7 +125,7 @@ enriched AS (
 
 
 def _money(col: str, scale: int | None = None) -> str:
-    s = f"sum(CAST({col} AS DECIMAL(18,6)))"
+    s = f"sum(CAST({col} AS DECIMAL(30,12)))"
     if scale is not None:
         s = f"round({s}, {scale})"
     return f"CAST({s} AS DOUBLE)"
@@ -225,7 +225,52 @@ SELECT source_events, enriched_events, filtered_count,
        max_window_fraud_rate, min_event_time, max_event_time, rows_unparsed
 FROM m"""
 
+# The run over landed files: seven malformed lines more in the input.
+RUN_METRICS_BROKEN_LINES = RUN_METRICS.replace(
+    "src AS (SELECT count(*) AS n, count(*) FILTER (WHERE transaction_id IS NULL) AS bad FROM transactions)",
+    "src AS (SELECT count(*) + 7 AS n, count(*) FILTER (WHERE transaction_id IS NULL) + 7 AS bad FROM transactions)",
+)
+
+METRICS_RECORD = f"""SELECT r.*, CAST(1 AS BIGINT) AS enriched_batches, CAST(1 AS BIGINT) AS windowed_batches,
+       CAST(0 AS BIGINT) AS rows_dropped_by_watermark, 'table' AS source, '5 minutes' AS window_duration,
+       '30 minutes' AS watermark_delay, 0.65::DOUBLE AS fraud_threshold, 0.08::DOUBLE AS fraud_alert_rate,
+       (SELECT '[' || string_agg('{{"status":"' || status || '","count":' || n || '}}', ',' ORDER BY status) || ']'
+        FROM (SELECT status, count(*) AS n FROM ({WITH_TX} SELECT status FROM transactions WHERE status IS NOT NULL) GROUP BY status)
+       ) AS status_counts
+FROM ({RUN_METRICS}) r"""
+
+# Rows arrive by eighths of the time range, a quarter of them one part late; the
+# watermark of a part comes from the rows of the parts before it.
+LATE_ROWS = f"""WITH {ENRICHED},
+span AS (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS lo, CAST(floor(epoch(max(ts))) AS BIGINT) AS hi FROM events),
+arrivals AS (
+  SELECT printf('txn_%07d', e.event_id) AS transaction_id,
+         COALESCE(least((((CAST(floor(epoch(e.ts)) AS BIGINT) - span.lo) * 8) // (span.hi - span.lo + 1))
+                        + CASE WHEN {_pmod('e.event_id', 4)} = 0 THEN 1 ELSE 0 END, 7), 0) AS part
+  FROM events e, span
+),
+placed AS (SELECT s.*, a.part FROM enriched s JOIN arrivals a ON s.transaction_id = a.transaction_id),
+tops AS (SELECT part, max(event_time) AS top FROM placed GROUP BY part),
+marks AS (
+  SELECT p.part, (SELECT date_trunc('millisecond', max(top)) FROM tops t WHERE t.part < p.part) - INTERVAL '30 minutes' AS mark
+  FROM (SELECT DISTINCT part FROM placed) p
+),
+kept AS (
+  SELECT p.* FROM placed p JOIN marks m ON p.part = m.part
+  WHERE m.mark IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > m.mark
+)
+SELECT * FROM ({_windows('5 minutes').replace('FROM enriched', 'FROM kept')}) w
+WHERE window_end <= (SELECT date_trunc('millisecond', max(event_time)) FROM enriched) - INTERVAL '30 minutes'"""
+
 ORACLE: dict[str, str] = {
+    "stream_dual_sink_source": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
+    "stream_dual_sink_chained": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
+    "stream_late_rows": LATE_ROWS,
+    "run_metrics_no_full_copy": RUN_METRICS_BROKEN_LINES,
+    "metrics_record": METRICS_RECORD,
+    "kafka_payload_decode": f"{WITH_TX}\nSELECT {_TX_COLS} FROM transactions",
+    "weighted_status": f"""SELECT event_id, CASE WHEN {_pmod('event_id * 15485863 + 3', 100)} < 88 THEN 'SUCCESS'
+       WHEN {_pmod('event_id * 15485863 + 3', 100)} < 96 THEN 'FAILED' ELSE 'PENDING' END AS status FROM events""",
     "transactions_view": f"{WITH_TX}\nSELECT {_TX_COLS} FROM transactions",
     "json_payload_decode": f"{WITH_TX}\nSELECT {_TX_COLS} FROM transactions",
     "full_copy_roundtrip": f"{WITH_TX}\nSELECT {_TX_COLS} FROM transactions",

@@ -19,7 +19,7 @@ from ledgerline.functions.timecols import instant_to_wallclock
 from ledgerline.operators import shaping as S
 from ledgerline.operators.enrich import enrich, enrich_with_rules, flagged, rules_frame, score_components
 from ledgerline.operators.legacy import legacy, legacy_records
-from ledgerline.operators.summary import enriched_summary, run_metrics, status_counts, windowed_summary
+from ledgerline.operators.summary import enriched_summary, status_counts, table_metrics, windowed_summary
 from ledgerline.operators.views import (
     amount_histogram,
     flag_rate_by_channel,
@@ -36,8 +36,8 @@ from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, LEGACY_TRANSACTIO
 from ledgerline.session import work_path
 from ledgerline.sources.events import base_amount, keyed_transactions, transactions_from_events, with_dimensions
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
-from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_ndjson, read_output
-from ledgerline.sources.sinks import land_ndjson, write_full_copy
+from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_input, read_ndjson, read_output, read_transactions
+from ledgerline.sources.sinks import append_metrics, land_ndjson, write_full_copy
 from ledgerline.streaming.jobs import (
     await_query,
     run_stream,
@@ -45,6 +45,7 @@ from ledgerline.streaming.jobs import (
     start_legacy_job,
     start_windowed,
     stream_metrics,
+    stream_record,
 )
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -122,15 +123,78 @@ def q_stream_ndjson_source(spark, sf_dir):
     return wallclock(read_output(spark, out, ENRICHED))
 
 
+def _dual_sink(spark: SparkSession, sf_dir: str, name: str, windowed_from: str):
+    return run_stream(
+        spark,
+        lambda session: transactions_from_events(events_stream(session, sf_dir)),
+        work_path(spark, name),
+        work_path(spark, f"ckpt-{name}"),
+        windowed_from=windowed_from,
+    )
+
+
 def q_stream_dual_sink(spark, sf_dir):
-    """Both sinks concurrently over one source, then run metrics of the outputs."""
+    """Both sinks at once, each over the source, then run metrics of the outputs."""
+    run = _dual_sink(spark, sf_dir, "dual", "source")
+    return stream_metrics(spark, run, transactions(spark, sf_dir))
+
+
+def q_stream_dual_sink_source(spark, sf_dir):
+    """What the windowed sink of the two-reader layout has written."""
+    return wallclock(_dual_sink(spark, sf_dir, "dual-source", "source").windows(spark))
+
+
+def q_stream_dual_sink_chained(spark, sf_dir):
+    """The same in the chained layout: on one batch in time order the windows are equal."""
+    return wallclock(_dual_sink(spark, sf_dir, "dual-chained", "enriched").windows(spark))
+
+
+LATE_PARTS = 8
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Disordered input in several micro-batches. The events arrive by eighths of
+    their time range, but a quarter of them one part late. A window that had
+    closed by the end of the batches before takes no more rows."""
+    tx = keyed_transactions(events(spark, sf_dir))
+    landing, out, ckpt = work_path(spark, "late"), work_path(spark, "late-out"), work_path(spark, "ckpt-late")
+    seconds = F.unix_seconds("event_time")
+    lo, hi = tx.agg(F.min(seconds), F.max(seconds)).first()
+    eighth = F.expr(f"((unix_seconds(event_time) - {lo or 0}L) * {LATE_PARTS}L) div {(hi or 0) - (lo or 0) + 1}L")
+    late = F.when(F.pmod("event_id", F.lit(4)) == 0, 1).otherwise(0)
+    arrival = F.coalesce(F.least(eighth + late, F.lit(LATE_PARTS - 1)), F.lit(0))
+    for n in range(LATE_PARTS):
+        tx.where(arrival == n).drop("event_id").coalesce(1).write.mode("append").parquet(landing)
+        await_query(start_windowed(parquet_stream(spark, landing, TRANSACTION), out, ckpt))
+    return wallclock(read_output(spark, out, WINDOWED))
+
+
+def q_run_metrics_no_full_copy(spark, sf_dir):
+    """A run over NDJSON files, malformed lines among them, whose input counts come
+    from the files themselves."""
+    landing = work_path(spark, "landing-metrics")
+    land_ndjson(transactions(spark, sf_dir), landing, partitions=4)
+    broken = spark.range(0, 7, 1, 2).select(F.concat(F.lit("not json "), F.col("id").cast("string")).alias("value"))
+    broken.write.mode("append").text(landing)
     run = run_stream(
         spark,
-        lambda: transactions_from_events(events_stream(spark, sf_dir)),
-        work_path(spark, "dual"),
-        work_path(spark, "ckpt-dual"),
+        lambda session: read_transactions(session, DEFAULT_PARAMS, landing, timestamp_format=ISO_TIMESTAMP_FORMAT),
+        work_path(spark, "metrics-run"),
+        work_path(spark, "ckpt-metrics-run"),
+        DEFAULT_PARAMS.with_(max_files_per_trigger=100),
+    )
+    return stream_metrics(spark, run, read_input(spark, DEFAULT_PARAMS, landing, timestamp_format=ISO_TIMESTAMP_FORMAT))
+
+
+def q_metrics_record(spark, sf_dir):
+    """The metrics record that a run writes, read back from its JSON file; the
+    wall time, which differs from run to run, left out."""
+    run = _dual_sink(spark, sf_dir, "record", "source")
+    record = stream_record(spark, run, transactions(spark, sf_dir), kind="table")
+    back = append_metrics(record, work_path(spark, "metrics-json"), "r1")
+    return back.withColumn("status_counts", F.to_json("status_counts")).drop(
+        "pipeline_duration_seconds", "throughput_events_per_second"
     )
-    return stream_metrics(spark, run, transactions(spark, sf_dir))
 
 
 def q_stream_incremental_resume(spark, sf_dir):
@@ -162,13 +226,13 @@ def q_stream_incremental_resume(spark, sf_dir):
 def q_stream_legacy_job(spark, sf_dir):
     """Older Kafka job as a stream: producer-style JSON lines (one payload per
     line) -> decode -> SUCCESS only -> discounted_amount -> JSON records,
-    written by its checkpointed sink; debug sinks are no-ops here."""
+    written by its checkpointed sink."""
     landing = work_path(spark, "legacy-lines")
     payload = encode_json_payload(legacy_records(transactions(spark, sf_dir)), options={})
     payload.write.text(landing)
     out, ckpt = work_path(spark, "legacy-records"), work_path(spark, "ckpt-legacy")
     raw = spark.readStream.text(landing)
-    for q in start_legacy_job(raw, ckpt, debug_format="noop", sink="parquet", out_path=out, available_now=True):
+    for q in start_legacy_job(raw, ckpt, sink="parquet", out_path=out, available_now=True):
         await_query(q)
     return spark.read.parquet(out)
 
@@ -225,9 +289,7 @@ def q_status_counts(spark, sf_dir):
 
 
 def q_run_metrics(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    e = enrich(tx)
-    return run_metrics(tx, e, closed_windows(e))
+    return table_metrics(transactions(spark, sf_dir))
 
 
 def q_throughput_series(spark, sf_dir):
@@ -251,8 +313,7 @@ def q_flag_rate_by_channel(spark, sf_dir):
 
 
 def q_status_breakdown(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    return status_breakdown(tx, enrich(tx))
+    return status_breakdown(transactions(spark, sf_dir))
 
 
 def q_amount_histogram(spark, sf_dir):
@@ -272,6 +333,16 @@ def q_json_payload_decode(spark, sf_dir):
     return wallclock(decode_json_payload(encoded, TRANSACTION))
 
 
+def q_kafka_payload_decode(spark, sf_dir):
+    """The decoding that the Kafka source uses: no JSON options."""
+    encoded = encode_json_payload(transactions(spark, sf_dir), as_binary=True)
+    return wallclock(decode_json_payload(encoded, TRANSACTION, options={}))
+
+
+def q_weighted_status(spark, sf_dir):
+    return events(spark, sf_dir).select("event_id", S.weighted_status("event_id").alias("status"))
+
+
 def q_json_payload_encode(spark, sf_dir):
     rows = legacy(legacy_records(transactions(spark, sf_dir)))
     return encode_json_payload(rows, options={})
@@ -352,6 +423,13 @@ QUERIES: dict[str, Query] = {
     "stream_enriched_sink": q_stream_enriched_sink,
     "stream_ndjson_source": q_stream_ndjson_source,
     "stream_dual_sink": q_stream_dual_sink,
+    "stream_dual_sink_source": q_stream_dual_sink_source,
+    "stream_dual_sink_chained": q_stream_dual_sink_chained,
+    "stream_late_rows": q_stream_late_rows,
+    "run_metrics_no_full_copy": q_run_metrics_no_full_copy,
+    "metrics_record": q_metrics_record,
+    "kafka_payload_decode": q_kafka_payload_decode,
+    "weighted_status": q_weighted_status,
     "stream_incremental_resume": q_stream_incremental_resume,
     "stream_legacy_job": q_stream_legacy_job,
     "fraud_components": q_fraud_components,

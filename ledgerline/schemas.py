@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The wire format of a transaction record.
 TRANSACTION = StructType(
     [
         StructField("transaction_id", StringType(), False),
@@ -56,7 +57,7 @@ WINDOWED = StructType(
     ]
 )
 
-# Older Kafka job: five fields, the timestamp stays text.
+# The older Kafka job's record, five fields; the timestamp stays text.
 LEGACY_TRANSACTION = StructType(
     [
         StructField("transaction_id", StringType(), True),
@@ -68,7 +69,6 @@ LEGACY_TRANSACTION = StructType(
 )
 
 ENRICHED_COLUMNS = [f.name for f in ENRICHED.fields]
-WINDOWED_COLUMNS = [f.name for f in WINDOWED.fields]
 TRANSACTION_COLUMNS = [f.name for f in TRANSACTION.fields]
 
 # Timestamp text with microseconds and an explicit offset: lossless and

@@ -7,6 +7,7 @@ from ledgerline.sources.readers import (
     kafka_stream,
     ndjson_stream,
     parquet_stream,
+    read_input,
     read_ndjson,
     read_output,
     read_transactions,
@@ -31,6 +32,7 @@ __all__ = [
     "land_ndjson",
     "ndjson_stream",
     "parquet_stream",
+    "read_input",
     "read_ndjson",
     "read_output",
     "read_transactions",

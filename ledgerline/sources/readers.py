@@ -6,6 +6,7 @@ reader, S8 Parquet table as a stream.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -84,16 +85,35 @@ def read_transactions(
     return ndjson_stream(spark, path, TRANSACTION, params.max_files_per_trigger, timestamp_format)
 
 
+def read_input(
+    spark: SparkSession,
+    params: JobParams = DEFAULT_PARAMS,
+    path: str | None = None,
+    source: str | None = None,
+    timestamp_format: str | None = None,
+) -> DataFrame | None:
+    """What :func:`read_transactions` streams, as a batch frame: for counting the
+    real input. None for Kafka, whose topic may have lost what was read."""
+    kind = (source or params.source or "file").lower()
+    if kind == "kafka":
+        return None
+    if kind == "table":
+        return spark.read.schema(TRANSACTION).parquet(path)
+    reader = spark.read.schema(TRANSACTION)
+    return (reader.option("timestampFormat", timestamp_format) if timestamp_format else reader).json(path)
+
+
 def read_output(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Committed rows of a sink folder; an empty frame if nothing exists yet.
 
     For a streaming file sink Spark reads through its ``_spark_metadata``
     log, so files of uncommitted batches are never seen."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: StructType = TRANSACTION) -> DataFrame:

@@ -49,11 +49,15 @@ def start_kafka_sink(encoded: DataFrame, checkpoint: str, params: JobParams = DE
     )
 
 
-def start_debug_sink(df: DataFrame, fmt: str = "console", name: str | None = None) -> StreamingQuery:
+def start_debug_sink(
+    df: DataFrame, fmt: str = "console", name: str | None = None, available_now: bool = False
+) -> StreamingQuery:
     """Console (or memory, in tests) sink for eyeballing a stream."""
     w = df.writeStream.format(fmt).outputMode("append")
     if name:
         w = w.queryName(name)
+    if available_now:
+        w = w.trigger(availableNow=True)
     return w.start()
 
 
@@ -62,10 +66,14 @@ def write_full_copy(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+LANDING_FILE_ROWS = 100_000
+LANDING_TASK_ROWS = 1_000_000
+
+
 def land_ndjson(
     df: DataFrame,
     path: str,
-    batch_size: int = 250,
+    batch_size: int = LANDING_FILE_ROWS,
     partitions: int | None = None,
     order_by=("event_time", "transaction_id"),
 ) -> None:
@@ -74,8 +82,10 @@ def land_ndjson(
     Range partitioning on (event_time, transaction_id) keeps files in time
     order and spreads even a single hot timestamp over many tasks; timestamps
     carry microseconds and an offset so a read-back is lossless in any zone.
+    ``partitions`` is the number of tasks; by default the rows are counted and a
+    task gets about LANDING_TASK_ROWS of them, so it does not grow with the data.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or max(1, -(-df.count() // LANDING_TASK_ROWS))
     (
         df.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)
@@ -86,6 +96,10 @@ def land_ndjson(
     )
 
 
-def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
-    """Append one metrics row (tagged with ``run_id``) as JSON."""
-    metrics.select(F.lit(run_id).alias("run_id"), "*").coalesce(1).write.mode("append").json(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Append one metrics row (tagged with ``run_id``) as JSON, and return the
+    written row, read back: the metrics are computed once."""
+    row = metrics.select(F.lit(run_id).alias("run_id"), "*")
+    row.coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)
+    back = metrics.sparkSession.read.schema(row.schema).json(path)
+    return back.where(F.col("run_id") == run_id).drop("run_id")

@@ -1,25 +1,27 @@
 """Structured Streaming jobs."""
 
 from ledgerline.streaming.jobs import (
+    ProgressLog,
     StreamRun,
-    await_any,
+    await_all,
     await_query,
     legacy_stream,
-    query_stats,
     run_stream,
     start_legacy_job,
     start_stream,
     stream_metrics,
+    stream_record,
 )
 
 __all__ = [
+    "ProgressLog",
     "StreamRun",
-    "await_any",
+    "await_all",
     "await_query",
     "legacy_stream",
-    "query_stats",
     "run_stream",
     "start_legacy_job",
     "start_stream",
     "stream_metrics",
+    "stream_record",
 ]

@@ -1,53 +1,109 @@
 """Structured Streaming jobs.
 
-Each query owns its checkpoint; both pipeline queries re-read the source, as
-in the reference, but run concurrently instead of one after the other.
+Each query owns its checkpoint; both pipeline queries read the source on
+their own, with the same bound on a micro-batch, as in the reference, but run
+concurrently instead of one after the other.
 """
 
 from __future__ import annotations
 
 import time
+import warnings
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline.functions.timecols import instant_to_wallclock
 from ledgerline.operators.enrich import enrich
 from ledgerline.operators.legacy import legacy
-from ledgerline.operators.summary import run_metrics
+from ledgerline.operators.summary import metrics_record, run_metrics
 from ledgerline.operators.windows import windowed
-from ledgerline.params import DEFAULT_PARAMS, STATE_PARTITIONS_CAP, JobParams
+from ledgerline.params import DEFAULT_PARAMS, JobParams
 from ledgerline.schemas import ENRICHED, LEGACY_TRANSACTION, WINDOWED
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
-from ledgerline.sources.readers import read_output
+from ledgerline.sources.readers import parquet_stream, read_output
 from ledgerline.sources.sinks import start_debug_sink, start_kafka_sink, start_parquet_sink
 
+POLL_SECONDS = 0.1
 
-def await_query(query: StreamingQuery) -> None:
-    """Block until the query stops; re-raise its failure."""
-    query.awaitTermination()
-    error = query.exception()
-    if error is not None:
-        raise error
-
-
-def query_stats(query: StreamingQuery) -> dict:
-    """Batches run, input rows and rows dropped by the watermark."""
-    progress = query.recentProgress or []
-    batches = sum(1 for p in progress if (p.get("numInputRows") or 0) > 0)
-    rows = sum(int(p.get("numInputRows") or 0) for p in progress)
-    dropped = 0
-    for p in progress:
-        for op in p.get("stateOperators") or []:
-            dropped += int(op.get("numRowsDroppedByWatermark") or 0)
-    last = query.lastProgress or {}
-    return {
-        "batches_with_data": batches,
-        "input_rows": rows,
-        "rows_dropped_by_watermark": dropped,
-        "last_batch_id": last.get("batchId"),
-    }
+
+@dataclass
+class ProgressLog:
+    """Counts of a query by micro-batch.
+
+    Spark keeps only a query's latest progress entries, so they are collected
+    while the query runs: call :meth:`update` more often than it forgets them.
+    If batches were missed all the same, the counts are null, with a warning.
+    """
+
+    query: StreamingQuery
+    batches: dict[int, tuple[int, int]] = field(default_factory=dict)
+
+    def update(self) -> None:
+        for p in self.query.recentProgress or []:
+            rows = int(p.get("numInputRows") or 0)
+            dropped = sum(int(op.get("numRowsDroppedByWatermark") or 0) for op in p.get("stateOperators") or [])
+            # an idle report carries the number of the batch that will come next
+            before = self.batches.get(p["batchId"], (0, 0))
+            self.batches[p["batchId"]] = (max(rows, before[0]), max(dropped, before[1]))
+
+    def complete(self) -> bool:
+        return not self.batches or len(self.batches) == max(self.batches) - min(self.batches) + 1
+
+    def stats(self) -> dict:
+        """Batches with data, input rows, rows dropped by the watermark (partially aggregated rows) and the last batch id."""
+        self.update()
+        last = max(self.batches, default=None)
+        if not self.complete():
+            warnings.warn("progress of some micro-batches was missed; their counts are unknown", stacklevel=2)
+            return dict.fromkeys(("batches_with_data", "input_rows", "rows_dropped_by_watermark")) | {"last_batch_id": last}
+        return {
+            "batches_with_data": sum(rows > 0 for rows, _ in self.batches.values()),
+            "input_rows": sum(rows for rows, _ in self.batches.values()),
+            "rows_dropped_by_watermark": sum(dropped for _, dropped in self.batches.values()),
+            "last_batch_id": last,
+        }
+
+
+def await_all(logs: Iterable[ProgressLog], any_stop: bool = False) -> None:
+    """Wait until all queries stop, or with ``any_stop`` the first of them.
+
+    When one fails, the others are stopped before its error is raised, so no
+    sibling goes on unseen.
+    """
+    logs = list(logs)
+    try:
+        running = logs
+        while running:
+            for log in running:
+                log.query.awaitTermination(POLL_SECONDS)  # raises what ended the query
+                log.update()
+            still = [log for log in logs if log.query.isActive]
+            if any_stop and len(still) < len(logs):
+                # one may have failed between its turn and this check
+                for log in logs:
+                    if log not in still:
+                        log.query.awaitTermination()
+                return
+            running = still
+        for log in logs:
+            log.query.awaitTermination()
+            log.update()
+    except BaseException:
+        for log in logs:
+            if log.query.isActive:
+                log.query.stop()
+        raise
+
+
+def await_query(query: StreamingQuery) -> ProgressLog:
+    """Block until the query stops, raise its failure; the progress seen meanwhile."""
+    log = ProgressLog(query)
+    await_all([log])
+    return log
 
 
 @dataclass
@@ -55,15 +111,19 @@ class StreamRun:
     enriched_path: str
     windowed_path: str
     duration_seconds: float
-    queries: dict[str, StreamingQuery] = field(default_factory=dict)
+    logs: dict[str, ProgressLog] = field(default_factory=dict)
     started: float = 0.0
 
+    @property
+    def queries(self) -> dict[str, StreamingQuery]:
+        return {name: log.query for name, log in self.logs.items()}
+
     def stop(self) -> None:
         for q in self.queries.values():
             q.stop()
 
     def stats(self) -> dict:
-        return {name: query_stats(q) for name, q in self.queries.items()}
+        return {name: log.stats() for name, log in self.logs.items()}
 
     def enriched(self, spark: SparkSession) -> DataFrame:
         return read_output(spark, self.enriched_path, ENRICHED)
@@ -76,33 +136,30 @@ def start_enriched(source: DataFrame, path: str, checkpoint: str, params: JobPar
     """K1: enriched events -> Parquet (optionally partitioned by event date)."""
     out = enrich(source, params)
     if params.partition_enriched_by_date:
-        from pyspark.sql import functions as F
-
-        from ledgerline.functions.timecols import instant_to_wallclock
-
         out = out.withColumn("event_date", F.to_date(instant_to_wallclock("event_time")))
         return start_parquet_sink(out, path, checkpoint, available_now, partition_by=["event_date"])
     return start_parquet_sink(out, path, checkpoint, available_now)
 
 
-def state_partitions(spark: SparkSession, params: JobParams) -> int:
-    if params.state_partitions:
-        return int(params.state_partitions)
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTITIONS_CAP)
-
-
 def start_windows_query(windows: DataFrame, path: str, checkpoint: str, params: JobParams, available_now: bool = True) -> StreamingQuery:
-    """Start a stateful window query with ``state_partitions`` shuffle
-    partitions. The query clones the session conf when it starts, so the
-    setting applies to this query only and is restored right after."""
-    spark = windows.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions(spark, params)))
-    try:
-        return start_parquet_sink(windows, path, checkpoint, available_now)
-    finally:
-        spark.conf.set(key, before)
+    """Start a stateful window query. With ``params.state_partitions`` its state
+    has that many partitions, else the session's shuffle partitions. ``windows``
+    must then be made in :func:`windows_session`: a query takes the settings of
+    its frame's session."""
+    return start_parquet_sink(windows, path, checkpoint, available_now)
+
+
+def windows_session(spark: SparkSession, params: JobParams) -> SparkSession:
+    """The session for the window query's frames: ``spark``, or a sibling on the
+    same context with its settings but for the number of shuffle partitions."""
+    if not params.state_partitions:
+        return spark
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    sibling.conf.set("spark.sql.shuffle.partitions", str(int(params.state_partitions)))
+    return sibling
 
 
 def start_windowed(source: DataFrame, path: str, checkpoint: str, params: JobParams = DEFAULT_PARAMS, available_now: bool = True) -> StreamingQuery:
@@ -110,108 +167,110 @@ def start_windowed(source: DataFrame, path: str, checkpoint: str, params: JobPar
     return start_windows_query(windowed(enrich(source, params), params), path, checkpoint, params, available_now)
 
 
-def _ensure_dir(spark: SparkSession, path: str) -> None:
-    """Create ``path`` on its file system (local, HDFS, object store)."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
-
-
 def start_stream(
     spark: SparkSession,
-    source: Callable[[], DataFrame],
+    source: Callable[[SparkSession], DataFrame],
     out_root: str,
     checkpoint_root: str,
     params: JobParams = DEFAULT_PARAMS,
     concurrent: bool = True,
     available_now: bool = True,
-    windowed_from: str = "enriched",
+    windowed_from: str = "source",
 ) -> StreamRun:
     """Start the enriched and windowed sinks (C3, W10) and return at once
     (under availableNow a query the other depends on is awaited first).
 
-    ``windowed_from='enriched'`` (default): the windowed query streams the
-    committed enriched output, so the raw source is read and enriched once;
-    under availableNow it starts when the enriched query has drained, in
-    continuous mode it tails the enriched output. The watermark still sees
-    only successful rows, so results are the same as
-    ``windowed_from='source'``, where each query reads the source on its own
-    (as in the reference) and, with ``concurrent``, both run at once.
+    ``source`` makes a fresh source frame in the session it is given.
+
+    ``windowed_from='source'`` (default): each query reads the source on its
+    own, in the micro-batches that the source's bound makes, so late rows are
+    dropped as in the reference; with ``concurrent`` both run at once.
+
+    ``windowed_from='enriched'``: the windowed query streams the committed
+    enriched output in micro-batches of ``params.chained_files_per_trigger``
+    of its files, so the source is read and enriched once. On input in time
+    order the windows are the same. On disordered input they may differ: which
+    late rows are dropped depends on how rows are batched, and here the files
+    of the enriched output are batched, not those of the source.
+
     Restarting with the same roots resumes from the checkpoints (W9)."""
-    started = time.perf_counter()
-    enriched_path, windowed_path = f"{out_root}/enriched", f"{out_root}/windowed"
-    q1 = start_enriched(source(), enriched_path, f"{checkpoint_root}/enriched", params, available_now)
-    if windowed_from == "enriched":
-        if available_now:
-            await_query(q1)
-        else:
-            _ensure_dir(spark, enriched_path)
-        chained = spark.readStream.schema(ENRICHED).parquet(enriched_path).select(*ENRICHED.fieldNames())
-        q2 = start_windows_query(
-            windowed(chained, params), windowed_path, f"{checkpoint_root}/windowed", params, available_now
-        )
-    elif windowed_from == "source":
-        if available_now and not concurrent:
-            await_query(q1)
-        q2 = start_windowed(source(), windowed_path, f"{checkpoint_root}/windowed", params, available_now)
-    else:
+    if windowed_from not in ("source", "enriched"):
         raise ValueError(f"windowed_from must be 'source' or 'enriched', not {windowed_from!r}")
-    run = StreamRun(enriched_path, windowed_path, 0.0, {"enriched": q1, "windowed": q2})
-    run.started = started
+    run = StreamRun(f"{out_root}/enriched", f"{out_root}/windowed", 0.0, started=time.perf_counter())
+    try:
+        first = start_enriched(source(spark), run.enriched_path, f"{checkpoint_root}/enriched", params, available_now)
+        run.logs["enriched"] = ProgressLog(first)
+        chained = windowed_from == "enriched"
+        if available_now and (chained or not concurrent):
+            await_all(run.logs.values())
+        session = windows_session(spark, params)
+        if chained:
+            if not available_now:
+                _await_first_output(run)
+            rows = parquet_stream(session, run.enriched_path, ENRICHED, params.chained_files_per_trigger)
+            windows = windowed(rows.select(*ENRICHED.fieldNames()), params)
+        else:
+            windows = windowed(enrich(source(session), params), params)
+        second = start_windows_query(windows, run.windowed_path, f"{checkpoint_root}/windowed", params, available_now)
+        run.logs["windowed"] = ProgressLog(second)
+    except BaseException:
+        run.stop()
+        raise
     return run
 
 
+def _await_first_output(run: StreamRun) -> None:
+    """Until the enriched query has committed a batch: a file stream needs its folder to exist."""
+    log = run.logs["enriched"]
+    while log.query.isActive and not log.batches:
+        log.query.awaitTermination(POLL_SECONDS)
+        log.update()
+
+
 def run_stream(
     spark: SparkSession,
-    source: Callable[[], DataFrame],
+    source: Callable[[SparkSession], DataFrame],
     out_root: str,
     checkpoint_root: str,
     params: JobParams = DEFAULT_PARAMS,
     concurrent: bool = True,
     available_now: bool = True,
-    windowed_from: str = "enriched",
+    windowed_from: str = "source",
 ) -> StreamRun:
     """``start_stream`` then wait: availableNow waits for both queries to
-    drain; continuous mode waits until any query stops (W8). A failure of
-    either query is re-raised (W7)."""
+    drain; continuous mode waits until any query stops (W8). When a query
+    fails the other is stopped and the failure raised (W7)."""
     run = start_stream(spark, source, out_root, checkpoint_root, params, concurrent, available_now, windowed_from)
-    if available_now:
-        for q in run.queries.values():
-            await_query(q)
-    else:
-        queries = list(run.queries.values())
-        # Wait for the first of *these* queries to stop (others in the session
-        # do not count); awaitTermination re-raises a failure.
-        while all(q.isActive for q in queries):
-            for q in queries:
-                if q.awaitTermination(1):
-                    break
-        for q in queries:
-            if q.exception() is not None:
-                raise q.exception()
+    await_all(run.logs.values(), any_stop=not available_now)
     run.duration_seconds = time.perf_counter() - run.started
     return run
 
 
-def stream_metrics(spark: SparkSession, run: StreamRun, full: DataFrame, with_duration: bool = False) -> DataFrame:
-    """C4 over the committed sink outputs (and the full source table).
+def stream_metrics(spark: SparkSession, run: StreamRun, source: DataFrame | None, with_duration: bool = False) -> DataFrame:
+    """C4 over the committed sink outputs and a batch frame of the input (None
+    if it can't be counted: its counts are null then).
 
     With ``with_duration`` the row also carries the wall time, throughput and
     the streaming progress counts (data micro-batches per query, rows dropped
     by the watermark)."""
-    from pyspark.sql import functions as F
-
-    out = run_metrics(
-        full, run.enriched(spark), run.windows(spark), run.duration_seconds if with_duration else None
-    )
-    if with_duration:
-        stats = run.stats()
-        out = out.select(
-            "*",
-            F.lit(stats["enriched"]["batches_with_data"]).alias("enriched_batches"),
-            F.lit(stats["windowed"]["batches_with_data"]).alias("windowed_batches"),
-            F.lit(stats["windowed"]["rows_dropped_by_watermark"]).alias("rows_dropped_by_watermark"),
-        )
-    return out
+    seconds = run.duration_seconds if with_duration else None
+    out = run_metrics(source, run.enriched(spark), run.windows(spark), seconds)
+    if not with_duration:
+        return out
+    stats = run.stats()
+    counts = {
+        "enriched_batches": stats["enriched"]["batches_with_data"],
+        "windowed_batches": stats["windowed"]["batches_with_data"],
+        "rows_dropped_by_watermark": stats["windowed"]["rows_dropped_by_watermark"],
+    }
+    return out.select("*", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+
+
+def stream_record(
+    spark: SparkSession, run: StreamRun, source: DataFrame | None, params: JobParams = DEFAULT_PARAMS, kind: str | None = None
+) -> DataFrame:
+    """The metrics row with settings and status counts, as a run writes it (K7)."""
+    return metrics_record(stream_metrics(spark, run, source, with_duration=True), source, params, kind)
 
 
 def legacy_stream(raw: DataFrame, params: JobParams = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -225,42 +284,26 @@ def start_legacy_job(
     raw: DataFrame,
     checkpoint: str,
     params: JobParams = DEFAULT_PARAMS,
-    debug_format: str = "console",
+    debug_format: str | None = None,
     sink: str = "kafka",
     out_path: str | None = None,
     available_now: bool = False,
     topic: str | None = None,
 ) -> list[StreamingQuery]:
-    """Debug sinks for input and output, plus the JSON sink.
+    """The JSON sink, and debug sinks for input and output if asked.
 
     ``sink='kafka'`` writes the JSON records to ``topic``; ``sink='parquet'``
-    writes them to ``out_path`` (used where no broker exists). Debug sinks
-    have no checkpoint, as in the reference; the JSON sink has its own."""
+    writes them to ``out_path`` (used where no broker exists). With a
+    ``debug_format`` (console, memory) input and output also go there, each
+    in a query that reads the source again; debug sinks have no checkpoint, as
+    in the reference."""
     decoded, transformed, encoded = legacy_stream(raw, params)
-
-    def debug(df, name):
-        w = df.writeStream.format(debug_format).outputMode("append")
-        if debug_format == "memory":
-            w = w.queryName(name)
-        if available_now:
-            w = w.trigger(availableNow=True)
-        return w.start()
-
-    queries = [debug(decoded, "legacy_input"), debug(transformed, "legacy_output")]
+    queries = []
+    if debug_format:
+        for df, name in ((decoded, "legacy_input"), (transformed, "legacy_output")):
+            queries.append(start_debug_sink(df, debug_format, name if debug_format == "memory" else None, available_now))
     if sink == "kafka":
         queries.append(start_kafka_sink(encoded, checkpoint, params, topic))
     else:
         queries.append(start_parquet_sink(encoded, out_path, checkpoint, available_now=available_now))
     return queries
-
-
-def await_any(spark: SparkSession, timeout_seconds: float | None = None, forget_finished: bool = False) -> bool:
-    """Continuous mode: wait until any active query stops (W8); re-raises its
-    failure. Queries that ended before the call count unless
-    ``forget_finished`` clears them first. Returns False on timeout."""
-    if forget_finished:
-        spark.streams.resetTerminated()
-    if timeout_seconds is None:
-        spark.streams.awaitAnyTermination()
-        return True
-    return bool(spark.streams.awaitAnyTermination(timeout_seconds))

@@ -34,6 +34,7 @@ def test_reference_unit_rows(spark):
     assert list(out[0].asDict()) == ENRICHED_COLUMNS
 
 
+# Published result rows.
 def test_published_enriched_rows(spark):
     # amount, category, channel, country -> rate, net (2 dp), score (4 dp)
     cases = [
@@ -148,15 +149,25 @@ def test_rule_table_join_equals_map_lookup(spark):
 def test_rule_table_with_duplicate_keys_is_rejected(spark):
     df = spark.createDataFrame([tx("a")], TRANSACTION)
     rules = spark.createDataFrame([("grocery", 0.1), ("grocery", 0.2)], "merchant_category string, discount_rate double")
-    with pytest.raises(ValueError):
-        enrich_with_rules(df, rules)
+    out = enrich_with_rules(df, rules)  # no job yet
+    with pytest.raises(Exception, match="duplicate merchant_category"):
+        out.collect()
 
 
-def test_rule_table_over_broadcast_bound_uses_shuffle_join(spark):
+def test_rule_table_beyond_the_broadcast_threshold_is_shuffled(spark):
     df = spark.createDataFrame([tx("a")], TRANSACTION)
     rules = rules_frame(spark, {"grocery": 0.1})
-    out = enrich_with_rules(df, rules, broadcast_max_rows=0)
-    assert out.first().discount_rate == 0.1
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = enrich_with_rules(df, rules)
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.first().discount_rate == 0.1
+    finally:
+        spark.conf.set(key, before)
+    nulls = spark.createDataFrame([(None, 0.5), (None, 0.6), ("grocery", 0.1)], "merchant_category string, discount_rate double")
+    assert enrich_with_rules(df, nulls).first().discount_rate == 0.1
 
 
 def test_batch_plan_has_no_shuffle_and_prunes_columns(spark):

@@ -9,7 +9,7 @@ from ledgerline.plans.registry import transactions, wallclock
 from ledgerline.schemas import TRANSACTION
 from ledgerline.sources.readers import kafka_source_options
 from ledgerline.sources.sinks import append_metrics, kafka_sink_options, start_debug_sink, start_parquet_sink, write_full_copy
-from ledgerline.streaming.jobs import await_any, await_query
+from ledgerline.streaming.jobs import ProgressLog, await_all, await_query
 from tests.conftest import SF_SMALL
 
 
@@ -23,24 +23,30 @@ def test_await_surfaces_query_failure(spark, fresh_dir):
     assert "boom" in str(exc.value)
 
 
-def test_await_any_with_continuous_trigger(spark, fresh_dir):
+def test_await_the_first_of_continuous_queries(spark, fresh_dir):
+    import threading
+
     landing = fresh_dir("in")
     transactions(spark, SF_SMALL).write.parquet(landing)
     src = spark.readStream.schema(TRANSACTION).parquet(landing)
-    q = start_debug_sink(src, "memory", "await_any_probe")
+    queries = [start_debug_sink(src, "memory", f"await_probe_{i}") for i in range(2)]
     try:
-        q.processAllAvailable()
-        assert await_any(spark, timeout_seconds=1, forget_finished=True) is False  # nothing stopped yet
-        assert spark.table("await_any_probe").count() == 1000
+        for q in queries:
+            q.processAllAvailable()
+        threading.Timer(1.0, queries[0].stop).start()
+        await_all(map(ProgressLog, queries), any_stop=True)
+        assert not queries[0].isActive and queries[1].isActive
+        assert spark.table("await_probe_1").count() == 1000
     finally:
-        q.stop()
+        for q in queries:
+            q.stop()
 
 
 def test_append_metrics_adds_one_row_per_run(spark, fresh_dir):
     path = fresh_dir("metrics")
     m = spark.createDataFrame([(1, 0.5)], "source_events long, flagged_rate double")
     append_metrics(m, path, "run-1")
-    append_metrics(m, path, "run-2")
+    assert [tuple(r) for r in append_metrics(m, path, "run-2").collect()] == [(1, 0.5)]
     got = spark.read.json(path).orderBy("run_id").collect()
     assert [r.run_id for r in got] == ["run-1", "run-2"]
 
@@ -82,3 +88,39 @@ def test_command_line_run_and_rerun(spark, fresh_dir):
     assert spark.read.json(f"{out}/metrics").count() == 2
     assert spark.read.parquet(f"{out}/report/status_breakdown").count() == 3
     assert spark.read.parquet(f"{out}/report/amount_histogram").count() == 68
+
+
+def test_command_line_counts_the_input_without_a_full_copy(spark, fresh_dir, monkeypatch):
+    from ledgerline.__main__ import main, parse
+
+    table = fresh_dir("table")
+    transactions(spark, SF_SMALL).write.parquet(table)
+    row = main(["--source", "table", "--input", table, "--out", fresh_dir("cli")])
+    assert row["source_events"] == 1000 and row["filtered_count"] == 1000 - row["enriched_events"] > 0
+    assert row["source"] == "table" and sum(x["count"] for x in row["status_counts"]) == 1000
+    monkeypatch.setenv("SOURCE", "Kafka")
+    args = parse(["--out", "x"])
+    params = JobParams.from_env(source=args.source, kafka_topic=args.kafka_topic)
+    assert params.source == "kafka" and params.kafka_topic == "transactions"
+    assert JobParams.from_env({"KAFKA_TOPIC": "a", "KAFKA_BOOTSTRAP": "b:1"}, kafka_topic="c") == JobParams(
+        kafka_topic="c", kafka_bootstrap="b:1"
+    )
+
+
+def test_run_folder_goes_with_the_process(spark):
+    import os
+
+    from ledgerline import session
+
+    path = session.work_path(spark, "gone")
+    root = session.shared_root(spark).removeprefix("file://")
+    before = dict(session._run_folders)
+    session._run_folders[session.shared_root(spark)] = f"{root}/ledgerline/run-test"
+    try:
+        spark.range(1).write.parquet(session.work_path(spark, "x"))
+        assert os.path.isdir(f"{root}/ledgerline/run-test")
+        session.remove_run_folder(session.shared_root(spark))
+        assert not os.path.exists(f"{root}/ledgerline/run-test")
+    finally:
+        session._run_folders.update(before)
+    assert session.work_path(spark, "gone").rsplit("/", 1)[0] == path.rsplit("/", 1)[0]

@@ -62,19 +62,22 @@ def test_zero_pad_matches_python_format(spark):
     assert got == [None if v is None else f"{v:07d}" for v in vals]
 
 
-def test_frame_helpers_compose_to_the_adapter(spark):
+def test_expressions_compose_to_the_adapter(spark):
     from ledgerline.sources.events import base_amount, keyed_transactions, with_dimensions
 
     ev = events(spark, SF_SMALL)
-    dims = with_dimensions(ev).withColumn("base_amount", base_amount())
-    shaped = S.assign_labels(S.risk_probability(S.shape_amounts(dims)))
-    raised = S.uplift(shaped)
+    dims = with_dimensions(ev).withColumn("amount", S.shape_amount(base_amount()))
+    shaped = S.with_risk_probability(dims)
+    got = shaped.select("event_id", "amount", S.fraud_label("event_id", F.col("fraud_probability_units")).alias("is_fraud"))
     ref = keyed_transactions(ev).select("event_id", "amount", "is_fraud")
-    got = shaped.select("event_id", "amount", "is_fraud")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
-    assert raised.filter(F.col("is_fraud") == 0.0).join(ref, ["event_id", "amount"]).count() == ref.filter(
-        F.col("is_fraud") == 0.0
-    ).count()
+    raised = got.withColumn("up", S.uplifted_amount("amount", "event_id", "is_fraud"))
+    assert raised.where("is_fraud = 0 AND up <> amount").count() == 0
+
+
+def test_status_shares(spark):
+    got = {r.status: r["count"] for r in spark.range(100).select(S.weighted_status("id").alias("status")).groupBy("status").count().collect()}
+    assert got == dict(S.STATUS_WEIGHTS)
 
 
 def test_table_source_switch(spark, fresh_dir):

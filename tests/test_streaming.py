@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 import time
 from datetime import datetime, timedelta
@@ -13,9 +14,9 @@ from ledgerline.params import JobParams
 from ledgerline.plans.registry import events_stream, transactions, wallclock
 from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, TRANSACTION, WINDOWED
 from ledgerline.sources.events import transactions_from_events
-from ledgerline.sources.readers import ndjson_stream, read_output, read_transactions
+from ledgerline.sources.readers import ndjson_stream, read_input, read_output, read_transactions
 from ledgerline.sources.sinks import land_ndjson
-from ledgerline.streaming.jobs import await_query, query_stats, run_stream, start_windowed, stream_metrics
+from ledgerline.streaming.jobs import ProgressLog, await_query, run_stream, start_stream, start_windowed, stream_metrics, stream_record
 from tests.conftest import SF_SMALL
 
 
@@ -26,7 +27,7 @@ def _same(a, b):
 def test_stream_equals_batch_closed_form(spark, fresh_dir):
     run = run_stream(
         spark,
-        lambda: transactions_from_events(events_stream(spark, SF_SMALL)),
+        lambda session: transactions_from_events(events_stream(session, SF_SMALL)),
         fresh_dir("out"),
         fresh_dir("ckpt"),
     )
@@ -67,17 +68,15 @@ def test_late_rows_are_dropped_by_watermark(spark, fresh_dir):
         ]
 
     def run():
-        q = start_windowed(spark.readStream.schema(TRANSACTION).parquet(landing), out, ckpt)
-        await_query(q)
-        return q
+        return await_query(start_windowed(spark.readStream.schema(TRANSACTION).parquet(landing), out, ckpt))
 
     spark.createDataFrame(rows(base, 60, "a"), TRANSACTION).write.mode("append").parquet(landing)
     run()
     spark.createDataFrame(rows(late, 5, "b"), TRANSACTION).write.mode("append").parquet(landing)
-    q = run()
+    log = run()
     got = read_output(spark, out, WINDOWED)
     assert got.filter(F.col("window_start") < F.lit(base)).count() == 0
-    assert query_stats(q)["rows_dropped_by_watermark"] > 0
+    assert log.stats()["rows_dropped_by_watermark"] > 0
 
 
 def test_micro_batch_bound_and_ndjson_source(spark, fresh_dir):
@@ -87,10 +86,10 @@ def test_micro_batch_bound_and_ndjson_source(spark, fresh_dir):
     n_files = len([f for f in os.listdir(landing) if f.endswith(".json")])
     assert n_files >= 8
     params = JobParams(max_files_per_trigger=4)
-    src = lambda: read_transactions(spark, params, landing, source="file", timestamp_format=ISO_TIMESTAMP_FORMAT)
+    src = lambda session: read_transactions(session, params, landing, source="file", timestamp_format=ISO_TIMESTAMP_FORMAT)
     run = run_stream(spark, src, out, ckpt, params)
     stats = run.stats()
-    assert stats["enriched"]["batches_with_data"] == -(-n_files // 4)
+    assert {stats[q]["batches_with_data"] for q in ("enriched", "windowed")} == {-(-n_files // 4)}
     assert _same(run.enriched(spark), enrich(tx))
 
 
@@ -107,7 +106,7 @@ def test_reference_style_naive_iso_files(spark, fresh_dir, tmp_path):
     d.mkdir()
     (d / "transactions_00000.json").write_text("\n".join(lines) + "\n")
     out, ckpt = fresh_dir("out"), fresh_dir("ckpt")
-    run = run_stream(spark, lambda: ndjson_stream(spark, str(d), TRANSACTION, 4), out, ckpt)
+    run = run_stream(spark, lambda session: ndjson_stream(session, str(d), TRANSACTION, 4), out, ckpt)
     got = wallclock(run.enriched(spark)).collect()
     assert [r.transaction_id for r in got] == ["t1"]
     assert got[0].event_time == datetime(2026, 1, 15, 9, 0, 5)
@@ -124,7 +123,7 @@ def test_read_output_of_missing_dir_is_empty(spark, fresh_dir):
 def test_empty_input_gives_zero_metrics(spark, fresh_dir, tmp_path):
     d = tmp_path / "empty"
     d.mkdir()
-    run = run_stream(spark, lambda: ndjson_stream(spark, str(d), TRANSACTION, 4), fresh_dir("o"), fresh_dir("c"))
+    run = run_stream(spark, lambda session: ndjson_stream(session, str(d), TRANSACTION, 4), fresh_dir("o"), fresh_dir("c"))
     m = stream_metrics(spark, run, spark.createDataFrame([], TRANSACTION), with_duration=True).first()
     assert m.enriched_events == 0 and m.window_count == 0 and m.source_events == 0
     assert m.filtered_pct == 0.0 and m.flagged_rate == 0.0 and m.total_gross_value == 0.0
@@ -179,20 +178,140 @@ def test_zone_free_conversion_across_dst(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_chained_windowed_query_equals_source_mode(spark, fresh_dir):
-    src = lambda: transactions_from_events(events_stream(spark, SF_SMALL))
-    a = run_stream(spark, src, fresh_dir("a"), fresh_dir("ca"))
-    b = run_stream(spark, src, fresh_dir("b"), fresh_dir("cb"), windowed_from="enriched")
-    assert _same(a.windows(spark), b.windows(spark))
-    assert _same(a.enriched(spark), b.enriched(spark))
+def _landed(tmp_path, name, parts):
+    """NDJSON files of (minute offset, id) lists, with rising modification times."""
+    d = tmp_path / name
+    d.mkdir()
+    now = time.time() - 10_000
+    for i, rows in enumerate(parts):
+        lines = []
+        for minute, key in rows:
+            when = datetime(2026, 1, 15, 9, 0) + timedelta(minutes=minute)
+            rec = dict(zip([f.name for f in TRANSACTION], [key, "u", 10.0, "USD", "SUCCESS", "grocery", "pos", "US", None, 0.0]))
+            rec["event_time"] = when.strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z"
+            lines.append(json.dumps(rec))
+        f = d / f"part_{i:03d}.json"
+        f.write_text("\n".join(lines) + "\n")
+        os.utime(f, (now + i, now + i))
+    return str(d)
+
+
+def _source(path, per_trigger):
+    return lambda session: ndjson_stream(session, path, TRANSACTION, per_trigger, ISO_TIMESTAMP_FORMAT)
+
+
+def test_chained_layout_equals_source_layout_on_ordered_input(spark, fresh_dir, tmp_path):
+    parts = [[(10 * i + m, f"t{i}_{m}") for m in range(10)] for i in range(9)]
+    path = _landed(tmp_path, "ordered", parts)
+    runs = {
+        layout: run_stream(spark, _source(path, 2), fresh_dir(layout), fresh_dir("c"), windowed_from=layout)
+        for layout in ("source", "enriched")
+    }
+    assert runs["source"].windows(spark).count() > 5
+    assert _same(runs["source"].windows(spark), runs["enriched"].windows(spark))
+    assert _same(runs["source"].enriched(spark), runs["enriched"].enriched(spark))
+    assert runs["source"].stats()["windowed"]["batches_with_data"] == 5
+
+
+def _late_by_batch(parts, per_trigger, delay=30, width=5):
+    """Windows by the rule: a row is dropped if its window had closed by the watermark of the batch
+    before the last one; windows behind the final watermark come out."""
+    batches = [sum(parts[i : i + per_trigger], []) for i in range(0, len(parts), per_trigger)]
+    marks, top = [-(10**9), -(10**9)], -(10**9)
+    counts = {}
+    for rows in batches:
+        for minute, _ in rows:
+            if (end := minute // width * width + width) > marks[-2]:
+                counts[end] = counts.get(end, 0) + 1
+        top = max([top, *(m for m, _ in rows)])
+        marks.append(top - delay)
+    return {end: n for end, n in counts.items() if end <= marks[-1]}
+
+
+def test_default_layout_drops_late_rows_by_source_batches(spark, fresh_dir, tmp_path):
+    order = [5, 6, 0, 7, 1, 9, 2, 3]
+    parts = [[(20 * i + m, f"t{i}_{m}") for m in range(20)] for i in order]
+    path = _landed(tmp_path, "disordered", parts)
+    default = run_stream(spark, _source(path, 1), fresh_dir("o"), fresh_dir("c"), JobParams(max_files_per_trigger=1))
+    got = {
+        (r.window_end - datetime(2026, 1, 15, 9, 0)).total_seconds() // 60: r.event_count
+        for r in wallclock(default.windows(spark)).collect()
+    }
+    assert got == _late_by_batch(parts, 1)
+    stats = default.stats()["windowed"]
+    assert stats["rows_dropped_by_watermark"] > 0 and stats["batches_with_data"] == len(order)
+    # the chained layout with the same bound takes the same batches here, one enriched file each
+    params = JobParams(chained_files_per_trigger=1)
+    chained = run_stream(spark, _source(path, 1), fresh_dir("o2"), fresh_dir("c2"), params, windowed_from="enriched")
+    assert chained.stats()["windowed"]["batches_with_data"] == len(order)
+
+
+@pytest.mark.parametrize("kept_updates", ["100", "5"])
+def test_counts_of_many_micro_batches(spark, fresh_dir, tmp_path, kept_updates):
+    path = _landed(tmp_path, "many", [[(i, f"t{i}")] for i in range(120)])
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, kept_updates)
+    try:
+        run = run_stream(spark, _source(path, 1), fresh_dir("o"), fresh_dir("c"), JobParams(state_partitions=1))
+    finally:
+        spark.conf.set(key, before)
+    stats = run.stats()
+    assert [(stats[q]["batches_with_data"], stats[q]["input_rows"]) for q in ("enriched", "windowed")] == [(120, 120)] * 2
+
+
+def test_missed_progress_gives_null_and_a_warning():
+    class Query:
+        recentProgress = [{"batchId": 7, "numInputRows": 1}, {"batchId": 9, "numInputRows": 1}]
+
+    with pytest.warns(UserWarning, match="missed"):
+        stats = ProgressLog(Query()).stats()
+    assert stats == {"batches_with_data": None, "input_rows": None, "rows_dropped_by_watermark": None, "last_batch_id": 9}
+
+
+def test_counts_without_a_full_copy(spark, fresh_dir, tmp_path):
+    path = _landed(tmp_path, "counted", [[(i, f"t{i}_{j}") for i in range(49)] for j in range(8)])
+    with open(f"{path}/part_900.json", "w") as f:
+        f.write("this is not json\n")
+        for i in range(8):
+            rec = {"transaction_id": f"f{i}", "user_id": "u", "amount": 1.0, "status": "FAILED", "event_time": "2026-01-15T09:00:00.000000Z"}
+            f.write(json.dumps(rec) + "\n")
+    run = run_stream(spark, _source(path, 4), fresh_dir("o"), fresh_dir("c"))
+    counted = read_input(spark, JobParams(), path, timestamp_format=ISO_TIMESTAMP_FORMAT)
+    m = stream_record(spark, run, counted).first()
+    assert (m.source_events, m.filtered_count, m.rows_unparsed) == (401, 9, 1)
+    assert [tuple(x) for x in m.status_counts] == [("FAILED", 8), ("SUCCESS", 392)]
+    assert m.source == "file" and m.window_duration == "5 minutes" and m.fraud_alert_rate == 0.08
+    unknown = stream_record(spark, run, None).first()
+    assert unknown.source_events is None and unknown.filtered_count is None and unknown.filtered_pct is None
+    assert unknown.rows_unparsed is None and unknown.status_counts is None and unknown.enriched_events == 392
+    assert read_input(spark, JobParams(source="kafka")) is None
+
+
+@pytest.mark.parametrize("layout", ["source", "enriched"])
+@pytest.mark.parametrize("available_now", [True, False])
+def test_a_failure_stops_the_sibling(spark, fresh_dir, layout, available_now):
+    landing = fresh_dir("in")
+    transactions(spark, SF_SMALL).write.parquet(landing)
+    calls = []
+
+    def source(session):
+        calls.append(1)
+        stream = session.readStream.schema(TRANSACTION).parquet(landing)
+        if layout == "source" and len(calls) == 1:
+            return stream
+        return stream.withColumn("amount", F.raise_error(F.lit("boom")).cast("double"))
+
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception, match="boom"):
+        run_stream(spark, source, fresh_dir("o"), fresh_dir("c"), available_now=available_now, windowed_from=layout)
+    assert {q.id for q in spark.streams.active} <= before
 
 
 def test_late_rows_are_dropped_one_batch_late(tmp_path, spark, fresh_dir):
     """Files arrive newest first, one per micro-batch. Batch 1 is already
     behind the watermark set by batch 0 but is kept (late rows are filtered
     with the previous batch's watermark); batch 2 is dropped entirely."""
-    import json as _json
-
     d = tmp_path / "reverse"
     d.mkdir()
     starts = [datetime(2026, 1, 15, 12, 0), datetime(2026, 1, 15, 10, 0), datetime(2026, 1, 15, 9, 0)]
@@ -207,41 +326,40 @@ def test_late_rows_are_dropped_one_batch_late(tmp_path, spark, fresh_dir):
                     "event_time": (start + timedelta(minutes=2 * m)).strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z",
                     "is_fraud": 0.0,
                 }
-                h.write(_json.dumps(rec) + "\n")
+                h.write(json.dumps(rec) + "\n")
         os.utime(f, (now - 100 + 10 * i, now - 100 + 10 * i))
     out, ckpt = fresh_dir("out"), fresh_dir("ckpt")
     src = ndjson_stream(spark, str(d), TRANSACTION, max_files_per_trigger=1, timestamp_format=ISO_TIMESTAMP_FORMAT)
-    q = start_windowed(src, out, ckpt)
-    await_query(q)
+    log = await_query(start_windowed(src, out, ckpt))
     got = wallclock(read_output(spark, out, WINDOWED))
     hours = {r.window_start.hour for r in got.collect()}
     assert 10 in hours  # second file: behind the watermark, still aggregated
     assert 9 not in hours  # third file: dropped
-    assert query_stats(q)["rows_dropped_by_watermark"] > 0
+    assert log.stats()["rows_dropped_by_watermark"] > 0
 
 
 def test_state_partitions_apply_to_the_window_query_only(spark, fresh_dir):
-    from ledgerline.streaming.jobs import state_partitions
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    source = lambda session: transactions_from_events(events_stream(session, SF_SMALL))
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    src = transactions_from_events(events_stream(spark, SF_SMALL))
-    q = start_windowed(src, fresh_dir("o"), fresh_dir("c"), JobParams(state_partitions=3))
-    await_query(q)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    ops = [op for p in q.recentProgress for op in (p.get("stateOperators") or [])]
-    assert ops and all(op["numShufflePartitions"] == 3 for op in ops)
-    assert state_partitions(spark, JobParams()) == min(int(before), 32)
+    def state_parts(params):
+        run = run_stream(spark, source, fresh_dir("o"), fresh_dir("c"), params)
+        progress = run.queries["windowed"].recentProgress
+        return {op["numShufflePartitions"] for p in progress for op in (p.get("stateOperators") or [])}
 
+    assert state_parts(JobParams(state_partitions=3)) == {3}
+    assert state_parts(JobParams()) == {int(before)}
+    assert spark.conf.get(key) == before
 
-def test_continuous_chained_mode_tails_the_enriched_output(spark, fresh_dir):
-    from ledgerline.streaming.jobs import start_stream
 
+def test_continuous_chained_mode_tails_the_enriched_output(spark, fresh_dir):
     landing = fresh_dir("land")
     tx = transactions(spark, SF_SMALL)
     tx.write.parquet(landing)
     run = start_stream(
-        spark, lambda: spark.readStream.schema(tx.schema).parquet(landing), fresh_dir("o"), fresh_dir("c"),
-        available_now=False,
+        spark, lambda session: session.readStream.schema(tx.schema).parquet(landing), fresh_dir("o"), fresh_dir("c"),
+        available_now=False, windowed_from="enriched",
     )
     try:
         run.queries["enriched"].processAllAvailable()
@@ -254,8 +372,6 @@ def test_continuous_chained_mode_tails_the_enriched_output(spark, fresh_dir):
 
 
 def test_ndjson_landing_file_sizes_and_order(spark, fresh_dir):
-    import json as _json
-
     landing = fresh_dir("land")
     land_ndjson(transactions(spark, SF_SMALL), landing, batch_size=50, partitions=4)
     files = sorted(f for f in os.listdir(landing) if f.endswith(".json"))
@@ -263,12 +379,28 @@ def test_ndjson_landing_file_sizes_and_order(spark, fresh_dir):
     for f in files:
         lines = open(os.path.join(landing, f)).read().splitlines()
         sizes.append(len(lines))
-        times += [_json.loads(line)["event_time"] for line in lines]
+        times += [json.loads(line)["event_time"] for line in lines]
     assert sum(sizes) == 1000 and max(sizes) <= 50
     assert times == sorted(times)  # ISO text with a fixed offset sorts as time
     assert all(t.endswith("Z") and len(t) == len("2024-01-01T00:00:00.000000Z") for t in times)
 
 
+def test_landing_tasks_follow_the_rows(spark, fresh_dir, monkeypatch):
+    from ledgerline.sources import sinks
+
+    tx = transactions(spark, SF_SMALL)
+
+    def files(path):
+        return len([f for f in os.listdir(path) if f.endswith(".json")])
+
+    one, ten = fresh_dir("land"), fresh_dir("land")
+    land_ndjson(tx, one)
+    assert files(one) == 1
+    monkeypatch.setattr(sinks, "LANDING_TASK_ROWS", 100)
+    land_ndjson(tx, ten)
+    assert files(ten) == 10
+
+
 def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
     import threading
 
@@ -296,7 +428,7 @@ def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
     try:
         threading.Thread(target=stopper, daemon=True).start()
         run = jobs.run_stream(
-            spark, lambda: spark.readStream.schema(tx.schema).parquet(landing), fresh_dir("o"), fresh_dir("c"),
+            spark, lambda session: session.readStream.schema(tx.schema).parquet(landing), fresh_dir("o"), fresh_dir("c"),
             available_now=False,
         )
     finally:
@@ -310,7 +442,7 @@ def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
 def test_date_partitioned_enriched_sink_prunes_and_matches(spark, fresh_dir):
     from ledgerline.schemas import ENRICHED_COLUMNS
 
-    src = lambda: transactions_from_events(events_stream(spark, SF_SMALL))
+    src = lambda session: transactions_from_events(events_stream(session, SF_SMALL))
     plain = run_stream(spark, src, fresh_dir("a"), fresh_dir("ca"))
     parted = run_stream(spark, src, fresh_dir("b"), fresh_dir("cb"), JobParams(partition_enriched_by_date=True))
     e = parted.enriched(spark)

@@ -121,3 +121,48 @@ def test_report_datasets_all_build(spark):
     assert counts["status_breakdown"] == 3 and counts["amount_histogram"] == 68
     assert counts["sample_enriched"] == 8 and counts["sample_windows"] == 12
     assert all(n > 0 for n in counts.values())
+
+
+def test_histogram_of_infinities_fails_loudly(spark):
+    from ledgerline.operators.views import histogram
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "x double")
+    out = histogram(df, "x", 4)
+    with pytest.raises(Exception, match="range is not finite"):
+        out.collect()
+    kept = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert sum(r["count"] for r in histogram(kept, "x", 4).collect()) == 2
+
+
+def test_sums_keep_small_digits_and_round_last(spark):
+    from ledgerline.functions.money import exact_sum
+
+    small = spark.createDataFrame([(4e-7,)] * 3, "x double")
+    assert abs(small.agg(exact_sum("x")).first()[0] - 1.2e-6) < 1e-18
+    big = spark.createDataFrame([(1e18,), (0.126,), (1.0,)], "x double")
+    assert big.agg(exact_sum("x", 2)).first()[0] == 1e18
+    mixed = spark.createDataFrame([(1e12 + 0.126,), (1.0,)], "x double")
+    assert mixed.agg(exact_sum("x", 2)).first()[0] == 1000000000001.13
+    odd = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    got = odd.agg(exact_sum("x", 2)).first()[0]
+    assert got != got
+    assert spark.createDataFrame([(1.0,), (float("inf"),)], "x double").agg(exact_sum("x", 2)).first()[0] == float("inf")
+
+
+def test_one_pass_metrics_equal_the_three_inputs(spark):
+    from datetime import datetime
+
+    from ledgerline.operators.enrich import enrich
+    from ledgerline.operators.summary import table_metrics
+    from ledgerline.operators.windows import closed_windows
+
+    t = transactions(spark, SF_SMALL)
+    row = ("x", "u", 600.0, "USD", "success", "luxury", "web", "CA")
+    odd = spark.createDataFrame(
+        [(*row, None, 1.0), (*row, datetime(1970, 1, 1, 0, 2), 1.0), (None,) * 10, (*row[:4], None, *row[5:], None, None)],
+        "transaction_id string, user_id string, amount double, currency string, status string, merchant_category string, "
+        "channel string, country string, event_time timestamp, is_fraud double",
+    )
+    for frame in (t, t.unionByName(odd), odd, t.limit(0)):
+        e = enrich(frame)
+        assert table_metrics(frame).collect() == run_metrics(frame, e, closed_windows(e)).collect()
