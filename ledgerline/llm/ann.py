@@ -6,7 +6,8 @@ parts of nearly equal size with few edges between them. A small classifier
 share of them in it. It puts every vector of the table into its most probable
 part, and sends a query to its most probable ones; how many is measured on
 sample queries that the classifier has not seen. All vectors of those parts are
-scored exactly in double precision.
+scored exactly in double precision. A query's k-th best score within the sample
+is a lower bound for its result, so cells return only what reaches it.
 
 The work of a part is cut into cells of at most about ``cell_rows`` vectors and
 ``cell_rows`` queries by hashes of their ids, so a part that holds a third of
@@ -187,6 +188,18 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return good.where(F.size("v") == F.lit(dim or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def _floors(ids: np.ndarray, x: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score of each query within the sample, its own row left out."""
+    if len(sample) <= k:
+        return np.full(len(x), -np.inf)
+    out = np.empty(len(x))
+    for start in range(0, len(x), 512):
+        near = x[start : start + 512] @ sample.T
+        near[ids[start : start + 512, None] == sample_ids[None, :]] = -np.inf
+        out[start : start + 512] = -np.partition(-near, k - 1, axis=1)[:, k - 1]
+    return out - 1e-12 * np.abs(sample).max() * np.abs(x).sum(1)
+
+
 def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     """The k nearest members of each query in a cell: (query_id, vec_id, score)."""
     empty = not queries.num_rows or not members.num_rows
@@ -195,14 +208,15 @@ def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
         dim = len(members["v"][0])
         x, y = _matrix(queries["v"].combine_chunks(), dim), _matrix(members["v"].combine_chunks(), dim)
         q_ids, m_ids = queries["vec_id"].to_numpy(), members["vec_id"].to_numpy()
+        floor = queries["floor"].to_numpy()
         size = float(np.abs(y).max()) or 1.0
         for start in range(0, len(x), 512):
             block = x[start : start + 512]
             near = block @ y.T
             near[q_ids[start : start + 512, None] == m_ids[None, :]] = -np.inf
             kth = -np.partition(-near, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1]
-            for i, bar in enumerate(kth):
-                # a hair below the k-th: products are taken anew, the same way for equal vectors
+            for i, bar in enumerate(np.maximum(kth, floor[start : start + 512])):
+                # a hair below: products are taken anew, the same way for equal vectors
                 slack = 1e-12 * size * float(np.abs(block[i]).sum())
                 some = np.flatnonzero((near[i] >= bar - slack) & (near[i] > -np.inf))
                 exact = (y[some] * block[i]).sum(1)
@@ -234,20 +248,22 @@ def search(
     """
     vectors = materialise(usable(embeddings))
     total = vectors.count()
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toArrow()
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toArrow()
     if not total:
         return vectors.select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         )
     dim = len(sample["v"][0])
     parts = max(4, min(MAX_PARTS, -(-total // part_rows)))
-    router = fit(_matrix(sample["v"].combine_chunks(), dim), parts, k, recall)
-    sent = embeddings.sparkSession.sparkContext.broadcast(router)  # as large as the sample's bounds allow
+    known = _matrix(sample["v"].combine_chunks(), dim)
+    router = fit(known, parts, k, recall)
+    # sample_rows vectors at most, and the classifier
+    sent = embeddings.sparkSession.sparkContext.broadcast((router, sample["vec_id"].to_numpy(), known))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                order = (-sent.value.scores(_matrix(batch["v"], dim))).argsort(1, kind="stable").astype(np.int32)
+                order = (-sent.value[0].scores(_matrix(batch["v"], dim))).argsort(1, kind="stable").astype(np.int32)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), order.shape[1])
                 yield pa.record_batch([batch["vec_id"], batch["v"], lists.cast(pa.list_(pa.int32()))], ["vec_id", "v", "parts"])
 
@@ -261,7 +277,15 @@ def search(
         "parts", lambda p, i: F.aggregate(F.slice("parts", 1, i), F.lit(0).cast("long"), lambda a, x: a + F.get(counts, x))
     )
     wanted = F.filter("parts", lambda p, i: (i < router.probes) | (F.get(held, i) < k + 1))
-    asked = routed.where(is_query).select("vec_id", "v", F.explode(wanted).alias("part"))
+
+    def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                floor = _floors(batch["vec_id"].to_numpy(), _matrix(batch["v"], dim), *sent.value[1:], k)
+                yield pa.record_batch([*batch.columns, pa.array(floor)], [*batch.schema.names, "floor"])
+
+    bounded = routed.where(is_query).mapInArrow(floored, "vec_id long, v array<double>, parts array<int>, floor double")
+    asked = materialise(bounded.select("vec_id", "v", "floor", F.explode(wanted).alias("part")))
     asked = asked.where(F.get(counts, F.col("part")) > 0)
     loads = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = F.array(*[F.lit(max(1, -(-loads.get(p, 0) // cell_rows))) for p in range(router.parts)])
