@@ -10,7 +10,8 @@ Texts are encoded in batches. If no piece of the model goes on from a word into
 the next metaspace, words can't influence each other; a batch then sends each
 distinct word to the library once, in one multithreaded call, and the texts' ids
 are put together from the words'. Otherwise whole texts are sent. Both give the
-same ids; the sentencepiece library is the judge of that (:func:`parity`).
+same ids; the sentencepiece library is the judge of that: every word that is
+learnt is compared with it, and some whole texts, or all where words can't be.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +36,11 @@ METASPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _WORD = re.compile(f"{METASPACE}+[^{METASPACE}]*|[^{METASPACE}]+")
-_KNOWN_WORDS = 1 << 17
+_KNOWN_WORDS = 1 << 19
+_LEARNT_AT_ONCE = 1 << 14
+#: So many new words are judged as one text; of whole texts one in _JUDGED_WHOLE.
+_JUDGED_WORDS = 256
+_JUDGED_WHOLE = 64
 _TEXT_CHARS = 1 << 22
 
 
@@ -159,18 +166,28 @@ def build(model: Model) -> tokenizers.Tokenizer:
 
 
 class Codec:
-    """Encodes and decodes batches of texts with a model."""
+    """Encodes and decodes batches of texts with a model.
 
-    def __init__(self, data: bytes) -> None:
+    With a ``judge`` (the sentencepiece library's processor of the same model)
+    every word's ids are compared with the judge's when the word is first met.
+    """
+
+    def __init__(self, data: bytes, judge: sentencepiece.SentencePieceProcessor | None = None) -> None:
         self.model = read_model(data)
+        self.judge = judge
         self.whole = build(self.model)
         self.normalise = self.whole.normalizer.normalize_str
         self.words = build(self.model)  # for normalised words, so without normaliser and prefix
         self.words.normalizer = normalizers.Sequence([])
         steps = [decoders.Replace(METASPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.words.decoder = decoders.Sequence(steps)
-        used = [p for p, _, k in self.model.pieces if k in (NORMAL, UNUSED)]
-        self.apart = not any(METASPACE in p.lstrip(METASPACE) for p in used)
+        normal = [p if k in (NORMAL, UNUSED) else None for p, _, k in self.model.pieces]
+        self.bytes_of = [
+            bytes([int(p[3:5], 16)]) if k == BYTE else None if n is None else n.encode()
+            for n, (p, _, k) in zip(normal, self.model.pieces)
+        ]
+        self.mark = [i for i, p in enumerate(normal) if p == METASPACE]
+        self.apart = not any(p and METASPACE in p.lstrip(METASPACE) for p in normal)
         plain = not self.model.charsmap and not self.model.remove_extra
         self.simple = plain and self.model.dummy_prefix  # the normaliser is a prefix and a replacement
         self._forget()
@@ -180,17 +197,49 @@ class Codec:
         self.count = np.zeros(0, np.int64)
         self.start = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
-        self.same = np.zeros(0, bool)
+        self.flags = np.zeros((0, 2), bool)  # of a word: decodes to itself, has the judge's ids
+
+    def _decoded(self, words: list[str], ids: list[int], ends: np.ndarray) -> np.ndarray:
+        """Whether each word's ids, laid end to end, decode to the word: their bytes put together are its bytes."""
+        parts = list(map(self.bytes_of.__getitem__, ids))
+        raw = "".join(words).encode()
+        sizes = np.fromiter(map(len, map(str.encode, words)), np.int64, len(words))
+        if None not in parts and b"".join(parts) == raw:
+            made = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            if np.array_equal(made[ends - 1], np.cumsum(sizes)):
+                return np.ones(len(words), bool)
+        starts = np.concatenate([[0], ends[:-1]])
+        one = [parts[a:b] for a, b in zip(starts, ends)]
+        return np.array([None not in some and b"".join(some) == w.encode() for some, w in zip(one, words)], bool)
+
+    def _judged(self, words: list[str], ids: list[int], ends: np.ndarray) -> np.ndarray:
+        """Whether the judge gives these ids, laid end to end, to each word. Words are put to it
+        as one text, and one by one where it differs."""
+        out = np.ones(len(words), bool)
+        if not (self.judge and self.simple):
+            return out
+        starts = np.concatenate([[0], ends])
+        for first in range(0, len(words), _JUDGED_WORDS):
+            last = min(first + _JUDGED_WORDS, len(words))
+            # the judge puts the mark in front of a text there itself, but to no empty text
+            shown = "".join(words[first:last]).replace(METASPACE, " ")[1:]
+            if self.judge.encode(shown) != ids[starts[first] : starts[last]]:
+                for w in range(first, last):
+                    told = self.judge.encode(words[w].replace(METASPACE, " ")[1:]) or self.mark
+                    out[w] = told == ids[starts[w] : starts[w + 1]]
+        return out
 
     def _learn(self, new: list[str]) -> None:
         ids = [e.ids for e in self.words.encode_batch_fast(new, add_special_tokens=False)]
-        back = self.words.decode_batch(ids, skip_special_tokens=False)
-        count = np.array([len(x) for x in ids], np.int64)
-        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.int32, int(count.sum()))])
-        self.same = np.concatenate([self.same, np.array([b == w.replace(METASPACE, " ") for b, w in zip(back, new)], bool)])
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        ends = np.cumsum(count)
+        flat = list(chain.from_iterable(ids))
+        flags = np.stack([self._decoded(new, flat, ends), self._judged(new, flat, ends)], 1)
         base = len(self.known)
+        self.start = np.concatenate([self.start, len(self.pool) + ends - count])
+        self.count = np.concatenate([self.count, count])
+        self.pool = np.concatenate([self.pool, np.array(flat, np.int32)])
+        self.flags = np.concatenate([self.flags, flags])
         self.known.update(zip(new, range(base, base + len(new))))
 
     def normal(self, text: str) -> str:
@@ -198,32 +247,57 @@ class Codec:
             return self.normalise(text)
         return METASPACE + text.replace(" ", METASPACE) if text else ""
 
-    def _cut(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, bool]]:
-        cut = [_WORD.findall(self.normal(t)) for t in texts]
-        new = {w for words in cut for w in words} - self.known.keys()
-        if len(self.known) + len(new) > _KNOWN_WORDS:
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' places in the tables; words not met before are learnt."""
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if not missing:
+            return at
+        new = list({words[i] for i in missing})
+        if self.known and len(self.known) + len(new) > _KNOWN_WORDS:
             self._forget()
-            new = {w for words in cut for w in words}
-        if new:
-            self._learn(sorted(new))
-        for words in cut:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            n = self.count[at]
-            place = np.repeat(self.start[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            yield self.pool[place], bool(self.same[at].all())
+            return self._numbers(words)
+        for first in range(0, len(new), _LEARNT_AT_ONCE):
+            self._learn(new[first : first + _LEARNT_AT_ONCE])
+        at[missing] = [self.known[words[i]] for i in missing]
+        return at
+
+    def _by_word(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bool, bool]]:
+        cut = [_WORD.findall(self.normal(t)) for t in texts]
+        ends = np.cumsum([len(words) for words in cut])
+        at = self._numbers(list(chain.from_iterable(cut)))
+        n = self.count[at]
+        before = np.concatenate([[0], np.cumsum(n)])  # ids before each word
+        place = np.repeat(self.start[at] - before[:-1], n) + np.arange(before[-1])
+        wrong = np.concatenate([[[0, 0]], np.cumsum(~self.flags[at], axis=0)])
+        ids = np.split(self.pool[place], before[ends[:-1]])
+        fine = np.diff(wrong[np.concatenate([[0], ends])], axis=0) == 0
+        return [(i, bool(a), bool(b)) for i, (a, b) in zip(ids, fine)]
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        return [ids for ids, _ in self.encode_checked(texts)]
+        return [ids for ids, _, _ in self.encode_checked(texts)]
 
-    def encode_checked(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bool]]:
-        """The ids of each text, and whether decoding them gives its normalised form back."""
+    def encode_checked(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bool, bool]]:
+        """The ids of each text, whether decoding them gives its normalised form back,
+        and whether the judge, if any, has the same ids."""
+        if not texts:
+            return []
         if self.apart:
-            return list(self._cut(texts))
-        ids = [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
-        shown = (self.normal(t).replace(METASPACE, " ") for t in texts)
-        cut = 1 if self.model.dummy_prefix else 0
-        return [(i, b == s[cut:]) for i, b, s in zip(ids, self.decode(ids), shown)]
+            found = self._by_word(texts)
+        else:
+            ids = [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
+            shown = (self.normal(t).replace(METASPACE, " ") for t in texts)
+            cut = 1 if self.model.dummy_prefix else 0
+            found = [(i, b == s[cut:], True) for i, b, s in zip(ids, self.decode(ids), shown)]
+        if not self.judge:
+            return found
+        # whole texts, where words were not judged; and some all the same, as words might not be all
+        every = 1 if not (self.apart and self.simple) else _JUDGED_WHOLE
+        return [
+            (ids, same, parity and (zlib.crc32(ids.tobytes()) % every != 0 or self.judge.encode(text) == ids.tolist()))
+            for text, (ids, same, parity) in zip(texts, found)
+        ]
 
     def decode(self, ids: Sequence[Sequence[int]]) -> list[str]:
         return self.whole.decode_batch([list(map(int, x)) for x in ids], skip_special_tokens=False)
@@ -256,8 +330,8 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
             for some in _batches(batch):
                 texts = some["text"].to_pylist()
                 found = codec.encode_checked([t or "" for t in texts])
-                ids = pa.array([None if t is None else i for t, (i, _) in zip(texts, found)], pa.list_(pa.int32()))
-                same = pa.array([None if t is None else s for t, (_, s) in zip(texts, found)], pa.bool_())
+                ids = pa.array([None if t is None else i for t, (i, _, _) in zip(texts, found)], pa.list_(pa.int32()))
+                same = pa.array([None if t is None else s for t, (_, s, _) in zip(texts, found)], pa.bool_())
                 yield pa.record_batch([some["doc_id"], ids, same], ["doc_id", "ids", "round_trip"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>, round_trip boolean")
@@ -287,25 +361,22 @@ def encode_digest(docs: DataFrame, model: bytes, judge: bool = True) -> DataFram
     """(doc_id, n_tokens, ids_crc32, round_trip, parity) for each row of ``docs``.
 
     Encodes like :func:`encode` without keeping the ids. ``parity`` tells whether
-    the sentencepiece library gives the same ids (null unless ``judge``). A null
-    text has nulls.
+    the sentencepiece library gives the same ids to every word of the text, and
+    for some texts to the whole (null unless ``judge``). A null text has nulls.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        codec = Codec(sent.value)
-        other = sentencepiece.SentencePieceProcessor(model_proto=sent.value) if judge else None
+        codec = Codec(sent.value, sentencepiece.SentencePieceProcessor(model_proto=sent.value) if judge else None)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
         for batch in batches:
             for some in _batches(batch):
                 rows = []
                 texts = some["text"].to_pylist()
                 found = codec.encode_checked([t or "" for t in texts])
-                for doc, text, (ids, same) in zip(some["doc_id"].to_pylist(), texts, found):
-                    parity = np.array_equal(other.encode(text or ""), ids) if other else None
-                    rows.append((doc, len(ids), crc32_of_ids(ids), same, parity) if text is not None else (doc, *[None] * 4))
+                for doc, text, (ids, same, parity) in zip(some["doc_id"].to_pylist(), texts, found):
+                    said = (len(ids), crc32_of_ids(ids), same, parity if judge else None)
+                    rows.append((doc, *(said if text is not None else [None] * 4)))
                 yield pa.record_batch(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_tokens", "ids_crc32", "round_trip", "parity"]
                 )

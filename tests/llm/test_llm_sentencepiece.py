@@ -55,7 +55,8 @@ def bpe():
 
 def same(data, texts):
     ours, other = codec.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
-    for text, (ids, whole) in zip(texts, ours.encode_checked(texts)):
+    assert [x[2] for x in codec.Codec(data, other).encode_checked(texts)] == [True] * len(texts)
+    for text, (ids, whole, _) in zip(texts, ours.encode_checked(texts)):
         assert ids.tolist() == other.encode(text), text[:50]
         assert ours.decode([ids])[0] == other.decode(ids.tolist()), text[:50]
         assert whole or ours.decode([ids])[0] != text
@@ -120,6 +121,18 @@ def test_query_has_parity_on_the_whole_table(spark):
     assert out.agg(F.sum("n_tokens")).first()[0] > 300_000
 
 
+def test_a_wrong_word_is_told(bpe):
+    """The judge sees what differs: here a codec whose merges are in the wrong order."""
+    other = sentencepiece.SentencePieceProcessor(model_proto=bpe)
+    odd = codec.Codec(bpe, other)
+    model = odd.model
+    vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
+    merges = codec._merges(model)[::-1]
+    odd.words.model = codec.models.BPE(vocab, merges, unk_token="<unk>", fuse_unk=True, byte_fallback=True)
+    texts = ["a", "international considerations", ""]
+    assert [x[2] for x in odd.encode_checked(texts)] == [True, False, True]
+
+
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         codec.read_model(field(2, field(3, 4)))
