@@ -54,8 +54,9 @@ def line_sequence(docs: DataFrame) -> DataFrame:
     )
 
 
-def suffix_ranks(lines: DataFrame, depth: int) -> tuple[DataFrame, list[int]]:
-    """Ranks of the suffixes at depths 1, 2, 4, ... up to ``depth``, and those depths.
+def suffix_ranks(lines: DataFrame, depth: int | None) -> tuple[DataFrame, list[int]]:
+    """Ranks of the suffixes at depths 1, 2, 4, ... up to ``depth``, and those depths. Without
+    a ``depth`` until a round splits no rank: the last ranks are then the suffix array's.
 
     ``lines`` as from :func:`line_sequence`. Returns its rows whose line occurs
     more than once with columns r1, r2, r4, ...; a suffix that ends or meets a
@@ -67,13 +68,16 @@ def suffix_ranks(lines: DataFrame, depth: int) -> tuple[DataFrame, list[int]]:
     now = materialise(lines.join(named, "lid").drop("lid").dropDuplicates([*_DOC, "pos"]))
     in_doc = Window.partitionBy(*_DOC).orderBy("pos")
     depths = [1]
-    while (k := depths[-1]) * 2 <= depth:
-        r = f"r{k}"
+    while depth is None or depths[-1] * 2 <= depth:
+        k, r = depths[-1], f"r{depths[-1]}"
         further = F.when(F.lead("pos", k).over(in_doc) == F.col("pos") + k, F.lead(r, k).over(in_doc))
         paired = now.withColumn("next", F.coalesce(further, F.lit(0)))
         ranks = materialise(dense_ranks(paired.select(r, "next").distinct(), [r, "next"], f"r{2 * k}"))
         now = materialise(paired.join(ranks, [r, "next"]).drop("next"))
         depths.append(2 * k)
+        if depth is None and ranks.count() == named.count():
+            break
+        named = ranks
     return now, depths
 
 

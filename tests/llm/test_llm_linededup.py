@@ -69,6 +69,10 @@ def test_suffix_ranks_sort_the_suffixes(spark, docs_of):
     order = {lid: i for i, lid in enumerate(sorted(order), 1)}
     ranked, depths = linededup.suffix_ranks(lines, 16)
     assert depths == [1, 2, 4, 8, 16]
+    whole, all_depths = linededup.suffix_ranks(lines, None)
+    top = f"r{all_depths[-1]}"
+    pairs = ranked.join(whole.select("id", "th", "pos", F.col(top).alias("full")), ["id", "th", "pos"])
+    assert pairs.where("full <> r16").count() == 0
     text: dict = {}
     for r in lines.collect():
         text.setdefault(r.id, {})[r.pos] = order[r.lid]
