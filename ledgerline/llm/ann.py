@@ -184,7 +184,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
         .where(F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))))
         .where(F.exists("v", lambda x: x != 0))
     )
-    dim = good.agg(F.mode(F.size("v"))).first()[0]
+    dim = good.agg(F.mode(F.size("v"), True)).first()[0]
     return good.where(F.size("v") == F.lit(dim or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 

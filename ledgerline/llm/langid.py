@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import columns, fresh, held_out, train_row
@@ -168,20 +168,16 @@ def training_windows(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame
     Rows with the smallest hash of their id are taken in each language in equal
     numbers. A row gives one stretch of WINDOW characters from a hashed place.
     """
-    usable = docs.where(train_row() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    known = [r[0] for r in usable.select("lang").distinct().orderBy("lang").limit(train_rows).collect()]
-    order = F.xxhash64("doc_id")
+    labelled = docs.where(train_row() & F.col("lang").isNotNull())
+    languages = max(1, labelled.select("lang").distinct().count())
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
-    sample = None
-    for lang in known:
-        some = (
-            usable.where(F.col("lang") == lang)
-            .select("lang", "doc_id", F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("piece"))
-            .orderBy(order, "doc_id", "piece")
-            .limit(max(1, train_rows // len(known)))
-        )
-        sample = some if sample is None else sample.unionAll(some)
-    return sample if sample is not None else docs.select("lang", "doc_id", F.lit("").alias("piece")).limit(0)
+    pieces = labelled.where(F.col("text").rlike(r"\p{L}")).select(
+        "lang", "doc_id", F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("piece")
+    )
+    # tasks pass on a language's first rows only
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "piece")
+    ranked = pieces.withColumn("n", F.row_number().over(by_hash))
+    return ranked.where(F.col("n") <= max(1, train_rows // languages)).drop("n").limit(train_rows)
 
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Network | None:
