@@ -16,11 +16,13 @@ learnt is compared with it, and some whole texts, or all where words can't be.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -42,6 +44,8 @@ _LEARNT_AT_ONCE = 1 << 14
 _JUDGED_WORDS = 256
 _JUDGED_WHOLE = 64
 _TEXT_CHARS = 1 << 22
+#: Encoding threads of a task.
+THREADS = 2
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -303,6 +307,14 @@ class Codec:
         return self.whole.decode_batch([list(map(int, x)) for x in ids], skip_special_tokens=False)
 
 
+@lru_cache(maxsize=2)
+def _codec(data: bytes, judged: bool) -> Codec:
+    """The codec of a Python worker: its words outlive a task."""
+    # a task's share of the cores; the library's pool would take all of the machine's for each worker
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
+    return Codec(data, sentencepiece.SentencePieceProcessor(model_proto=data) if judged else None)
+
+
 def load(spark: SparkSession, path: str) -> bytes:
     """The model file's bytes, read by Spark from any store that it reads (one file of a fixed model)."""
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
@@ -325,7 +337,7 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(sent.value)
+        codec = _codec(sent.value, False)
         for batch in batches:
             for some in _batches(batch):
                 texts = some["text"].to_pylist()
@@ -342,7 +354,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(sent.value)
+        codec = _codec(sent.value, False)
         for batch in batches:
             ids = batch["ids"].to_pylist()
             texts = codec.decode([i or [] for i in ids])
@@ -367,7 +379,7 @@ def encode_digest(docs: DataFrame, model: bytes, judge: bool = True) -> DataFram
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(sent.value, sentencepiece.SentencePieceProcessor(model_proto=sent.value) if judge else None)
+        codec = _codec(sent.value, judge)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
         for batch in batches:
             for some in _batches(batch):
