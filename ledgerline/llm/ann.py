@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise
+from ledgerline.llm.common import materialise, smallest_hashes
 
 NEIGHBOURS = 20
 SAMPLE_ROWS = 8192
@@ -248,7 +248,7 @@ def search(
     """
     vectors = materialise(usable(embeddings))
     total = vectors.count()
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toArrow()
+    sample = smallest_hashes(vectors, sample_rows, total, "vec_id").toArrow()
     if not total:
         return vectors.select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")

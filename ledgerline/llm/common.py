@@ -48,6 +48,23 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def hash_order(*keys: str) -> Column:
+    """A hash of the columns, from 0 to 2**63 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(*keys), 1)
+
+
+def hash_bound(rows: int, total: int) -> int:
+    """A bound of :func:`hash_order` below which about 2 * ``rows`` of ``total`` rows lie, so that a
+    search for the ``rows`` smallest hashes sorts no more than these, however many tasks there are."""
+    return min(1 << 63, (1 << 63) * (2 * rows + 100) // max(1, total)) - 1
+
+
+def smallest_hashes(df: DataFrame, rows: int, total: int, *keys: str) -> DataFrame:
+    """The ``rows`` rows of the ``total`` of ``df`` with the smallest hashes of ``keys``."""
+    h = hash_order(*keys)
+    return df.where(h <= hash_bound(rows, total)).orderBy(h, *keys).limit(rows)
+
+
 def dense_ranks(keys: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number distinct rows 1, 2, ... in the order of ``order`` over the whole table.
 

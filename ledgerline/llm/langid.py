@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import columns, fresh, held_out, train_row
+from ledgerline.llm.common import columns, fresh, hash_bound, hash_order, held_out, train_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -165,24 +165,27 @@ def predict(net: Network, texts: list[bytes]) -> np.ndarray:
 def training_windows(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(lang, piece) from at most ``train_rows`` labelled training rows.
 
-    Rows with the smallest hash of their id are taken in each language in equal
-    numbers. A row gives one stretch of WINDOW characters from a hashed place.
+    Rows with the smallest hash of their id and text are taken in each language in
+    equal numbers (the most frequent languages, if there are more than rows). A row gives one stretch of WINDOW characters from a hashed place.
     """
     labelled = docs.where(train_row() & F.col("lang").isNotNull())
-    languages = max(1, labelled.select("lang").distinct().count())
+    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(train_rows).collect()
+    if not counted:
+        return docs.select("lang", F.lit("").alias("piece")).limit(0)
+    each = max(1, train_rows // len(counted))
+    bounds = F.create_map(*[F.lit(x) for lang, n in counted for x in (lang, hash_bound(each, n))])
+    order = hash_order("doc_id", "text")
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
-    pieces = labelled.where(F.col("text").rlike(r"\p{L}")).select(
-        "lang", "doc_id", F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("piece")
+    pieces = labelled.where((order <= bounds[F.col("lang")]) & F.col("text").rlike(r"\p{L}")).select(
+        "lang", order.alias("order"), F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("piece")
     )
-    # tasks pass on a language's first rows only
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "piece")
-    ranked = pieces.withColumn("n", F.row_number().over(by_hash))
-    return ranked.where(F.col("n") <= max(1, train_rows // languages)).drop("n").limit(train_rows)
+    by_hash = Window.partitionBy("lang").orderBy("order", "piece")
+    return pieces.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= each).select("lang", "piece")
 
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Network | None:
     """A network from the labelled training rows; None if there are none."""
-    rows = sorted(tuple(r) for r in training_windows(docs, train_rows).select("lang", "piece").collect())
+    rows = sorted(tuple(r) for r in training_windows(docs, train_rows).collect())
     if not rows:
         return None
     languages = sorted({lang for lang, _ in rows})

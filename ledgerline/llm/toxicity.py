@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import columns, fresh, held_out, train_row
+from ledgerline.llm.common import columns, fresh, held_out, smallest_hashes, train_row
 
 BITS = 20
 TRAIN_ROWS = 16_384
@@ -113,9 +113,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
         labels.where(train_row() & F.col("toxic").isin(0, 1))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(train_rows)
     )
+    marked = smallest_hashes(marked, train_rows, marked.count(), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Memo()
