@@ -67,6 +67,21 @@ def flag_rate_by_channel(enriched: DataFrame, params: JobParams = DEFAULT_PARAMS
     )
 
 
+def by_category_and_channel(enriched: DataFrame) -> DataFrame:
+    """Net value and mean flag by category and by channel from one pass:
+    (dimension, value, net_value, flagged_rate)."""
+    dimensions = ["merchant_category", "channel"]
+    return (
+        enriched.groupingSets([[d] for d in dimensions], *dimensions)
+        .agg(
+            F.when(F.grouping("channel") == 1, F.lit("merchant_category")).otherwise(F.lit("channel")).alias("dimension"),
+            exact_sum("net_amount").alias("net_value"),
+            F.avg(F.col("is_flagged").cast("double")).alias("flagged_rate"),
+        )
+        .select("dimension", F.coalesce(*dimensions).alias("value"), "net_value", "flagged_rate")
+    )
+
+
 def status_breakdown(full: DataFrame, enriched: DataFrame | None = None) -> DataFrame:
     """Raw status counts over the fixed domain, zero-filled (J2), plus the
     filtered share (full - enriched) / full, not clamped (A9).
@@ -188,14 +203,18 @@ def report_datasets(
     a ``full`` table of the input there is no status breakdown."""
     from ledgerline.operators.windows import alerts
 
-    breakdown = {} if full is None else {"status_breakdown": status_breakdown(full, enriched)}
+    breakdown = {} if full is None else {"status_breakdown": status_breakdown(full)}
+    # a row per category and channel, kept when the first of its two readers runs
+    both = by_category_and_channel(enriched).cache()
+    of = lambda dimension: both.where(F.col("dimension") == dimension).withColumnRenamed("value", dimension)
+    alert = F.col("flagged_rate") >= F.lit(float(params.fraud_alert_rate))
     return breakdown | {
         "throughput_series": throughput_series(windows),
         "flag_rate_series": flag_rate_series(windows, params),
         "alert_windows": alerts(windows, params),
-        "net_value_by_category": net_value_by_category(enriched),
+        "net_value_by_category": of("merchant_category").select("merchant_category", "net_value").orderBy("net_value", "merchant_category"),
         "amount_histogram": amount_histogram(enriched, params.histogram_bins),
-        "flag_rate_by_channel": flag_rate_by_channel(enriched, params),
+        "flag_rate_by_channel": of("channel").select("channel", "flagged_rate", alert.alias("is_alert")).orderBy(F.col("flagged_rate").desc(), "channel"),
         "sample_enriched": sample_enriched(enriched, 8),
         "sample_windows": sample_windows(windows, 12),
     }

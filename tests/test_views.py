@@ -121,6 +121,9 @@ def test_report_datasets_all_build(spark):
     assert counts["status_breakdown"] == 3 and counts["amount_histogram"] == 68
     assert counts["sample_enriched"] == 8 and counts["sample_windows"] == 12
     assert all(n > 0 for n in counts.values())
+    assert sets["net_value_by_category"].collect() == net_value_by_category(e).collect()
+    assert sets["flag_rate_by_channel"].collect() == flag_rate_by_channel(e).collect()
+    assert "status_breakdown" not in report_datasets(e, closed_windows(e), None)
 
 
 def test_histogram_of_infinities_fails_loudly(spark):
