@@ -28,42 +28,61 @@ from ledgerline.sources.readers import parquet_stream, read_output
 from ledgerline.sources.sinks import start_debug_sink, start_kafka_sink, start_parquet_sink
 
 POLL_SECONDS = 0.1
+#: Batches that a progress log holds one by one: more than Spark's own progress entries.
+HELD_BATCHES = 1000
 
 
 @dataclass
 class ProgressLog:
-    """Counts of a query by micro-batch.
+    """Counts of a query over its micro-batches.
 
     Spark keeps only a query's latest progress entries, so they are collected
     while the query runs: call :meth:`update` more often than it forgets them.
     If batches were missed all the same, the counts are null, with a warning.
+    Only the latest batches are held one by one, so a log of a continuous query
+    does not grow.
     """
 
     query: StreamingQuery
-    batches: dict[int, tuple[int, int]] = field(default_factory=dict)
+    latest: dict[int, tuple[int, int]] = field(default_factory=dict)
+    first_id: int | None = None
+    seen: int = 0
+    with_data: int = 0
+    rows: int = 0
+    dropped: int = 0
 
     def update(self) -> None:
         for p in self.query.recentProgress or []:
+            batch = p["batchId"]
+            if self.latest and batch < min(self.latest):
+                continue  # already in the sums
             rows = int(p.get("numInputRows") or 0)
             dropped = sum(int(op.get("numRowsDroppedByWatermark") or 0) for op in p.get("stateOperators") or [])
             # an idle report carries the number of the batch that will come next
-            before = self.batches.get(p["batchId"], (0, 0))
-            self.batches[p["batchId"]] = (max(rows, before[0]), max(dropped, before[1]))
-
-    def complete(self) -> bool:
-        return not self.batches or len(self.batches) == max(self.batches) - min(self.batches) + 1
+            before = self.latest.get(batch, (0, 0))
+            self.latest[batch] = (max(rows, before[0]), max(dropped, before[1]))
+            self.first_id = batch if self.first_id is None else min(self.first_id, batch)
+        for batch in sorted(self.latest)[:-HELD_BATCHES]:
+            self._add(*self.latest.pop(batch))
+
+    def _add(self, rows: int, dropped: int) -> None:
+        self.seen += 1
+        self.with_data += rows > 0
+        self.rows += rows
+        self.dropped += dropped
 
     def stats(self) -> dict:
         """Batches with data, input rows, rows dropped by the watermark (partially aggregated rows) and the last batch id."""
         self.update()
-        last = max(self.batches, default=None)
-        if not self.complete():
+        last = max(self.latest, default=None)
+        if last is not None and self.seen + len(self.latest) < last - self.first_id + 1:
             warnings.warn("progress of some micro-batches was missed; their counts are unknown", stacklevel=2)
             return dict.fromkeys(("batches_with_data", "input_rows", "rows_dropped_by_watermark")) | {"last_batch_id": last}
+        held = self.latest.values()
         return {
-            "batches_with_data": sum(rows > 0 for rows, _ in self.batches.values()),
-            "input_rows": sum(rows for rows, _ in self.batches.values()),
-            "rows_dropped_by_watermark": sum(dropped for _, dropped in self.batches.values()),
+            "batches_with_data": self.with_data + sum(rows > 0 for rows, _ in held),
+            "input_rows": self.rows + sum(rows for rows, _ in held),
+            "rows_dropped_by_watermark": self.dropped + sum(dropped for _, dropped in held),
             "last_batch_id": last,
         }
 
@@ -222,7 +241,7 @@ def start_stream(
 def _await_first_output(run: StreamRun) -> None:
     """Until the enriched query has committed a batch: a file stream needs its folder to exist."""
     log = run.logs["enriched"]
-    while log.query.isActive and not log.batches:
+    while log.query.isActive and not log.latest:
         log.query.awaitTermination(POLL_SECONDS)
         log.update()
 

@@ -269,6 +269,27 @@ def test_missed_progress_gives_null_and_a_warning():
     assert stats == {"batches_with_data": None, "input_rows": None, "rows_dropped_by_watermark": None, "last_batch_id": 9}
 
 
+def test_a_long_log_holds_few_batches(monkeypatch):
+    from ledgerline.streaming import jobs
+
+    monkeypatch.setattr(jobs, "HELD_BATCHES", 4)
+
+    class Query:
+        recentProgress = []
+
+    log = ProgressLog(Query())
+    for batch in range(50):
+        drops = [{"numRowsDroppedByWatermark": 1}]
+        Query.recentProgress = [{"batchId": b, "numInputRows": b % 3, "stateOperators": drops} for b in range(max(0, batch - 3), batch + 1)]
+        log.update()
+        log.update()
+    assert len(log.latest) == 4
+    assert log.stats() == {
+        "batches_with_data": sum(b % 3 > 0 for b in range(50)), "input_rows": sum(b % 3 for b in range(50)),
+        "rows_dropped_by_watermark": 50, "last_batch_id": 49,
+    }
+
+
 def test_counts_without_a_full_copy(spark, fresh_dir, tmp_path):
     path = _landed(tmp_path, "counted", [[(i, f"t{i}_{j}") for i in range(49)] for j in range(8)])
     with open(f"{path}/part_900.json", "w") as f:
