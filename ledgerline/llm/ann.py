@@ -6,8 +6,9 @@ parts of nearly equal size with few edges between them. A small classifier
 share of them in it. It puts every vector of the table into its most probable
 part, and sends a query to its most probable ones; how many is measured on
 sample queries that the classifier has not seen. All vectors of those parts are
-scored exactly in double precision. A query's k-th best score within the sample
-is a lower bound for its result, so cells return only what reaches it.
+scored exactly in double precision. A query's k-th best score among the sample
+vectors of the parts it asks is a lower bound for its result, so cells return only
+what reaches it.
 
 The work of a part is cut into cells of at most about ``cell_rows`` vectors and
 ``cell_rows`` queries by hashes of their ids, so a part that holds a third of
@@ -188,14 +189,21 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return good.where(F.size("v") == F.lit(dim or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def _floors(ids: np.ndarray, x: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
-    """The k-th best score of each query within the sample, its own row left out."""
+def _floors(
+    ids: np.ndarray, x: np.ndarray, asked: list[list[int]], sample_ids: np.ndarray, sample: np.ndarray, parts: np.ndarray, k: int
+) -> np.ndarray:
+    """The k-th best score of each query among the sample vectors of the parts it asks, its own row left out."""
     if len(sample) <= k:
         return np.full(len(x), -np.inf)
     out = np.empty(len(x))
     for start in range(0, len(x), 512):
+        some = asked[start : start + 512]
         near = x[start : start + 512] @ sample.T
         near[ids[start : start + 512, None] == sample_ids[None, :]] = -np.inf
+        asks = np.zeros((len(some), int(parts.max()) + 1), bool)
+        for i, mine in enumerate(some):
+            asks[i, [p for p in mine if p < asks.shape[1]]] = True
+        near[~asks[:, parts]] = -np.inf
         out[start : start + 512] = -np.partition(-near, k - 1, axis=1)[:, k - 1]
     return out - 1e-12 * np.abs(sample).max() * np.abs(x).sum(1)
 
@@ -255,15 +263,14 @@ def search(
         )
     dim = len(sample["v"][0])
     parts = max(4, min(MAX_PARTS, -(-total // part_rows)))
-    known = _matrix(sample["v"].combine_chunks(), dim)
-    router = fit(known, parts, k, recall)
-    # sample_rows vectors at most, and the classifier
-    sent = embeddings.sparkSession.sparkContext.broadcast((router, sample["vec_id"].to_numpy(), known))
+    router = fit(_matrix(sample["v"].combine_chunks(), dim), parts, k, recall)
+    context = embeddings.sparkSession.sparkContext
+    sent = context.broadcast(router)  # as large as the sample's bounds allow
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                order = (-sent.value[0].scores(_matrix(batch["v"], dim))).argsort(1, kind="stable").astype(np.int32)
+                order = (-sent.value.scores(_matrix(batch["v"], dim))).argsort(1, kind="stable").astype(np.int32)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), order.shape[1])
                 yield pa.record_batch([batch["vec_id"], batch["v"], lists.cast(pa.list_(pa.int32()))], ["vec_id", "v", "parts"])
 
@@ -278,14 +285,22 @@ def search(
     )
     wanted = F.filter("parts", lambda p, i: (i < router.probes) | (F.get(held, i) < k + 1))
 
+    # the sample's rows as they were placed: sample_rows vectors at most
+    placed_sample = smallest_hashes(members, sample_rows, total, "vec_id").toArrow()
+    known = context.broadcast(
+        (placed_sample["vec_id"].to_numpy(), _matrix(placed_sample["v"].combine_chunks(), dim), placed_sample["part"].to_numpy())
+    )
+
     def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                floor = _floors(batch["vec_id"].to_numpy(), _matrix(batch["v"], dim), *sent.value[1:], k)
+                ids, x = batch["vec_id"].to_numpy(), _matrix(batch["v"], dim)
+                floor = _floors(ids, x, batch["parts"].to_pylist(), *known.value, k)
                 yield pa.record_batch([*batch.columns, pa.array(floor)], [*batch.schema.names, "floor"])
 
-    bounded = routed.where(is_query).mapInArrow(floored, "vec_id long, v array<double>, parts array<int>, floor double")
-    asked = materialise(bounded.select("vec_id", "v", "floor", F.explode(wanted).alias("part")))
+    queries = routed.where(is_query).select("vec_id", "v", wanted.alias("parts"))
+    bounded = queries.mapInArrow(floored, "vec_id long, v array<double>, parts array<int>, floor double")
+    asked = materialise(bounded.select("vec_id", "v", "floor", F.explode("parts").alias("part")))
     asked = asked.where(F.get(counts, F.col("part")) > 0)
     loads = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = F.array(*[F.lit(max(1, -(-loads.get(p, 0) // cell_rows))) for p in range(router.parts)])

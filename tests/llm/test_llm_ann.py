@@ -57,6 +57,15 @@ def test_few_parts_are_asked_on_clusters(spark):
     assert recall(got, brute(rows, 20)) >= 0.9
 
 
+def test_every_query_gets_its_full_number(spark):
+    """Also where most of the nearest lie in parts that aren't asked."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(v) for v in rng.normal(size=16)]) for i in range(4000)]
+    got = ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0, sample_rows=3000, part_rows=150, recall=0.3).collect()
+    assert len(got) == 200 * 20
+    assert 0.2 <= recall(got, brute(rows, 20)) < 0.9
+
+
 def test_parts_are_balanced():
     x = np.array([v for _, v in clustered(2000)])
     graph = ann._nearest(x, np.arange(len(x)), 8)
