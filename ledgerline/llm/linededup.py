@@ -9,7 +9,8 @@ rank at depth k are an interval of the suffix array with a longest common
 prefix of k lines or more.
 
 A run is a repeat if it has ``min_words`` words or more and also occurs earlier
-(by doc_id, then place). All lines of such runs go. Every line of a repeated
+(by doc_id, then place). All lines of such runs go. With the default of one word
+that is every repeated run, a single short line among them. Every line of a repeated
 run lies in a window of the run that has min_words words and can't lose both
 its first and its last line for it; such a window has min_words lines at most.
 So the sort stops at that depth: the interval of a window of n lines is found
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import LAST_ID, columns, dense_ranks, fresh, materialise
 
+#: The floor of the registered query, as its SQL has it.
 MIN_WORDS = 10
 WORD = r"[^\x20\x09-\x0D]+"
 _DOC = ["id", "th"]
@@ -111,7 +113,7 @@ def _windows(ranked: DataFrame, depths: list[int], min_words: int) -> DataFrame:
     return cut.select(*_DOC, "pos", "n", first.alias("first"), last.alias("last"), lines.alias("lines"))
 
 
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def deletions(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """(id, th, gone): for each document that loses lines, their (pos, line) in order."""
     if min_words < 1:
         raise ValueError("min_words must be 1 or more")
@@ -127,7 +129,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.groupBy(*_DOC).agg(F.sort_array(F.collect_list("l")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``docs`` with later copies of repeated line runs cut out of ``text``.
 
     Three columns are added: lines_before, lines_deleted and runs_deleted (long;
@@ -159,7 +161,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return held.select(*kept, *[c.cast("long").alias(n) for n, c in zip(added, counts)])
 
 
-def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def keep_first_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """``docs`` after :func:`dedup_lines`, its own columns only: n_chars, if there is one,
     counts the new text, and documents of which only blank lines are left go."""
     added = {c: fresh(docs, f"_{c}") for c in ("lines_before", "lines_deleted", "runs_deleted") if c in docs.columns}

@@ -54,7 +54,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"), linededup.MIN_WORDS)
     return cleaned.select(
         "doc_id", "lines_before", "lines_deleted", "runs_deleted", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     )

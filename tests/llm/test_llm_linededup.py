@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerline.llm import linededup
 
 SF = "/root/testdata/sf0.001"
@@ -124,3 +125,16 @@ def test_long_copies_go_whole(spark, docs_of):
     out = {r.doc_id: r for r in linededup.dedup_lines(docs_of(rows)).collect()}
     assert out[1].lines_deleted == 0
     assert (out[2].text, out[2].lines_deleted, out[2].runs_deleted) == ("before\nafter", 550, 1)
+
+
+def test_short_repeats_go_in_the_pipeline(spark, docs_of):
+    licence = "Released under the MIT License."
+    rows = [(1, f"first text\n{licence}\n}}"), (2, f"second text\n\n{licence}"), (3, licence), (4, "}\nfourth text")]
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs_of(rows), SF).collect()}
+    assert kept == {1: f"first text\n{licence}\n}}", 2: "second text\n", 4: "fourth text"}
+
+
+def test_every_later_copy_of_a_line_goes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {k: v for k, v in brute([(k, t) for k, t in keyed(docs) if t and t.count("\n") < 60], 1).items() if v}
+    assert deleted(spark, docs.where(F.size(F.split("text", "\n")) <= 60), 1) == want and want
