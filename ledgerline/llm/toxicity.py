@@ -24,7 +24,6 @@ from ledgerline.llm.common import columns, fresh, held_out, smallest_hashes, tra
 
 BITS = 20
 TRAIN_ROWS = 16_384
-ROW_FEATURES = 1 << 15
 THRESHOLD = 0.3
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.0
@@ -106,8 +105,8 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> Model:
 def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(features, toxic) of at most ``train_rows`` labelled training documents with a text.
 
-    The labelled ids with the smallest hashes are taken; a row keeps its
-    ROW_FEATURES smallest buckets at most (training only, a bound for the driver).
+    The labelled ids with the smallest hashes are taken, each with all its distinct
+    buckets. The driver holds them: its memory grows with the length of these texts.
     """
     marked = (
         labels.where(train_row() & F.col("toxic").isin(0, 1))
@@ -120,7 +119,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
         memo = _Memo()
         for batch in batches:
             found = [
-                np.unique(np.concatenate([*_buckets(x.as_py(), memo), np.zeros(0, np.int64)]))[:ROW_FEATURES].astype(np.int32)
+                np.unique(np.concatenate([*_buckets(x.as_py(), memo), np.zeros(0, np.int64)])).astype(np.int32)
                 for x in batch["text"]
             ]
             yield pa.record_batch(

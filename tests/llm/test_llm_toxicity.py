@@ -101,3 +101,11 @@ def test_no_labels_and_no_rows(spark, docs_of):
     out = toxicity.toxicity(docs_of([(1, "some text"), (2, None)]), labels).collect()
     assert {(r.score, r.predicted) for r in out} == {(0.0, 0)}
     assert toxicity.toxicity(docs_of([]), labels).count() == 0
+
+
+def test_long_documents_teach_all_their_features(spark, docs_of):
+    text = " ".join(f"w{i}" for i in range(30_000))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    (row,) = toxicity.training_rows(docs_of([(1, text)]), labels).collect()
+    whole = np.unique(np.concatenate(list(toxicity._buckets(text.encode(), toxicity._Memo()))))
+    assert row.features == whole.tolist() and len(whole) > 1 << 15
