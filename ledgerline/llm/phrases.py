@@ -10,7 +10,7 @@ A phrase's name is a hash of its symbols' names, hence equal phrases have equal
 names in all documents.
 
 The fingerprint is a one-permutation min-hash of the names on levels
-``LEVELS`` (and 1 for short texts): ``SLOTS`` values of 16 bits in hex, 0000 for a slot without names.
+``LEVELS``, the same for every text: ``SLOTS`` values of 16 bits in hex, 0000 for a slot without names.
 Two fingerprints' likeness is the share of equal slots among those that either
 fills: an estimate of the Jaccard likeness of the phrase sets.
 """
@@ -27,9 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialise
 
-LEVELS = (2, 3, 4)
-#: Texts of fewer bytes have few phrases on these levels; the first level's count too.
-SHORT_BYTES = 96
+LEVELS = (1, 2, 3, 4)
 SLOTS = 64
 _AT_ONCE = 1 << 20
 _U = np.uint64
@@ -95,10 +93,10 @@ def sketches(texts: Sequence[str | None]) -> np.ndarray:
             first[1:] = owner[1:] != owner[:-1]
             at, names = parse(symbols, first, names, level)
             symbols, owner = names, owner[at]
-            counted = np.ones(len(names), bool) if level in LEVELS else lengths[owner] < SHORT_BYTES
-            v = _mix(names[counted])
-            slot = owner[counted] * SLOTS + (v >> _U(58)).astype(np.int64)
-            np.minimum.at(least, slot, v & _U((1 << 58) - 1))
+            if level in LEVELS:
+                v = _mix(names)
+                slot = owner * SLOTS + (v >> _U(58)).astype(np.int64)
+                np.minimum.at(least, slot, v & _U((1 << 58) - 1))
     filled = least < np.iinfo(_U).max
     values = np.where(filled, _mix(least) % _U(65535) + _U(1), _U(0))
     return values.astype(np.uint16).reshape(len(raw), SLOTS)

@@ -64,6 +64,19 @@ def test_likeness_follows_the_shared_part():
     assert got[0] == 1 and got[1] > 0.6 and 0.15 < got[2] < 0.55 and got[3] < 0.1
 
 
+def test_likeness_does_not_jump_with_the_length():
+    """A text and its first bytes are as alike around 96 bytes as elsewhere."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9)))
+    texts = [" ".join(word() for _ in range(60))[:130] for _ in range(200)]
+
+    def mean(short, longer):
+        return float(phrases.likeness(*(phrases.sketches([t[:n] for t in texts]) for n in (short, longer))).mean())
+
+    assert all(mean(n, n + 3) > 0.7 for n in (84, 94, 95, 110))
+    assert abs(mean(90, 100) - mean(105, 115)) < 0.1
+
+
 def expected(rows):
     """Rows (doc_id, text) in any order -> result rows, with Spark's order of ties taken from ``rows``."""
     out = []
