@@ -11,7 +11,7 @@ the next metaspace, words can't influence each other; a batch then sends each
 distinct word to the library once, in one multithreaded call, and the texts' ids
 are put together from the words'. Otherwise whole texts are sent. Both give the
 same ids; the sentencepiece library is the judge of that: every word that is
-learnt is compared with it, and some whole texts, or all where words can't be.
+learnt is compared with it, and every whole text.
 """
 
 from __future__ import annotations
@@ -40,9 +40,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _WORD = re.compile(f"{METASPACE}+[^{METASPACE}]*|[^{METASPACE}]+")
 _KNOWN_WORDS = 1 << 19
 _LEARNT_AT_ONCE = 1 << 14
-#: So many new words are judged as one text; of whole texts one in _JUDGED_WHOLE.
+#: So many new words are judged as one text.
 _JUDGED_WORDS = 256
-_JUDGED_WHOLE = 64
 _TEXT_CHARS = 1 << 22
 #: Encoding threads of a task.
 THREADS = 2
@@ -296,11 +295,9 @@ class Codec:
             found = [(i, b == s[cut:], True) for i, b, s in zip(ids, self.decode(ids), shown)]
         if not self.judge:
             return found
-        # whole texts, where words were not judged; and some all the same, as words might not be all
-        every = 1 if not (self.apart and self.simple) else _JUDGED_WHOLE
+        # every whole text, as words might not be all
         return [
-            (ids, same, parity and (zlib.crc32(ids.tobytes()) % every != 0 or self.judge.encode(text) == ids.tolist()))
-            for text, (ids, same, parity) in zip(texts, found)
+            (ids, same, parity and self.judge.encode(text) == ids.tolist()) for text, (ids, same, parity) in zip(texts, found)
         ]
 
     def decode(self, ids: Sequence[Sequence[int]]) -> list[str]:
@@ -373,8 +370,8 @@ def encode_digest(docs: DataFrame, model: bytes, judge: bool = True) -> DataFram
     """(doc_id, n_tokens, ids_crc32, round_trip, parity) for each row of ``docs``.
 
     Encodes like :func:`encode` without keeping the ids. ``parity`` tells whether
-    the sentencepiece library gives the same ids to every word of the text, and
-    for some texts to the whole (null unless ``judge``). A null text has nulls.
+    the sentencepiece library gives the same ids to every word of the text and to
+    the whole text (null unless ``judge``). A null text has nulls.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -136,3 +136,15 @@ def test_a_wrong_word_is_told(bpe):
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         codec.read_model(field(2, field(3, 4)))
+
+
+def test_every_text_is_judged_as_a_whole(bpe):
+    """The judge has the same words, but puts an id behind each whole text."""
+    other = sentencepiece.SentencePieceProcessor(model_proto=bpe)
+    texts = [f"text number {i} of many" for i in range(40)]
+
+    class Judge:
+        def encode(self, text):
+            return other.encode(text) + [0] * (text in texts)
+
+    assert not any(parity for _, _, parity in codec.Codec(bpe, Judge()).encode_checked(texts))
