@@ -66,7 +66,7 @@ def test_run_equals_the_stages(spark, steps):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_odd_documents_go_through(spark, docs_of, odd_rows, fresh_dir):
