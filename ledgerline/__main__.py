@@ -30,11 +30,16 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output root (legacy job offline: JSON records as Parquet)")
     p.add_argument("--checkpoints")
     p.add_argument("--full", help="full batch copy of the input, for source counts and status breakdown "
-                   "(default: the input is read again for them; Kafka input has none)")
+                   "(default: the counts are taken in the stream; only the breakdown of --report reads the input again, "
+                   "and Kafka input has none)")
     p.add_argument("--window", default="5 minutes")
     p.add_argument("--watermark", default="30 minutes")
     p.add_argument("--threshold", type=float, default=0.65)
     p.add_argument("--max-files-per-trigger", type=int, default=4)
+    p.add_argument("--max-bytes-per-trigger", help="bound a micro-batch of a file or table source by bytes (like 512m) instead of files")
+    p.add_argument("--chained-files-per-trigger", type=int, default=4,
+                   help="files of the enriched output in a micro-batch of the windowed query (--mode enriched)")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="bound a micro-batch of a Kafka source")
     p.add_argument("--mode", default="source", choices=["enriched", "source"],
                    help="windowed query reads the source itself (source) or the enriched output (enriched: "
                         "one read of the source, but late rows are dropped by the batches of that output)")
@@ -101,28 +106,32 @@ def main(argv=None) -> dict:
         watermark_delay=args.watermark,
         fraud_threshold=args.threshold,
         max_files_per_trigger=args.max_files_per_trigger,
+        max_bytes_per_trigger=args.max_bytes_per_trigger,
+        chained_files_per_trigger=args.chained_files_per_trigger,
+        max_offsets_per_trigger=args.max_offsets_per_trigger,
         state_partitions=args.state_partitions,
     )
     if from_events:
         source = lambda session: transactions_from_events(
-            parquet_stream(session, args.input, EVENTS_SCHEMA, args.max_files_per_trigger)
+            parquet_stream(session, args.input, EVENTS_SCHEMA, args.max_files_per_trigger, args.max_bytes_per_trigger)
         )
-        real = transactions_from_events(spark.read.schema(EVENTS_SCHEMA).parquet(args.full or args.input))
+        full = lambda: transactions_from_events(spark.read.schema(EVENTS_SCHEMA).parquet(args.full or args.input))
     else:
         source = lambda session: read_transactions(session, params, args.input)
-        real = spark.read.parquet(args.full) if args.full else read_input(spark, params, args.input)
+        full = lambda: spark.read.parquet(args.full) if args.full else read_input(spark, params, args.input)
     out = args.out.rstrip("/")
     checkpoints = args.checkpoints or f"{out}/_checkpoints"
     run = run_stream(
         spark, source, args.out, checkpoints, params,
         available_now=not args.continuous, windowed_from=args.mode,
     )
-    record = stream_record(spark, run, real, params, kind="events" if from_events else None)
+    counted = {"source": full()} if args.full else {"observed": run.counts(spark)}
+    record = stream_record(spark, run, params=params, kind="events" if from_events else None, **counted)
     written = append_metrics(record, f"{out}/metrics", uuid.uuid4().hex)
     if args.report:
         from ledgerline.operators.views import report_datasets, write_report_datasets
 
-        datasets = report_datasets(run.enriched(spark), run.windows(spark), real, params)
+        datasets = report_datasets(run.enriched(spark), run.windows(spark), full(), params)
         write_report_datasets(datasets, f"{out}/report")
     row = written.first().asDict(recursive=True)
     print(json.dumps(row, default=str))

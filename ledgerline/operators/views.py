@@ -196,6 +196,17 @@ def sample_windows(windows: DataFrame, n: int = 12) -> DataFrame:
     return first_n(windows, ["window_start"], n)
 
 
+class ReportDatasets(dict):
+    """Datasets by name, and the cached frame that two of them share."""
+
+    def __init__(self, shared: DataFrame, datasets: dict[str, DataFrame]) -> None:
+        super().__init__(datasets)
+        self.shared = shared
+
+    def release(self) -> None:
+        self.shared.unpersist()
+
+
 def report_datasets(
     enriched: DataFrame, windows: DataFrame, full: DataFrame | None, params: JobParams = DEFAULT_PARAMS
 ) -> dict[str, DataFrame]:
@@ -205,10 +216,10 @@ def report_datasets(
 
     breakdown = {} if full is None else {"status_breakdown": status_breakdown(full)}
     # a row per category and channel, kept when the first of its two readers runs
-    both = by_category_and_channel(enriched).cache()
+    both = by_category_and_channel(enriched).cache()  # until ReportDatasets.release
     of = lambda dimension: both.where(F.col("dimension") == dimension).withColumnRenamed("value", dimension)
     alert = F.col("flagged_rate") >= F.lit(float(params.fraud_alert_rate))
-    return breakdown | {
+    return ReportDatasets(both, breakdown | {
         "throughput_series": throughput_series(windows),
         "flag_rate_series": flag_rate_series(windows, params),
         "alert_windows": alerts(windows, params),
@@ -217,14 +228,16 @@ def report_datasets(
         "flag_rate_by_channel": of("channel").select("channel", "flagged_rate", alert.alias("is_alert")).orderBy(F.col("flagged_rate").desc(), "channel"),
         "sample_enriched": sample_enriched(enriched, 8),
         "sample_windows": sample_windows(windows, 12),
-    }
+    })
 
 
 def write_report_datasets(datasets: dict[str, DataFrame], root: str) -> list[str]:
-    """Write each dataset as Parquet under ``root/<name>`` (overwrite)."""
+    """Write each dataset as Parquet under ``root/<name>`` (overwrite); what they share is released then."""
     paths = []
     for name, df in datasets.items():
         path = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
         paths.append(path)
+    if isinstance(datasets, ReportDatasets):
+        datasets.release()
     return paths

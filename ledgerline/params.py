@@ -19,12 +19,24 @@ DEFAULT_DISCOUNT_RULES: Mapping[str, float] = {
 }
 
 
+def byte_count(size: int | str) -> int:
+    """A size in bytes: a number, or a number with k, m, g or t (powers of 1024)."""
+    text = str(size).strip().lower()
+    unit = "kmgt".find(text[-1:]) + 1 if text[-1:] else 0
+    count = int(text[:-1] if unit else text) << 10 * unit
+    if count < 1:
+        raise ValueError(f"not a size: {size!r}")
+    return count
+
+
 @dataclass(frozen=True)
 class JobParams:
     """Parameters of the enrichment, windowing and streaming jobs.
 
     ``discount_rules`` may be empty: every category then gets rate 0.0.
-    ``max_files_per_trigger`` bounds a file-source micro-batch (None: no bound).
+    ``max_files_per_trigger`` bounds a file-source micro-batch (None: no bound);
+    ``max_bytes_per_trigger`` (a number, or text like "8g") bounds it by the
+    files' bytes instead, whatever the sizes of the files.
     ``state_partitions``: shuffle partitions of the stateful window query
     (None: the session's setting). Its keys are the open windows (about
     delay/duration + 1), not the rows: a job whose open windows are few saves
@@ -47,6 +59,7 @@ class JobParams:
     )
     legacy_discount_factor: float = 0.9
     max_files_per_trigger: int | None = 4
+    max_bytes_per_trigger: int | str | None = None
     chained_files_per_trigger: int | None = 4
     batch_size: int = 250
     histogram_bins: int = 34

@@ -239,33 +239,98 @@ METRICS_RECORD = f"""SELECT r.*, CAST(1 AS BIGINT) AS enriched_batches, CAST(1 A
        ) AS status_counts
 FROM ({RUN_METRICS}) r"""
 
-# Rows arrive by eighths of the time range, a quarter of them one part late; the
-# watermark of a part comes from the rows of the parts before it.
-LATE_ROWS = f"""WITH {ENRICHED},
-span AS (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS lo, CAST(floor(epoch(max(ts))) AS BIGINT) AS hi FROM events),
+def _arrivals(late: int) -> str:
+    """Rows arrive by eighths of the time range, with ``late`` an eighth of them one part late and
+    an eighth ``late`` parts; batch numbers the parts that have rows."""
+    later = f" + CASE {_pmod('e.event_id', 8)} WHEN 0 THEN 1 WHEN 4 THEN {late} ELSE 0 END" if late else ""
+    return f"""span AS (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS lo, CAST(floor(epoch(max(ts))) AS BIGINT) AS hi FROM events),
 arrivals AS (
-  SELECT printf('txn_%07d', e.event_id) AS transaction_id,
-         COALESCE(least((((CAST(floor(epoch(e.ts)) AS BIGINT) - span.lo) * 8) // (span.hi - span.lo + 1))
-                        + CASE WHEN {_pmod('e.event_id', 4)} = 0 THEN 1 ELSE 0 END, 7), 0) AS part
-  FROM events e, span
+  SELECT transaction_id, part, dense_rank() OVER (ORDER BY part) - 1 AS batch
+  FROM (SELECT printf('txn_%07d', e.event_id) AS transaction_id,
+               COALESCE(least((((CAST(floor(epoch(e.ts)) AS BIGINT) - span.lo) * 8) // (span.hi - span.lo + 1)){later}, 7), 0) AS part
+        FROM events e, span)
 ),
-placed AS (SELECT s.*, a.part FROM enriched s JOIN arrivals a ON s.transaction_id = a.transaction_id),
-tops AS (SELECT part, max(event_time) AS top FROM placed GROUP BY part),
+placed AS (SELECT s.*, a.part, a.batch FROM enriched s JOIN arrivals a ON s.transaction_id = a.transaction_id)"""
+
+
+def _marks(back: int) -> str:
+    """The watermark that a batch's rows are held against: of the rows up to ``back`` batches before."""
+    return f"""tops AS (SELECT batch, max(event_time) AS top FROM placed GROUP BY batch),
 marks AS (
-  SELECT p.part, (SELECT date_trunc('millisecond', max(top)) FROM tops t WHERE t.part < p.part) - INTERVAL '30 minutes' AS mark
-  FROM (SELECT DISTINCT part FROM placed) p
+  SELECT p.batch, (SELECT date_trunc('millisecond', max(top)) FROM tops t WHERE t.batch <= p.batch - {back}) - INTERVAL '30 minutes' AS mark
+  FROM (SELECT DISTINCT batch FROM placed) p
 ),
-kept AS (
-  SELECT p.* FROM placed p JOIN marks m ON p.part = m.part
-  WHERE m.mark IS NULL OR time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' > m.mark
-)
+marked AS (
+  SELECT p.*, COALESCE(time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' <= m.mark, false) AS late
+  FROM placed p JOIN marks m ON p.batch = m.batch
+)"""
+
+
+def _late_rows(late: int, back: int) -> str:
+    return f"""WITH {ENRICHED},
+{_arrivals(late)},
+{_marks(back)},
+kept AS (SELECT * FROM marked WHERE NOT late)
 SELECT * FROM ({_windows('5 minutes').replace('FROM enriched', 'FROM kept')}) w
 WHERE window_end <= (SELECT date_trunc('millisecond', max(event_time)) FROM enriched) - INTERVAL '30 minutes'"""
 
+
+# Within a run rows are held against the watermark of the batch before, which knows the rows up to two batches back.
+LATE_DROPS = f"""WITH {ENRICHED},
+{_arrivals(3)},
+{_marks(2)},
+gone AS (SELECT batch, count(DISTINCT time_bucket(INTERVAL '5 minutes', event_time)) AS n FROM marked WHERE late GROUP BY batch),
+came AS (SELECT batch, count(*) AS n FROM arrivals GROUP BY batch)
+SELECT came.batch, came.n AS input_rows, COALESCE(gone.n, 0) AS windows_dropped
+FROM came LEFT JOIN gone ON came.batch = gone.batch"""
+
+OPEN_WINDOWS = f"""WITH {ENRICHED}
+SELECT * FROM ({_windows('5 minutes')}) w
+WHERE window_end > (SELECT date_trunc('millisecond', max(event_time)) FROM enriched) - INTERVAL '30 minutes'"""
+
+_ENRICHED_COLS = (
+    "transaction_id, user_id, event_time, currency, country, merchant_category, channel, status, gross_amount, discount_rate, "
+    "net_amount, is_fraud, fraud_score, is_flagged"
+)
+
+COMMITTED = f"""WITH {ENRICHED},
+{_arrivals(0)}
+SELECT {_ENRICHED_COLS} FROM placed WHERE batch < (SELECT max(batch) FROM arrivals)"""
+
+# The second half of the parts meets the new rule table.
+RULE_JOIN = f"""WITH {ENRICHED},
+{_arrivals(0)},
+rated AS (
+  SELECT * REPLACE (CASE WHEN part < 4 THEN discount_rate
+    ELSE COALESCE(CASE merchant_category WHEN 'grocery' THEN 0.25::DOUBLE WHEN 'travel' THEN 0.05::DOUBLE
+         WHEN 'electronics' THEN 0.5::DOUBLE WHEN 'dining' THEN 0.125::DOUBLE WHEN 'fuel' THEN 0.0625::DOUBLE
+         WHEN 'pharmacy' THEN 0.02::DOUBLE WHEN 'luxury' THEN 0.04::DOUBLE END, 0.0::DOUBLE) END AS discount_rate)
+  FROM placed
+)
+SELECT {_ENRICHED_COLS.replace('net_amount', 'gross_amount * (1.0::DOUBLE - discount_rate) AS net_amount')} FROM rated"""
+
+BATCH_BOUND = f"""WITH files AS (SELECT greatest(20, CAST(ceil(count(*) / 250000) AS BIGINT)) AS n FROM events),
+placed AS (SELECT {_pmod('event_id', 20).replace('20', 'files.n')} AS file FROM events, files),
+batches AS (
+  SELECT b.bound, dense_rank() OVER (PARTITION BY b.bound ORDER BY place // b.files) - 1 AS batch
+  FROM (SELECT dense_rank() OVER (ORDER BY file) - 1 AS place FROM placed) p,
+       (VALUES ('files', 4), ('bytes', 2)) AS b(bound, files)
+)
+SELECT bound, batch, count(*) AS input_rows FROM batches GROUP BY bound, batch"""
+
 ORACLE: dict[str, str] = {
     "stream_dual_sink_source": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
     "stream_dual_sink_chained": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
-    "stream_late_rows": LATE_ROWS,
+    "stream_late_rows": _late_rows(1, 1),
+    "stream_late_rows_one_run": _late_rows(3, 2),
+    "stream_late_drops": LATE_DROPS,
+    "open_windows": OPEN_WINDOWS,
+    "stream_replay_after_crash": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
+    "stream_replay_after_crash_enriched": f"{WITH_ENRICHED}\nSELECT * FROM enriched",
+    "committed_output": COMMITTED,
+    "stream_rule_join": RULE_JOIN,
+    "stream_batch_bound": BATCH_BOUND,
+    "stream_observed_metrics": METRICS_RECORD,
     "run_metrics_no_full_copy": RUN_METRICS_BROKEN_LINES,
     "metrics_record": METRICS_RECORD,
     "kafka_payload_decode": f"{WITH_TX}\nSELECT {_TX_COLS} FROM transactions",

@@ -35,18 +35,22 @@ from ledgerline.params import DEFAULT_PARAMS, JobParams
 from ledgerline.schemas import ENRICHED, ISO_TIMESTAMP_FORMAT, LEGACY_TRANSACTION, TRANSACTION, WINDOWED
 from ledgerline.session import work_path
 from ledgerline.sources.events import base_amount, keyed_transactions, transactions_from_events, with_dimensions
+from ledgerline.sources.files import Store
 from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_input, read_ndjson, read_output, read_transactions
-from ledgerline.sources.sinks import append_metrics, land_ndjson, write_full_copy
+from ledgerline.sources.sinks import LANDING_TASK_ROWS, append_metrics, land_in_batches, land_ndjson, write_full_copy
 from ledgerline.streaming.jobs import (
     await_query,
+    read_batches,
     run_stream,
     start_enriched,
+    start_enriched_by_rules,
     start_legacy_job,
     start_windowed,
     stream_metrics,
     stream_record,
 )
+from ledgerline.streaming.state import open_windows
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -149,31 +153,185 @@ def q_stream_dual_sink_chained(spark, sf_dir):
     return wallclock(_dual_sink(spark, sf_dir, "dual-chained", "enriched").windows(spark))
 
 
-LATE_PARTS = 8
+PARTS = 8
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, path: str, late: int = 0) -> tuple[list[str], int]:
+    """The transactions landed at ``path`` as eighths of their time range, each a micro-batch of a file
+    stream; with ``late`` an eighth of them one part late and an eighth ``late`` parts. The parts'
+    folders, and the files of each."""
+    tx = keyed_transactions(events(spark, sf_dir))
+    seconds = F.unix_seconds("event_time")
+    lo, hi, rows = tx.agg(F.min(seconds), F.max(seconds), F.count(F.lit(1))).first()
+    part = F.expr(f"((unix_seconds(event_time) - {lo or 0}L) * {PARTS}L) div {(hi or 0) - (lo or 0) + 1}L")
+    if late:
+        remainder = F.pmod("event_id", F.lit(8))
+        part = part + F.when(remainder == 0, 1).when(remainder == 4, late).otherwise(0)
+    arrival = F.coalesce(F.least(part, F.lit(PARTS - 1)), F.lit(0))
+    files = max(1, rows // (PARTS * LANDING_TASK_ROWS))
+    return land_in_batches(tx.withColumn("arrival", arrival).drop("event_id"), path, "arrival", files), files
+
+
+def _arrive(spark: SparkSession, folders: list[str], path: str) -> None:
+    """Landed parts move into the folder that a stream reads."""
+    for folder in folders:
+        Store(spark, path).rename(folder, f"{path}/{folder.rpartition('/')[2]}")
 
 
 def q_stream_late_rows(spark, sf_dir):
-    """Disordered input in several micro-batches. The events arrive by eighths of
+    """Disordered input in several restarts. The events arrive by eighths of
     their time range, but a quarter of them one part late. A window that had
     closed by the end of the batches before takes no more rows."""
-    tx = keyed_transactions(events(spark, sf_dir))
     landing, out, ckpt = work_path(spark, "late"), work_path(spark, "late-out"), work_path(spark, "ckpt-late")
-    seconds = F.unix_seconds("event_time")
-    lo, hi = tx.agg(F.min(seconds), F.max(seconds)).first()
-    eighth = F.expr(f"((unix_seconds(event_time) - {lo or 0}L) * {LATE_PARTS}L) div {(hi or 0) - (lo or 0) + 1}L")
-    late = F.when(F.pmod("event_id", F.lit(4)) == 0, 1).otherwise(0)
-    arrival = F.coalesce(F.least(eighth + late, F.lit(LATE_PARTS - 1)), F.lit(0))
-    for n in range(LATE_PARTS):
-        tx.where(arrival == n).drop("event_id").coalesce(1).write.mode("append").parquet(landing)
+    folders, _ = _in_parts(spark, sf_dir, work_path(spark, "late-parts"), late=1)
+    for folder in folders:
+        _arrive(spark, [folder], landing)
         await_query(start_windowed(parquet_stream(spark, landing, TRANSACTION), out, ckpt))
     return wallclock(read_output(spark, out, WINDOWED))
 
 
+def _late_in_one_run(spark: SparkSession, sf_dir: str):
+    landing, out, ckpt = work_path(spark, "late1"), work_path(spark, "late1-out"), work_path(spark, "ckpt-late1")
+    _, files = _in_parts(spark, sf_dir, landing, late=3)
+    return out, await_query(start_windowed(parquet_stream(spark, landing, TRANSACTION, files), out, ckpt))
+
+
+def q_stream_late_rows_one_run(spark, sf_dir):
+    """Disordered input in the micro-batches of one run, an eighth of the events one part late, an eighth
+    three: what the watermark drops there it drops a batch late, as rows are held against the watermark
+    of the batch before."""
+    return wallclock(read_output(spark, _late_in_one_run(spark, sf_dir)[0], WINDOWED))
+
+
+def q_stream_late_drops(spark, sf_dir):
+    """The drop counter of that run by micro-batch: input rows, and windows that lost rows in the batch."""
+    rows = _late_in_one_run(spark, sf_dir)[1].batches()
+    return spark.createDataFrame(rows, "batch long, input_rows long, windows_dropped long")
+
+
+def q_open_windows(spark, sf_dir):
+    """The windows that a run over the whole table holds back, from the state in its checkpoint."""
+    out, ckpt = work_path(spark, "open"), work_path(spark, "ckpt-open")
+    await_query(start_windowed(transactions_from_events(events_stream(spark, sf_dir)), out, ckpt))
+    return wallclock(open_windows(spark, ckpt))
+
+
+def _forget_last(spark: SparkSession, log: str) -> None:
+    """Take the last entry out of a checkpoint's or a sink's log, as if the writer had died before it."""
+    store = Store(spark, log)
+    entries = [n for n in store.names(log) if n.isdigit()]
+    store.remove(f"{log}/{max(entries, key=int)}")
+
+
+def _replayed(spark: SparkSession, sf_dir: str, name: str, start, sink_too: bool) -> str:
+    """A query over the first half of the parts that dies in its last micro-batch, whose output is written
+    but not committed, and a restart that finds the other half too. ``sink_too``: the sink had not
+    committed the batch's files either."""
+    landing, out, ckpt = work_path(spark, f"{name}-in"), work_path(spark, f"{name}-out"), work_path(spark, f"ckpt-{name}")
+    folders, files = _in_parts(spark, sf_dir, work_path(spark, f"{name}-parts"))
+    run = lambda: await_query(start(parquet_stream(spark, landing, TRANSACTION, files), out, ckpt))
+    _arrive(spark, folders[: PARTS // 2], landing)
+    run()
+    _forget_last(spark, f"{ckpt}/commits")
+    if sink_too:
+        _forget_last(spark, f"{out}/_spark_metadata")
+    _arrive(spark, folders[PARTS // 2 :], landing)
+    run()
+    return out
+
+
+def q_stream_replay_after_crash(spark, sf_dir):
+    """Windows after a crash between a micro-batch's output and its commit: replayed, and none twice."""
+    return wallclock(read_output(spark, _replayed(spark, sf_dir, "replay", start_windowed, False), WINDOWED))
+
+
+def q_stream_replay_after_crash_enriched(spark, sf_dir):
+    """Enriched events after a crash between a micro-batch's files and the sink's own log: the files of
+    the attempt that died stay in the folder, and no row is read twice."""
+    return wallclock(read_output(spark, _replayed(spark, sf_dir, "replay-rows", start_enriched, True), ENRICHED))
+
+
+def q_committed_output(spark, sf_dir):
+    """What a reader sees of a sink folder that also holds the files of an aborted micro-batch and
+    stray part files: the rows that the sink's log commits to."""
+    landing, out, ckpt = work_path(spark, "commit-in"), work_path(spark, "commit-out"), work_path(spark, "ckpt-commit")
+    _, files = _in_parts(spark, sf_dir, landing)
+    await_query(start_enriched(parquet_stream(spark, landing, TRANSACTION, files), out, ckpt))
+    _forget_last(spark, f"{out}/_spark_metadata")
+    stray = work_path(spark, "commit-stray")
+    enriched(spark, sf_dir).where(F.col("is_flagged")).write.parquet(stray)
+    store = Store(spark, out)
+    for name in store.names(stray):
+        if name.startswith("part-"):
+            store.rename(f"{stray}/{name}", f"{out}/{name}")
+    return wallclock(read_output(spark, out, ENRICHED))
+
+
+#: Rates that replace those of the rule table while q_stream_rule_join runs: some raised, one gone, one new.
+NEW_RULES = {"grocery": 0.25, "travel": 0.05, "electronics": 0.5, "dining": 0.125, "fuel": 0.0625, "pharmacy": 0.02, "luxury": 0.04}
+
+
+def q_stream_rule_join(spark, sf_dir):
+    """One running query over the parts, whose rule table is replaced after the first half of them."""
+    landing, out, ckpt = work_path(spark, "rules-in"), work_path(spark, "rules-out"), work_path(spark, "ckpt-rules")
+    table = work_path(spark, "rules")
+    folders, files = _in_parts(spark, sf_dir, work_path(spark, "rules-parts"))
+    rules = lambda session: session.read.parquet(table)
+    query = None
+    try:
+        for some, rates in ((folders[: PARTS // 2], DEFAULT_PARAMS.discount_rules), (folders[PARTS // 2 :], NEW_RULES)):
+            write_full_copy(rules_frame(spark, rates), table)
+            _arrive(spark, some, landing)
+            if query is None:
+                source = parquet_stream(spark, landing, TRANSACTION, files)
+                query = start_enriched_by_rules(source, rules, out, ckpt, available_now=False)
+            query.processAllAvailable()
+    finally:
+        if query is not None:
+            query.stop()
+    return wallclock(read_batches(spark, out))
+
+
+BOUND_FILES = 20
+BOUND_FILE_ROWS = 250_000
+BOUND_LINE = 512
+
+
+def q_stream_batch_bound(spark, sf_dir):
+    """Rows of each micro-batch of one run bounded by files (four) and one bounded by bytes (two and a half
+    files' worth), over NDJSON files of lines of one length that hold equal shares of the events."""
+    rows = events(spark, sf_dir).count()
+    files = max(BOUND_FILES, -(-rows // BOUND_FILE_ROWS))
+    landing = work_path(spark, "bound")
+    tx = keyed_transactions(events(spark, sf_dir))
+    line = F.rpad(F.to_json(F.struct("transaction_id", "status", "amount")), BOUND_LINE - 1, " ")
+    land_in_batches(tx.select(line.alias("value"), F.pmod("event_id", F.lit(files)).alias("file")), landing, "file", fmt="text")
+    bounds = {
+        "files": {"max_files_per_trigger": 4},
+        "bytes": {"max_files_per_trigger": None, "max_bytes_per_trigger": 5 * BOUND_LINE * -(-rows // files) // 2},
+    }
+    out = []
+    for name, bound in bounds.items():
+        params = DEFAULT_PARAMS.with_(**bound)
+        log = await_query(start_enriched(read_transactions(spark, params, landing), work_path(spark, "bound-out"), work_path(spark, "ckpt-bound")))
+        out += [(name, batch, n) for batch, n, _ in log.batches()]
+    return spark.createDataFrame(out, "bound string, batch long, input_rows long")
+
+
+def q_stream_observed_metrics(spark, sf_dir):
+    """The metrics record of a run whose input counts were taken in the stream: nothing reads the input again."""
+    run = _dual_sink(spark, sf_dir, "observed", "source")
+    record = stream_record(spark, run, kind="table", observed=run.counts(spark))
+    return record.withColumn("status_counts", F.to_json("status_counts")).drop(
+        "pipeline_duration_seconds", "throughput_events_per_second"
+    )
+
+
 def q_run_metrics_no_full_copy(spark, sf_dir):
     """A run over NDJSON files, malformed lines among them, whose input counts come
     from the files themselves."""
     landing = work_path(spark, "landing-metrics")
-    land_ndjson(transactions(spark, sf_dir), landing, partitions=4)
+    land_ndjson(transactions(spark, sf_dir), landing)
     broken = spark.range(0, 7, 1, 2).select(F.concat(F.lit("not json "), F.col("id").cast("string")).alias("value"))
     broken.write.mode("append").text(landing)
     run = run_stream(
@@ -426,6 +584,15 @@ QUERIES: dict[str, Query] = {
     "stream_dual_sink_source": q_stream_dual_sink_source,
     "stream_dual_sink_chained": q_stream_dual_sink_chained,
     "stream_late_rows": q_stream_late_rows,
+    "stream_late_rows_one_run": q_stream_late_rows_one_run,
+    "stream_late_drops": q_stream_late_drops,
+    "open_windows": q_open_windows,
+    "stream_replay_after_crash": q_stream_replay_after_crash,
+    "stream_replay_after_crash_enriched": q_stream_replay_after_crash_enriched,
+    "committed_output": q_committed_output,
+    "stream_rule_join": q_stream_rule_join,
+    "stream_batch_bound": q_stream_batch_bound,
+    "stream_observed_metrics": q_stream_observed_metrics,
     "run_metrics_no_full_copy": q_run_metrics_no_full_copy,
     "metrics_record": q_metrics_record,
     "kafka_payload_decode": q_kafka_payload_decode,

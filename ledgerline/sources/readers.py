@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
-from ledgerline.params import DEFAULT_PARAMS, JobParams
+from ledgerline.params import DEFAULT_PARAMS, JobParams, byte_count
 from ledgerline.schemas import ISO_TIMESTAMP_FORMAT, TRANSACTION
 from ledgerline.sources.payload import decode_json_payload
 
@@ -28,20 +29,31 @@ def kafka_source_options(params: JobParams = DEFAULT_PARAMS) -> dict[str, str]:
     return opts
 
 
+def _bounded(reader: DataStreamReader, files: int | None, size: int | str | None) -> DataStreamReader:
+    """Bound a file stream's micro-batch: by bytes if a size is given, else by files (None: no bound).
+
+    By bytes a batch takes files while their sizes together stay within the bound, one
+    file at least; Spark takes one of the two bounds."""
+    if size:
+        return reader.option("maxBytesPerTrigger", byte_count(size))
+    return reader.option("maxFilesPerTrigger", int(files)) if files else reader
+
+
 def ndjson_stream(
     spark: SparkSession,
     path: str,
     schema: StructType = TRANSACTION,
     max_files_per_trigger: int | None = 4,
     timestamp_format: str | None = None,
+    max_bytes_per_trigger: int | str | None = None,
 ) -> DataFrame:
     """Streaming NDJSON directory with a fixed schema (never inferred).
 
-    Without ``timestamp_format`` Spark's ISO fallback parser reads the text, so
-    zone-less timestamps are read in the session zone (keep it UTC)."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    A micro-batch is bounded by files, or by bytes if ``max_bytes_per_trigger``
+    (a number, or text like "512m") is given. Without ``timestamp_format``
+    Spark's ISO fallback parser reads the text, so zone-less timestamps are read
+    in the session zone (keep it UTC)."""
+    reader = _bounded(spark.readStream.schema(schema), max_files_per_trigger, max_bytes_per_trigger)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     return reader.json(path)
@@ -54,12 +66,15 @@ def kafka_stream(spark: SparkSession, params: JobParams = DEFAULT_PARAMS, schema
     return decode_json_payload(raw, schema, options={})
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet table (directory or glob) as a stream."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(path)
+def parquet_stream(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | str | None = None,
+) -> DataFrame:
+    """A Parquet table (directory or glob) as a stream, a micro-batch bounded by bytes, by files or not at all."""
+    return _bounded(spark.readStream.schema(schema), max_files_per_trigger, max_bytes_per_trigger).parquet(path)
 
 
 def read_transactions(
@@ -79,10 +94,12 @@ def read_transactions(
     if kind == "table":
         if path is None:
             raise ValueError("table source needs a path")
-        return parquet_stream(spark, path, TRANSACTION, params.max_files_per_trigger)
+        return parquet_stream(spark, path, TRANSACTION, params.max_files_per_trigger, params.max_bytes_per_trigger)
     if path is None:
         raise ValueError("file source needs a path")
-    return ndjson_stream(spark, path, TRANSACTION, params.max_files_per_trigger, timestamp_format)
+    return ndjson_stream(
+        spark, path, TRANSACTION, params.max_files_per_trigger, timestamp_format, params.max_bytes_per_trigger
+    )
 
 
 def read_input(

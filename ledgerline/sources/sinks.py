@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.params import DEFAULT_PARAMS, JobParams
 from ledgerline.schemas import ISO_TIMESTAMP_FORMAT
+from ledgerline.session import work_path
+from ledgerline.sources.files import Store, hidden_sibling, recover_folder, swap_folder
 
 
 def start_parquet_sink(
@@ -62,8 +67,21 @@ def start_debug_sink(
 
 
 def write_full_copy(df: DataFrame, path: str) -> None:
-    """Overwrite a batch Parquet copy of the table (microsecond timestamps)."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the batch Parquet copy of the table at ``path`` (microsecond timestamps).
+
+    In two phases: the new copy is written beside the old one, then takes its
+    place by renames. A write that fails leaves the old copy as it was, and
+    ``df`` may read ``path`` itself. On an object store a rename copies.
+    """
+    spark = df.sparkSession
+    recover_folder(spark, path)
+    new = hidden_sibling(path, f"new-{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(new)
+        swap_folder(spark, new, path)
+    except BaseException:
+        Store(spark, new).remove(new)
+        raise
 
 
 LANDING_FILE_ROWS = 100_000
@@ -84,16 +102,55 @@ def land_ndjson(
     carry microseconds and an offset so a read-back is lossless in any zone.
     ``partitions`` is the number of tasks; by default the rows are counted and a
     task gets about LANDING_TASK_ROWS of them, so it does not grow with the data.
+
+    ``df`` is evaluated once, into a staged copy in the shared work folder that
+    also counts it; the bounds of the ranges and the rows come from that copy.
     """
-    n = partitions or max(1, -(-df.count() // LANDING_TASK_ROWS))
-    (
-        df.repartitionByRange(n, *order_by)
-        .sortWithinPartitions(*order_by)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", max(1, int(batch_size)))
-        .option("timestampFormat", ISO_TIMESTAMP_FORMAT)
-        .json(path)
-    )
+    spark, staged = df.sparkSession, work_path(df.sparkSession, "landing-staged")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    try:
+        n = partitions or max(1, -(-seen.get["rows"] // LANDING_TASK_ROWS))
+        (
+            spark.read.schema(df.schema).parquet(staged)
+            .repartitionByRange(n, *order_by)
+            .sortWithinPartitions(*order_by)
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", max(1, int(batch_size)))
+            .option("timestampFormat", ISO_TIMESTAMP_FORMAT)
+            .json(path)
+        )
+    finally:
+        Store(spark, staged).remove(staged)
+
+
+def land_in_batches(df: DataFrame, path: str, batch: str, files: int = 1, fmt: str = "parquet") -> list[str]:
+    """Write ``df`` in one pass so that a file stream takes it batch by batch, in the order of column ``batch``.
+
+    Each value of ``batch`` becomes ``files`` files (of rows dealt by hash) in a folder of its
+    own, and the files' modification times follow the order of the values, the order in which a
+    file stream takes them: with ``maxFilesPerTrigger`` = ``files`` a value is a micro-batch.
+    Returns the folders in that order. An error if a value has fewer rows than it takes
+    to fill every file, as batches would mix then. Needs a store whose files take times.
+    """
+    spark, rows = df.sparkSession, [c for c in df.columns if c != batch]
+    dealt = df.withColumn("_file", F.pmod(F.xxhash64(*rows), F.lit(files)))
+    dealt.repartition(batch, "_file").write.partitionBy(batch, "_file").format(fmt).save(path)
+    store = Store(spark, path)
+    folders = sorted((n for n in store.names(path) if n.startswith(f"{batch}=")), key=lambda n: int(n.partition("=")[2]))
+    found = [
+        f"{path}/{folder}/{part}/{name}"
+        for folder in folders
+        for part in store.names(f"{path}/{folder}")
+        for name in store.names(f"{path}/{folder}/{part}")
+        if not name.startswith(("_", "."))
+    ]
+    if len(found) != len(folders) * files:
+        raise ValueError(f"{len(folders)} batches have {len(found)} files, not {files} each")
+    now = int(time.time() * 1000) - 1000 * len(found)
+    for i, name in enumerate(found):
+        store.set_modified(name, now + 1000 * i)
+    return [f"{path}/{folder}" for folder in folders]
 
 
 def append_metrics(metrics: DataFrame, path: str, run_id: str) -> DataFrame:

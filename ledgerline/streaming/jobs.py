@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import time
 import warnings
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.functions.timecols import instant_to_wallclock
-from ledgerline.operators.enrich import enrich
+from ledgerline.operators.enrich import enrich, enrich_with_rules
 from ledgerline.operators.legacy import legacy
-from ledgerline.operators.summary import metrics_record, run_metrics
+from ledgerline.operators.summary import SourceCounts, metrics_record, run_metrics
 from ledgerline.operators.windows import windowed
 from ledgerline.params import DEFAULT_PARAMS, JobParams
 from ledgerline.schemas import ENRICHED, LEGACY_TRANSACTION, WINDOWED
@@ -32,6 +35,42 @@ POLL_SECONDS = 0.1
 HELD_BATCHES = 1000
 
 
+#: Name of the counts that a query observes of its source, and how many raw statuses they tell apart.
+SOURCE_COUNTS = "source_counts"
+STATUSES = 100
+
+
+def observed_source(source: DataFrame) -> DataFrame:
+    """A streaming ``source`` whose rows, rows without an id and raw statuses are counted as they pass
+    (A5, A4): no second read, and known for Kafka too. The counts are in the query's progress."""
+    return source.observe(
+        SOURCE_COUNTS,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("transaction_id").isNull()).alias("unparsed"),
+        F.count("status").alias("with_status"),
+        # exact while there are fewer values than it tracks; the sum is held against with_status
+        F.expr(f"approx_top_k(status, {STATUSES}, 10000)").alias("statuses"),
+    )
+
+
+def _counted(progress) -> SourceCounts | None:
+    told = (progress.get("observedMetrics") or {}).get(SOURCE_COUNTS)
+    if told is None:
+        return None
+    statuses = {x["item"]: int(x["count"]) for x in told["statuses"] or [] if x.get("item") is not None}
+    known = sum(statuses.values()) == told["with_status"]
+    return SourceCounts(int(told["rows"]), int(told["unparsed"]), statuses if known else None)
+
+
+def _sum_counts(some: Iterable[SourceCounts]) -> SourceCounts:
+    rows = unparsed = 0
+    statuses: Counter | None = Counter()
+    for c in some:
+        rows, unparsed = rows + c.rows, unparsed + c.unparsed
+        statuses = None if statuses is None or c.statuses is None else statuses + Counter(c.statuses)
+    return SourceCounts(rows, unparsed, None if statuses is None else dict(statuses))
+
+
 @dataclass
 class ProgressLog:
     """Counts of a query over its micro-batches.
@@ -44,12 +83,13 @@ class ProgressLog:
     """
 
     query: StreamingQuery
-    latest: dict[int, tuple[int, int]] = field(default_factory=dict)
+    latest: dict[int, tuple[int, int, SourceCounts | None]] = field(default_factory=dict)
     first_id: int | None = None
     seen: int = 0
     with_data: int = 0
     rows: int = 0
     dropped: int = 0
+    counts: SourceCounts | None = None
 
     def update(self) -> None:
         for p in self.query.recentProgress or []:
@@ -59,30 +99,52 @@ class ProgressLog:
             rows = int(p.get("numInputRows") or 0)
             dropped = sum(int(op.get("numRowsDroppedByWatermark") or 0) for op in p.get("stateOperators") or [])
             # an idle report carries the number of the batch that will come next
-            before = self.latest.get(batch, (0, 0))
-            self.latest[batch] = (max(rows, before[0]), max(dropped, before[1]))
+            before = self.latest.get(batch, (0, 0, None))
+            counts = _counted(p)
+            if counts is None or (before[2] and before[2].rows > counts.rows):
+                counts = before[2]
+            self.latest[batch] = (max(rows, before[0]), max(dropped, before[1]), counts)
             self.first_id = batch if self.first_id is None else min(self.first_id, batch)
         for batch in sorted(self.latest)[:-HELD_BATCHES]:
             self._add(*self.latest.pop(batch))
 
-    def _add(self, rows: int, dropped: int) -> None:
+    def _add(self, rows: int, dropped: int, counts: SourceCounts | None) -> None:
         self.seen += 1
         self.with_data += rows > 0
         self.rows += rows
         self.dropped += dropped
+        if counts:
+            self.counts = _sum_counts([c for c in (self.counts, counts) if c])
+
+    def _missed(self) -> bool:
+        last = max(self.latest, default=None)
+        return last is not None and self.seen + len(self.latest) < last - self.first_id + 1
+
+    def batches(self) -> list[tuple[int, int, int]]:
+        """(batch id, input rows, rows dropped by the watermark) of the batches with data that are held one by one."""
+        self.update()
+        return [(b, rows, dropped) for b, (rows, dropped, _) in sorted(self.latest.items()) if rows]
+
+    def source_counts(self) -> SourceCounts | None:
+        """The source's counts over this query's batches (see :func:`observed_source`); None if any is unknown."""
+        self.update()
+        held = list(self.latest.values())
+        if self._missed() or any(rows and not counts for rows, _, counts in held):
+            return None
+        return _sum_counts([c for c in (self.counts, *(counts for *_, counts in held)) if c])
 
     def stats(self) -> dict:
         """Batches with data, input rows, rows dropped by the watermark (partially aggregated rows) and the last batch id."""
         self.update()
         last = max(self.latest, default=None)
-        if last is not None and self.seen + len(self.latest) < last - self.first_id + 1:
+        if self._missed():
             warnings.warn("progress of some micro-batches was missed; their counts are unknown", stacklevel=2)
             return dict.fromkeys(("batches_with_data", "input_rows", "rows_dropped_by_watermark")) | {"last_batch_id": last}
         held = self.latest.values()
         return {
-            "batches_with_data": self.with_data + sum(rows > 0 for rows, _ in held),
-            "input_rows": self.rows + sum(rows for rows, _ in held),
-            "rows_dropped_by_watermark": self.dropped + sum(dropped for _, dropped in held),
+            "batches_with_data": self.with_data + sum(rows > 0 for rows, *_ in held),
+            "input_rows": self.rows + sum(rows for rows, *_ in held),
+            "rows_dropped_by_watermark": self.dropped + sum(dropped for _, dropped, _ in held),
             "last_batch_id": last,
         }
 
@@ -125,6 +187,21 @@ def await_query(query: StreamingQuery) -> ProgressLog:
     return log
 
 
+COUNTS_ROW = (
+    "first_batch long, last_batch long, known boolean, rows long, unparsed long, statuses array<struct<status:string,count:bigint>>"
+)
+
+
+def read_counts(spark: SparkSession, path: str) -> list:
+    """The saved counts in the order of their batches: a row for each run that had input."""
+    try:
+        return spark.read.schema(COUNTS_ROW).json(path).orderBy("first_batch", "last_batch").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 @dataclass
 class StreamRun:
     enriched_path: str
@@ -132,6 +209,7 @@ class StreamRun:
     duration_seconds: float
     logs: dict[str, ProgressLog] = field(default_factory=dict)
     started: float = 0.0
+    counts_path: str | None = None
 
     @property
     def queries(self) -> dict[str, StreamingQuery]:
@@ -144,6 +222,33 @@ class StreamRun:
     def stats(self) -> dict:
         return {name: log.stats() for name, log in self.logs.items()}
 
+    def save_counts(self, spark: SparkSession) -> None:
+        """Keep what this run's batches counted of the source, beside the checkpoints, for runs that resume from them."""
+        log = self.logs["enriched"]
+        counts = log.source_counts()
+        told = [b for b, (rows, *_) in log.latest.items() if rows]
+        if not told:
+            return
+        row = {
+            "first_batch": log.first_id if log.with_data else min(told), "last_batch": max(told), "known": counts is not None,
+            "rows": counts and counts.rows, "unparsed": counts and counts.unparsed,
+            "statuses": None if counts is None or counts.statuses is None else [{"status": s, "count": n} for s, n in counts.statuses.items()],
+        }
+        spark.createDataFrame([row], COUNTS_ROW).coalesce(1).write.mode("append").json(self.counts_path)
+
+    def counts(self, spark: SparkSession) -> SourceCounts | None:
+        """Counts of the source over all runs on these checkpoints. None, with a warning, if some
+        batches of theirs were not counted or were counted twice (a run that was cut off)."""
+        rows = read_counts(spark, self.counts_path)
+        last = -1
+        for r in rows:
+            if not r.known or r.first_batch != last + 1:
+                warnings.warn("some micro-batches of the source were not counted; its counts are unknown", stacklevel=2)
+                return None
+            last = r.last_batch
+        found = [SourceCounts(r.rows, r.unparsed, r.statuses if r.statuses is None else {x.status: x["count"] for x in r.statuses}) for r in rows]
+        return _sum_counts(found)
+
     def enriched(self, spark: SparkSession) -> DataFrame:
         return read_output(spark, self.enriched_path, ENRICHED)
 
@@ -160,6 +265,38 @@ def start_enriched(source: DataFrame, path: str, checkpoint: str, params: JobPar
     return start_parquet_sink(out, path, checkpoint, available_now)
 
 
+def start_enriched_by_rules(
+    source: DataFrame,
+    rules: Callable[[SparkSession], DataFrame],
+    path: str,
+    checkpoint: str,
+    params: JobParams = DEFAULT_PARAMS,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """J1 in a stream: enriched events with the rates of a rule table that may be replaced while the query runs.
+
+    A file or table relation in a streaming plan keeps the files it had when the
+    query started, so ``rules`` is asked for the table anew in every micro-batch:
+    a batch takes the table as it is when the batch is planned. Rows go to
+    ``path``/batch=N. A batch that is replayed after a crash writes its own folder
+    anew, so no row is there twice; :func:`read_batches` reads the folders. A rule
+    table that vanishes under a running batch fails it, and the replay takes the
+    new one.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        out = enrich_with_rules(rows, rules(rows.sparkSession), params)
+        out.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType = ENRICHED) -> DataFrame:
+    """The rows that a per-batch sink has written, without the batch numbers."""
+    return read_output(spark, path, StructType([*schema.fields, StructField("batch", LongType())])).drop("batch")
+
+
 def start_windows_query(windows: DataFrame, path: str, checkpoint: str, params: JobParams, available_now: bool = True) -> StreamingQuery:
     """Start a stateful window query. With ``params.state_partitions`` its state
     has that many partitions, else the session's shuffle partitions. ``windows``
@@ -215,9 +352,11 @@ def start_stream(
     Restarting with the same roots resumes from the checkpoints (W9)."""
     if windowed_from not in ("source", "enriched"):
         raise ValueError(f"windowed_from must be 'source' or 'enriched', not {windowed_from!r}")
-    run = StreamRun(f"{out_root}/enriched", f"{out_root}/windowed", 0.0, started=time.perf_counter())
+    run = StreamRun(
+        f"{out_root}/enriched", f"{out_root}/windowed", 0.0, started=time.perf_counter(), counts_path=f"{checkpoint_root}/source_counts"
+    )
     try:
-        first = start_enriched(source(spark), run.enriched_path, f"{checkpoint_root}/enriched", params, available_now)
+        first = start_enriched(observed_source(source(spark)), run.enriched_path, f"{checkpoint_root}/enriched", params, available_now)
         run.logs["enriched"] = ProgressLog(first)
         chained = windowed_from == "enriched"
         if available_now and (chained or not concurrent):
@@ -262,18 +401,26 @@ def run_stream(
     run = start_stream(spark, source, out_root, checkpoint_root, params, concurrent, available_now, windowed_from)
     await_all(run.logs.values(), any_stop=not available_now)
     run.duration_seconds = time.perf_counter() - run.started
+    run.save_counts(spark)
     return run
 
 
-def stream_metrics(spark: SparkSession, run: StreamRun, source: DataFrame | None, with_duration: bool = False) -> DataFrame:
-    """C4 over the committed sink outputs and a batch frame of the input (None
-    if it can't be counted: its counts are null then).
+def stream_metrics(
+    spark: SparkSession,
+    run: StreamRun,
+    source: DataFrame | None,
+    with_duration: bool = False,
+    observed: SourceCounts | None = None,
+) -> DataFrame:
+    """C4 over the committed sink outputs and a batch frame of the input, or what
+    was ``observed`` of it in the stream (:meth:`StreamRun.counts`), which reads no
+    input again. With neither the input's counts are null.
 
     With ``with_duration`` the row also carries the wall time, throughput and
     the streaming progress counts (data micro-batches per query, rows dropped
     by the watermark)."""
     seconds = run.duration_seconds if with_duration else None
-    out = run_metrics(source, run.enriched(spark), run.windows(spark), seconds)
+    out = run_metrics(source, run.enriched(spark), run.windows(spark), seconds, observed)
     if not with_duration:
         return out
     stats = run.stats()
@@ -286,10 +433,16 @@ def stream_metrics(spark: SparkSession, run: StreamRun, source: DataFrame | None
 
 
 def stream_record(
-    spark: SparkSession, run: StreamRun, source: DataFrame | None, params: JobParams = DEFAULT_PARAMS, kind: str | None = None
+    spark: SparkSession,
+    run: StreamRun,
+    source: DataFrame | None = None,
+    params: JobParams = DEFAULT_PARAMS,
+    kind: str | None = None,
+    observed: SourceCounts | None = None,
 ) -> DataFrame:
     """The metrics row with settings and status counts, as a run writes it (K7)."""
-    return metrics_record(stream_metrics(spark, run, source, with_duration=True), source, params, kind)
+    metrics = stream_metrics(spark, run, source, with_duration=True, observed=observed)
+    return metrics_record(metrics, source, params, kind, observed)
 
 
 def legacy_stream(raw: DataFrame, params: JobParams = DEFAULT_PARAMS) -> tuple[DataFrame, DataFrame, DataFrame]:
