@@ -6,24 +6,20 @@ for a space and the mark in front of a text), the unigram scores or, for a BPE
 model, the merges that its piece scores order, and byte fallback for what the
 vocabulary lacks.
 
-Texts are encoded in batches. If no piece of the model goes on from a word into
-the next metaspace, words can't influence each other; a batch then sends each
-distinct word to the library once, in one multithreaded call, and the texts' ids
-are put together from the words'. Otherwise whole texts are sent. Both give the
-same ids; the sentencepiece library is the judge of that: every word that is
-learnt is compared with it, and every whole text.
+Whole texts are encoded in batches, each batch in one multithreaded call of the
+library. The pieces' bytes put together are held against the normalised text
+(round trip), and the sentencepiece library is the judge of the ids: it encodes
+every whole text too, and its ids must be the same (parity).
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +33,6 @@ METASPACE = "▁"
 #: Fixed values of the model format: model kinds and piece kinds.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-_WORD = re.compile(f"{METASPACE}+[^{METASPACE}]*|[^{METASPACE}]+")
-_KNOWN_WORDS = 1 << 19
-_LEARNT_AT_ONCE = 1 << 14
-#: So many new words are judged as one text.
-_JUDGED_WORDS = 256
 _TEXT_CHARS = 1 << 22
 #: Encoding threads of a task.
 THREADS = 2
@@ -172,7 +163,7 @@ class Codec:
     """Encodes and decodes batches of texts with a model.
 
     With a ``judge`` (the sentencepiece library's processor of the same model)
-    every word's ids are compared with the judge's when the word is first met.
+    every whole text's ids are compared with the judge's.
     """
 
     def __init__(self, data: bytes, judge: sentencepiece.SentencePieceProcessor | None = None) -> None:
@@ -180,125 +171,35 @@ class Codec:
         self.judge = judge
         self.whole = build(self.model)
         self.normalise = self.whole.normalizer.normalize_str
-        self.words = build(self.model)  # for normalised words, so without normaliser and prefix
-        self.words.normalizer = normalizers.Sequence([])
-        steps = [decoders.Replace(METASPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
-        self.words.decoder = decoders.Sequence(steps)
-        normal = [p if k in (NORMAL, UNUSED) else None for p, _, k in self.model.pieces]
+        # the bytes that a piece stands for; control and unknown pieces stand for none
         self.bytes_of = [
-            bytes([int(p[3:5], 16)]) if k == BYTE else None if n is None else n.encode()
-            for n, (p, _, k) in zip(normal, self.model.pieces)
+            bytes([int(p[3:5], 16)]) if k == BYTE else p.encode() if k in (NORMAL, UNUSED) else None for p, _, k in self.model.pieces
         ]
-        self.mark = [i for i, p in enumerate(normal) if p == METASPACE]
-        self.apart = not any(p and METASPACE in p.lstrip(METASPACE) for p in normal)
         plain = not self.model.charsmap and not self.model.remove_extra
         self.simple = plain and self.model.dummy_prefix  # the normaliser is a prefix and a replacement
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.count = np.zeros(0, np.int64)
-        self.start = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
-        self.flags = np.zeros((0, 2), bool)  # of a word: decodes to itself, has the judge's ids
-
-    def _decoded(self, words: list[str], ids: list[int], ends: np.ndarray) -> np.ndarray:
-        """Whether each word's ids, laid end to end, decode to the word: their bytes put together are its bytes."""
-        parts = list(map(self.bytes_of.__getitem__, ids))
-        raw = "".join(words).encode()
-        sizes = np.fromiter(map(len, map(str.encode, words)), np.int64, len(words))
-        if None not in parts and b"".join(parts) == raw:
-            made = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-            if np.array_equal(made[ends - 1], np.cumsum(sizes)):
-                return np.ones(len(words), bool)
-        starts = np.concatenate([[0], ends[:-1]])
-        one = [parts[a:b] for a, b in zip(starts, ends)]
-        return np.array([None not in some and b"".join(some) == w.encode() for some, w in zip(one, words)], bool)
-
-    def _judged(self, words: list[str], ids: list[int], ends: np.ndarray) -> np.ndarray:
-        """Whether the judge gives these ids, laid end to end, to each word. Words are put to it
-        as one text, and one by one where it differs."""
-        out = np.ones(len(words), bool)
-        if not (self.judge and self.simple):
-            return out
-        starts = np.concatenate([[0], ends])
-        for first in range(0, len(words), _JUDGED_WORDS):
-            last = min(first + _JUDGED_WORDS, len(words))
-            # the judge puts the mark in front of a text there itself, but to no empty text
-            shown = "".join(words[first:last]).replace(METASPACE, " ")[1:]
-            if self.judge.encode(shown) != ids[starts[first] : starts[last]]:
-                for w in range(first, last):
-                    told = self.judge.encode(words[w].replace(METASPACE, " ")[1:]) or self.mark
-                    out[w] = told == ids[starts[w] : starts[w + 1]]
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.words.encode_batch_fast(new, add_special_tokens=False)]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        ends = np.cumsum(count)
-        flat = list(chain.from_iterable(ids))
-        flags = np.stack([self._decoded(new, flat, ends), self._judged(new, flat, ends)], 1)
-        base = len(self.known)
-        self.start = np.concatenate([self.start, len(self.pool) + ends - count])
-        self.count = np.concatenate([self.count, count])
-        self.pool = np.concatenate([self.pool, np.array(flat, np.int32)])
-        self.flags = np.concatenate([self.flags, flags])
-        self.known.update(zip(new, range(base, base + len(new))))
 
     def normal(self, text: str) -> str:
         if not self.simple:
             return self.normalise(text)
         return METASPACE + text.replace(" ", METASPACE) if text else ""
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """The words' places in the tables; words not met before are learnt."""
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        if not missing:
-            return at
-        new = list({words[i] for i in missing})
-        if self.known and len(self.known) + len(new) > _KNOWN_WORDS:
-            self._forget()
-            return self._numbers(words)
-        for first in range(0, len(new), _LEARNT_AT_ONCE):
-            self._learn(new[first : first + _LEARNT_AT_ONCE])
-        at[missing] = [self.known[words[i]] for i in missing]
-        return at
-
-    def _by_word(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bool, bool]]:
-        cut = [_WORD.findall(self.normal(t)) for t in texts]
-        ends = np.cumsum([len(words) for words in cut])
-        at = self._numbers(list(chain.from_iterable(cut)))
-        n = self.count[at]
-        before = np.concatenate([[0], np.cumsum(n)])  # ids before each word
-        place = np.repeat(self.start[at] - before[:-1], n) + np.arange(before[-1])
-        wrong = np.concatenate([[[0, 0]], np.cumsum(~self.flags[at], axis=0)])
-        ids = np.split(self.pool[place], before[ends[:-1]])
-        fine = np.diff(wrong[np.concatenate([[0], ends])], axis=0) == 0
-        return [(i, bool(a), bool(b)) for i, (a, b) in zip(ids, fine)]
+    def _stands_for(self, text: str, ids: list[int]) -> bool:
+        """Whether the ids decode to the text's normalised form: their bytes put together are its bytes."""
+        parts = list(map(self.bytes_of.__getitem__, ids))
+        return None not in parts and b"".join(parts) == self.normal(text).encode()
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        return [ids for ids, _, _ in self.encode_checked(texts)]
+        return [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
 
     def encode_checked(self, texts: Sequence[str]) -> list[tuple[np.ndarray, bool, bool]]:
         """The ids of each text, whether decoding them gives its normalised form back,
         and whether the judge, if any, has the same ids."""
         if not texts:
             return []
-        if self.apart:
-            found = self._by_word(texts)
-        else:
-            ids = [np.array(e.ids, np.int32) for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
-            shown = (self.normal(t).replace(METASPACE, " ") for t in texts)
-            cut = 1 if self.model.dummy_prefix else 0
-            found = [(i, b == s[cut:], True) for i, b, s in zip(ids, self.decode(ids), shown)]
-        if not self.judge:
-            return found
-        # every whole text, as words might not be all
-        return [
-            (ids, same, parity and self.judge.encode(text) == ids.tolist()) for text, (ids, same, parity) in zip(texts, found)
-        ]
+        found = [e.ids for e in self.whole.encode_batch_fast(list(texts), add_special_tokens=False)]
+        told = found if self.judge is None else self.judge.encode(list(texts), num_threads=1)
+        return [(np.array(ids, np.int32), self._stands_for(t, ids), ids == other) for t, ids, other in zip(texts, found, told)]
 
     def decode(self, ids: Sequence[Sequence[int]]) -> list[str]:
         return self.whole.decode_batch([list(map(int, x)) for x in ids], skip_special_tokens=False)
@@ -306,7 +207,7 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def _codec(data: bytes, judged: bool) -> Codec:
-    """The codec of a Python worker: its words outlive a task."""
+    """The codec of a Python worker, kept from task to task."""
     # a task's share of the cores; the library's pool would take all of the machine's for each worker
     os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     return Codec(data, sentencepiece.SentencePieceProcessor(model_proto=data) if judged else None)
@@ -370,8 +271,7 @@ def encode_digest(docs: DataFrame, model: bytes, judge: bool = True) -> DataFram
     """(doc_id, n_tokens, ids_crc32, round_trip, parity) for each row of ``docs``.
 
     Encodes like :func:`encode` without keeping the ids. ``parity`` tells whether
-    the sentencepiece library gives the same ids to every word of the text and to
-    the whole text (null unless ``judge``). A null text has nulls.
+    the sentencepiece library gives the same ids to the whole text (null unless ``judge``). A null text has nulls.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

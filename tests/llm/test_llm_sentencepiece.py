@@ -71,14 +71,6 @@ def test_bpe_parity_on_table_texts(bpe, spark):
     same(bpe, [r.text for r in some])
 
 
-def test_whole_texts_give_the_same_ids_as_words(bpe):
-    by_word, whole = codec.Codec(bpe), codec.Codec(bpe)
-    assert by_word.apart and by_word.simple
-    whole.apart = False
-    for a, b in zip(by_word.encode(TEXTS), whole.encode(TEXTS)):
-        assert a.tolist() == b.tolist()
-
-
 @pytest.mark.parametrize("byte_fallback", [True, False])
 @pytest.mark.parametrize("remove_extra", [True, False])
 def test_unigram_parity(byte_fallback, remove_extra):
@@ -90,15 +82,6 @@ def test_unigram_parity(byte_fallback, remove_extra):
         assert ids.tolist() == other.encode(text), text
 
 
-def test_forgetting_words_changes_nothing(bpe, monkeypatch):
-    texts = [f"word{i} other{i * 7} third{i % 5}" for i in range(300)]
-    want = [x.tolist() for x in codec.Codec(bpe).encode(texts)]
-    monkeypatch.setattr(codec, "_KNOWN_WORDS", 50)
-    small = codec.Codec(bpe)
-    got = [x.tolist() for at in range(0, 300, 10) for x in small.encode(texts[at : at + 10])]
-    assert got == want
-
-
 def test_frames(spark, docs_of, odd_rows, with_clashes, bpe):
     docs = with_clashes(docs_of(odd_rows))
     encoded = codec.encode(docs, bpe)
@@ -121,30 +104,44 @@ def test_query_has_parity_on_the_whole_table(spark):
     assert out.agg(F.sum("n_tokens")).first()[0] > 300_000
 
 
-def test_a_wrong_word_is_told(bpe):
+def test_wrong_ids_are_told(bpe):
     """The judge sees what differs: here a codec whose merges are in the wrong order."""
     other = sentencepiece.SentencePieceProcessor(model_proto=bpe)
     odd = codec.Codec(bpe, other)
     model = odd.model
     vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
     merges = codec._merges(model)[::-1]
-    odd.words.model = codec.models.BPE(vocab, merges, unk_token="<unk>", fuse_unk=True, byte_fallback=True)
+    odd.whole.model = codec.models.BPE(vocab, merges, unk_token="<unk>", fuse_unk=True, byte_fallback=True)
     texts = ["a", "international considerations", ""]
     assert [x[2] for x in odd.encode_checked(texts)] == [True, False, True]
 
 
+def test_a_batch_is_encoded_text_by_text(bpe):
+    """Texts of a batch don't touch each other, nor does the batch's size matter."""
+    ours = codec.Codec(bpe)
+    together = [x.tolist() for x in ours.encode(TEXTS * 3)]
+    assert together == [ours.encode([t])[0].tolist() for t in TEXTS] * 3
+
+
+def test_round_trip_is_of_the_whole_text(bpe):
+    ours = codec.Codec(bpe)
+    ids = ours.encode(["some words"])[0].tolist()
+    assert ours._stands_for("some words", ids) and not ours._stands_for("some word", ids)
+    assert not ours._stands_for("some words", ids[:-1]) and not ours._stands_for("some words", [*ids, 0])
+
+
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         codec.read_model(field(2, field(3, 4)))
 
 
 def test_every_text_is_judged_as_a_whole(bpe):
-    """The judge has the same words, but puts an id behind each whole text."""
+    """A judge that puts an id behind every text."""
     other = sentencepiece.SentencePieceProcessor(model_proto=bpe)
     texts = [f"text number {i} of many" for i in range(40)]
 
     class Judge:
-        def encode(self, text):
-            return other.encode(text) + [0] * (text in texts)
+        def encode(self, some, **options):
+            return [other.encode(text) + [0] * (text in texts) for text in some]
 
     assert not any(parity for _, _, parity in codec.Codec(bpe, Judge()).encode_checked(texts))
