@@ -8,26 +8,36 @@ on), each round one distributed sort of the distinct pairs. Suffixes of equal
 rank at depth k are an interval of the suffix array with a longest common
 prefix of k lines or more.
 
-A run is a repeat if it has ``min_words`` words or more and also occurs earlier
-(by doc_id, then place). All lines of such runs go. With the default of one word
-that is every repeated run, a single short line among them. Every line of a repeated
-run lies in a window of the run that has min_words words and can't lose both
-its first and its last line for it; such a window has min_words lines at most.
-So the sort stops at that depth: the interval of a window of n lines is found
-by the ranks of its first and its last 2**j lines (2**j <= n < 2**(j+1)), and the
-union of the windows that have an earlier copy is the union of the maximal
-repeated runs, whatever their length.
+A run is a repeat if it also occurs earlier (by doc_id, then place) and either has
+``min_words`` words or more, or holds a letter and stands in ``common_docs``
+documents or more. All lines of such runs go; shorter runs that few documents
+share (a brace, ``return 1;`` of two programs) stay. The union of the maximal
+repeats that go is the union of the smallest windows that already decide:
+
+* for the words, a window that has them and can't lose both its first and its last
+  line for it; it has min_words lines at most;
+* for the documents, a line with a letter alone, or with the lines without letters
+  between it and the line in question, before or behind. A longer window stands in
+  no more documents.
+
+The sort goes on to the full suffix array, as windows of the second kind may have
+any length. The interval of a window of n lines is named by the ranks of its first
+and its last 2**j lines (2**j <= n < 2**(j+1)); beyond the depth at which the array
+was settled, equal ranks mean equal suffixes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import LAST_ID, columns, dense_ranks, fresh, materialise
 
-#: The floor of the registered query, as its SQL has it.
+#: A repeat has so many words, or so many documents hold it.
 MIN_WORDS = 10
+COMMON_DOCS = 20
 WORD = r"[^\x20\x09-\x0D]+"
 _DOC = ["id", "th"]
 
@@ -44,14 +54,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def line_sequence(docs: DataFrame) -> DataFrame:
-    """(id, th, pos, line, lid, words): the non-blank lines. pos counts them from 0, line is the place among all lines."""
+    """(id, th, pos, line, lid, words, letter): the non-blank lines. pos counts them from 0, line is the place
+    among all lines, letter tells whether the line holds one."""
     numbered = F.transform(_split(F.col("text")), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
     solid = F.filter(numbered, lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
     return (
         _keyed(docs.select("doc_id", "text").where("text is not null"))
         .select(*_DOC, F.posexplode(solid).alias("pos", "s"))
         .select(
-            *_DOC, "pos", "s.line", F.xxhash64("s.x").alias("lid"), F.regexp_count("s.x", F.lit(WORD)).alias("words")
+            *_DOC,
+            "pos",
+            "s.line",
+            F.xxhash64("s.x").alias("lid"),
+            F.regexp_count("s.x", F.lit(WORD)).alias("words"),
+            F.col("s.x").rlike(r"\p{L}").alias("letter"),
         )
     )
 
@@ -89,6 +105,7 @@ def _windows(ranked: DataFrame, depths: list[int], min_words: int) -> DataFrame:
     in_doc = Window.partitionBy(*_DOC).orderBy("pos")
     ahead = in_doc.rowsBetween(0, min_words - 1)
     cum = F.sum("words").over(in_doc.rowsBetween(Window.unboundedPreceding, 0))
+    depths = [k for k in depths if k <= min_words]
     ranks = [f"r{k}" for k in depths]
     row = ranked.withColumn("cum", cum).withColumn(
         "rows", F.collect_list(F.struct("pos", "line", "words", "cum", *ranks)).over(ahead)
@@ -113,11 +130,51 @@ def _windows(ranked: DataFrame, depths: list[int], min_words: int) -> DataFrame:
     return cut.select(*_DOC, "pos", "n", first.alias("first"), last.alias("last"), lines.alias("lines"))
 
 
-def deletions(docs: DataFrame, min_words: int = 1) -> DataFrame:
-    """(id, th, gone): for each document that loses lines, their (pos, line) in order."""
-    if min_words < 1:
-        raise ValueError("min_words must be 1 or more")
-    ranked, depths = suffix_ranks(materialise(line_sequence(docs)), min_words)
+def _chosen(n: Column, depths: list[int], value: Callable[[int], Column]) -> Column:
+    """``value`` of the greatest depth that is at most ``n``."""
+    out = F.lit(None).cast("long")
+    for k in depths:
+        out = F.when(n >= k, value(k)).otherwise(out)
+    return out
+
+
+def _letter_windows(ranked: DataFrame, depths: list[int]) -> DataFrame:
+    """(id, th, start, pos, line, n, first, last): for each line the windows that reach from it to the nearest
+    line with a letter, before and behind, named as in :func:`_windows`; pos and line are the line in question."""
+    in_doc = Window.partitionBy(*_DOC).orderBy("pos")
+    # lines that occur once part the stretches
+    cut = ranked.withColumn("stretch", F.col("pos") - F.row_number().over(in_doc))
+    along = Window.partitionBy(*_DOC, "stretch").orderBy("pos")
+    before = along.rowsBetween(Window.unboundedPreceding, 0)
+    behind = along.rowsBetween(0, Window.unboundedFollowing)
+    heads = F.struct("pos", *[f"r{k}" for k in depths])
+    tails = F.struct("pos", *[F.lag(f"r{k}", k - 1).over(along).alias(f"r{k}") for k in depths])  # of the last k lines
+    row = cut.withColumns({"head": heads, "tail": tails})
+    row = row.withColumns(
+        {
+            "opened": F.last(F.when(F.col("letter"), F.col("head")), ignorenulls=True).over(before),
+            "closed": F.first(F.when(F.col("letter"), F.col("tail")), ignorenulls=True).over(behind),
+        }
+    )
+
+    def window(start: Column, end: Column) -> Column:
+        n = end["pos"] - start["pos"] + 1
+        named = (_chosen(n, depths, lambda k: side[f"r{k}"]) for side in (start, end))
+        return F.struct(start["pos"].alias("start"), n.alias("n"), *[c.alias(x) for c, x in zip(named, ("first", "last"))])
+
+    opened = F.when(F.col("opened").isNotNull(), window(F.col("opened"), F.col("tail")))
+    closed = F.when(F.col("closed").isNotNull() & ~F.col("letter"), window(F.col("head"), F.col("closed")))
+    return row.select(*_DOC, "pos", "line", F.explode(F.array_compact(F.array(opened, closed))).alias("w")).select(
+        *_DOC, "w.start", "pos", "line", "w.n", "w.first", "w.last"
+    )
+
+
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS, common_docs: int | None = COMMON_DOCS) -> DataFrame:
+    """(id, th, gone): for each document that loses lines, their (pos, line) in order. Without
+    ``common_docs`` only the number of words makes a repeat."""
+    if min_words < 1 or (common_docs is not None and common_docs < 1):
+        raise ValueError("min_words and common_docs must be 1 or more")
+    ranked, depths = suffix_ranks(materialise(line_sequence(docs)), None)
     windows = materialise(_windows(ranked, depths, min_words))
     key = ["n", "first", "last"]
     origin = F.min(F.struct(*_DOC, "pos")).alias("origin")
@@ -125,13 +182,24 @@ def deletions(docs: DataFrame, min_words: int = 1) -> DataFrame:
         windows.groupBy(*key).agg(origin, F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
     )
     later = windows.join(classes, key).where(F.struct(*_DOC, "pos") != F.col("origin"))
-    gone = later.select(*_DOC, F.explode("lines").alias("l")).distinct()
-    return gone.groupBy(*_DOC).agg(F.sort_array(F.collect_list("l")).alias("gone"))
+    gone = later.select(*_DOC, F.explode("lines").alias("l"))
+    if common_docs is not None:
+        near = materialise(_letter_windows(ranked, depths))
+        of_doc = near.groupBy(*key, *_DOC).agg(F.min("start").alias("at"))
+        origin = F.min(F.struct(*_DOC, "at")).alias("origin")
+        common = materialise(
+            of_doc.groupBy(*key).agg(origin, F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= common_docs).drop("docs")
+        )
+        copies = near.join(common, key).where(F.struct(*_DOC, F.col("start").alias("at")) != F.col("origin"))
+        gone = gone.unionAll(copies.select(*_DOC, F.struct("pos", "line").alias("l")))
+    return gone.distinct().groupBy(*_DOC).agg(F.sort_array(F.collect_list("l")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, common_docs: int | None = COMMON_DOCS) -> DataFrame:
     """``docs`` with later copies of repeated line runs cut out of ``text``.
 
+    A run goes if it has ``min_words`` words, or a letter and ``common_docs`` documents.
+
     Three columns are added: lines_before, lines_deleted and runs_deleted (long;
     maximal runs of deleted lines). The first copy, by doc_id then place, stays.
     A null text stays null and has no lines; blank lines neither count nor go;
@@ -143,7 +211,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     names = [c for c in docs.columns if c not in added]
     key = {"id": fresh(docs, "_id"), "th": fresh(docs, "_th")}
     gone_name = fresh(docs, "_gone")
-    gone = materialise(deletions(docs, min_words)).withColumnsRenamed(key | {"gone": gone_name})
+    gone = materialise(deletions(docs, min_words, common_docs)).withColumnsRenamed(key | {"gone": gone_name})
     values = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text"))
     keyed = docs.select(*columns(names), *[v.alias(k) for k, v in zip(key.values(), values)])
     held = keyed.join(gone, list(key.values()), "left")
@@ -161,11 +229,15 @@ def dedup_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
     return held.select(*kept, *[c.cast("long").alias(n) for n, c in zip(added, counts)])
 
 
-def keep_first_lines(docs: DataFrame, min_words: int = 1) -> DataFrame:
+def keep_first_lines(docs: DataFrame, min_words: int = MIN_WORDS, common_docs: int | None = COMMON_DOCS) -> DataFrame:
     """``docs`` after :func:`dedup_lines`, its own columns only: n_chars, if there is one,
-    counts the new text, and documents of which only blank lines are left go."""
+    counts the new text, and documents of which only blank lines are left go.
+
+    Documents that lose nothing stay as they are: null, empty and white-space texts, too. A
+    null id comes after every other; rows that repeat whole lose the same lines and all
+    stay or go; an empty table gives no rows."""
     added = {c: fresh(docs, f"_{c}") for c in ("lines_before", "lines_deleted", "runs_deleted") if c in docs.columns}
-    out = dedup_lines(docs.withColumnsRenamed(added), min_words)
+    out = dedup_lines(docs.withColumnsRenamed(added), min_words, common_docs)
     out = out.where((F.col("lines_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("lines_deleted") == 0, F.col("n_chars")).otherwise(F.length("text"))

@@ -69,7 +69,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"), linededup.MIN_WORDS)
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select(
         "doc_id", "lines_before", "lines_deleted", "runs_deleted", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     )
@@ -139,17 +139,18 @@ QUERIES = {
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def _line_dedup(words: int) -> str:
+def _line_dedup(words: int, docs: int) -> str:
     """Windows of non-blank lines that have ``words`` words and would not have them
     without their first or without their last line; all but a window's first copy
-    lose their lines."""
+    lose their lines. So do windows that ``docs`` documents hold: a line with a letter,
+    and what lines without letters lie between it and the line in question."""
     return rf"""WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS line
   FROM documents WHERE text IS NOT NULL
 ),
 s AS (
   SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos,
-         len(regexp_extract_all(x, '{_WORDS}')) AS words
+         len(regexp_extract_all(x, '{_WORDS}')) AS words, regexp_matches(x, '\p{{L}}') AS letter
   FROM l WHERE regexp_matches(x, '{_WORDS}')
 ),
 a AS (
@@ -163,7 +164,23 @@ w AS (
     AND (COALESCE(list_sum(ws[1:n - 1]), 0) < {words} OR COALESCE(list_sum(ws[2:n]), 0) < {words})
 ),
 copies AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS copy FROM w),
-gone AS (SELECT DISTINCT doc_id, unnest(spots, recursive := true) FROM copies WHERE copy > 1),
+g AS (
+  SELECT *, count(*) FILTER (WHERE letter) OVER (PARTITION BY doc_id ORDER BY pos) AS opened,
+         count(*) FILTER (WHERE letter) OVER (PARTITION BY doc_id ORDER BY pos DESC) AS closed
+  FROM s
+),
+near AS (
+  SELECT doc_id, pos, line, list(x) OVER (PARTITION BY doc_id, opened ORDER BY pos) AS run, opened > 0 AS ok FROM g
+  UNION ALL
+  SELECT doc_id, pos, line, list(x) OVER (PARTITION BY doc_id, closed ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+         closed > 0 AND NOT letter FROM g
+),
+held AS (SELECT run, count(DISTINCT doc_id) AS docs FROM near WHERE ok GROUP BY run HAVING count(DISTINCT doc_id) >= {docs}),
+common AS (SELECT near.*, row_number() OVER (PARTITION BY near.run ORDER BY doc_id, pos) AS copy FROM near JOIN held ON near.run = held.run WHERE ok),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(spots, recursive := true) FROM copies WHERE copy > 1
+  UNION SELECT doc_id, line, pos FROM common WHERE copy > 1
+),
 runs AS (
   SELECT doc_id, count(*) AS deleted, count(*) FILTER (WHERE before IS NULL OR before + 1 < pos) AS runs
   FROM (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id
@@ -232,7 +249,7 @@ FROM f"""
 #: Where SQL can express the operator. The others hash, shuffle, pack or learn in
 #: ways that SQL has no functions for; tests hold them against brute force.
 ORACLE: dict[str, str] = {
-    "op8_line_dedup": _line_dedup(linededup.MIN_WORDS),
+    "op8_line_dedup": _line_dedup(linededup.MIN_WORDS, linededup.COMMON_DOCS),
     "op11_filter_audit": _FILTER_AUDIT,
     "op12_warc": _WARC,
 }

@@ -10,11 +10,18 @@ from ledgerline.llm import linededup
 SF = "/root/testdata/sf0.001"
 
 
-def brute(rows, min_words):
+def brute(rows, min_words, common=None):
     """rows of (order key, text) -> set of deleted line numbers by key: every line of a run of
-    non-blank lines with min_words words that occurs earlier, all runs tried."""
+    non-blank lines that occurs earlier and has min_words words, or a letter and common documents;
+    all runs tried."""
     solid = {k: [(i, x) for i, x in enumerate(t.split("\n")) if x.split()] for k, t in rows if t is not None}
     seen: dict = {}
+    holders: dict = {}
+    for key in solid if common else ():
+        lines = [x for _, x in solid[key]]
+        for start in range(len(lines)):
+            for end in range(start, len(lines)):
+                holders.setdefault(tuple(lines[start : end + 1]), set()).add(key)
     gone: dict = {k: set() for k, _ in rows}
     for key in sorted(solid):
         lines = solid[key]
@@ -24,14 +31,15 @@ def brute(rows, min_words):
                 words += len(lines[end][1].split())
                 run = tuple(x for _, x in lines[start : end + 1])
                 first = seen.setdefault(run, (key, start))
-                if words >= min_words and first != (key, start):
+                shared = common and len(holders[run]) >= common and any(c.isalpha() for x in run for c in x)
+                if (words >= min_words or shared) and first != (key, start):
                     gone[key].update(i for i, _ in lines[start : end + 1])
     return gone
 
 
-def deleted(spark, docs, min_words):
+def deleted(spark, docs, min_words, common=None):
     """(doc_id, text) -> deleted line numbers, as the operator says."""
-    out = linededup.deletions(docs, min_words).collect()
+    out = linededup.deletions(docs, min_words, common).collect()
     return {(r.id, r.th): {x.line for x in r.gone} for r in out}
 
 
@@ -53,6 +61,19 @@ def test_random_documents_equal_brute_force(spark, docs_of):
         assert deleted(spark, docs, min_words) == want
 
 
+def test_common_runs_equal_brute_force(spark, docs_of):
+    rng = random.Random(5)
+    for common in (2, 5, 9):
+        pool = ["a", "b c", "}", "1 2", "--", "é", "{", ""]
+        rows = []
+        for d in range(30):
+            lines = [rng.choice(pool) if rng.random() < 0.9 else f"{d} {i}" for i in range(rng.randrange(0, 14))]
+            rows.append((rng.randrange(25), "\n".join(lines)))
+        docs = docs_of(rows)
+        want = {k: v for k, v in brute(keyed(docs), 12, common).items() if v}
+        assert deleted(spark, docs, 12, common) == want and want
+
+
 def test_table_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = keyed(docs)
@@ -60,6 +81,8 @@ def test_table_equals_brute_force(spark):
     small = docs.where(F.size(F.split("text", "\n")) <= 60)
     want = {k: v for k, v in brute(keyed(small), 10).items() if v}
     assert deleted(spark, small, 10) == want and len(rows) == docs.count()
+    want = {k: v for k, v in brute(keyed(small), 10, 4).items() if v}
+    assert deleted(spark, small, 10, 4) == want
 
 
 def test_suffix_ranks_sort_the_suffixes(spark, docs_of):
@@ -127,11 +150,49 @@ def test_long_copies_go_whole(spark, docs_of):
     assert (out[2].text, out[2].lines_deleted, out[2].runs_deleted) == ("before\nafter", 550, 1)
 
 
-def test_short_repeats_go_in_the_pipeline(spark, docs_of):
+def test_common_short_lines_go_in_the_pipeline(spark, docs_of):
     licence = "Released under the MIT License."
-    rows = [(1, f"first text\n{licence}\n}}"), (2, f"second text\n\n{licence}"), (3, licence), (4, "}\nfourth text")]
+    last = linededup.COMMON_DOCS + 3
+    rows = [(i, f"text number {i}\n{licence}\n}}\nend {i}\n}}") for i in range(1, last)] + [(last, licence), (last + 1, "}\nfourth text")]
     kept = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs_of(rows), SF).collect()}
-    assert kept == {1: f"first text\n{licence}\n}}", 2: "second text\n", 4: "fourth text"}
+    want = {i: f"text number {i}\nend {i}\n}}" for i in range(2, last)}
+    assert kept == {1: rows[0][1], last + 1: "}\nfourth text"} | want
+
+
+def test_code_keeps_its_short_lines(spark, docs_of):
+    """Two programs share lines that are too short and too rare to be repeats."""
+    first = "int f(int x) {\n  if (x > 2)\n    return 1;\n  return 0;\n}"
+    second = "int g(int y) {\n  while (y--)\n    h(y);\n    return 1;\n  return 0;\n}"
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs_of([(1, first), (2, second)]), SF).collect()}
+    assert kept == {1: first, 2: second}
+
+
+def test_the_commonest_line_stays_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = lambda d: d.where("text is not null").select(F.explode(F.split("text", "\n")).alias("x")).where(F.col("x").rlike(r"\p{L}"))
+    top = lines(docs).groupBy("x").count().orderBy(F.desc("count"), "x").first()
+    assert top["count"] > 100
+    cleaned = linededup.keep_first_lines(docs)
+    assert lines(cleaned).where(F.col("x") == top.x).count() == 1
+    held = lines(cleaned.withColumn("text", F.array_join(F.array_distinct(F.split("text", "\n")), "\n"))).groupBy("x").count()
+    assert held.agg(F.max("count")).first()[0] < linededup.COMMON_DOCS
+
+
+def test_the_pipeline_sorts_the_whole_suffix_array(spark, docs_of, monkeypatch):
+    built, plain = [], linededup.suffix_ranks
+
+    def spy(lines, depth):
+        out = plain(lines, depth)
+        built.append((depth, out[1]))
+        return out
+
+    monkeypatch.setattr(linededup, "suffix_ranks", spy)
+    text = "\n".join(f"line {i}" for i in range(20))
+    corpus_pipeline.line_stage(spark, docs_of([(1, text), (2, text)]), SF).collect()
+    assert built == [(None, [1, 2])]  # the lines of one passage: pairs are as far apart as lines
+    same = "\n".join(["again"] * 40)
+    corpus_pipeline.line_stage(spark, docs_of([(1, same)]), SF).collect()
+    assert built[1] == (None, [1, 2, 4, 8, 16, 32, 64, 128])
 
 
 def test_every_later_copy_of_a_line_goes(spark):
