@@ -80,3 +80,64 @@ def test_query_digests(spark):
 def test_no_python_in_the_plan(spark):
     plan = queries.op4_sharding(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_copies_of_a_row_spread(spark):
+    """20,000 equal rows that need 77 buckets use them, and the order holds whatever the partitions."""
+    rows = spark.range(20_000).selectExpr("CAST(7 AS LONG) AS doc_id", "repeat('x', 400) AS text")
+    volume = 20_000 * (16 + 400)
+    out, total = sharding._shuffled(rows, 1, -(-volume // 77))
+    assert total == 20_000
+    used = out.select("position", F.spark_partition_id().alias("p"))
+    sizes = sorted(r["count"] for r in used.groupBy("p").count().collect())
+    assert len(sizes) >= 70 and sizes[-1] < 4 * 20_000 / 77
+    assert used.select("position").distinct().count() == 20_000
+    assert used.agg(F.max("position")).first()[0] == 19_999
+
+
+def test_copies_among_other_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 64)
+    some = spark.range(2_000).selectExpr("id AS doc_id", "concat('text ', id % 100) AS text")
+    hot = spark.range(1_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'copy' AS text")
+    twice = spark.range(900).selectExpr("5 + id % 3 AS doc_id", "'another' AS text")
+    docs = some.unionAll(hot).unionAll(twice)
+
+    def order(df):
+        rows = [r.asDict() for r in sharding.shard(df, 7, 3, bucket_bytes=4_000).collect()]
+        slots_are_gapless(rows, 7)
+        return sorted((r["shard"], r["slot"], str(r["doc_id"]), r["text"]) for r in rows)
+
+    first = order(docs)
+    assert first == order(docs.repartition(13))
+    assert sorted((d, t) for _, _, d, t in first) == sorted((str(r.doc_id), r.text) for r in docs.collect())
+    # copies are spread over the shards like any rows
+    assert all(80 < sum(1 for s, *_, t in first if s == k and t == "copy") < 220 for k in range(7))
+
+
+def test_ties_in_id_and_text_have_an_order(spark):
+    tied = spark.range(500).selectExpr("1L AS doc_id", "'same' AS text", "id AS other")
+
+    def order(df):
+        return [r.other for r in sharding.shard(df, 3, bucket_bytes=2_000).orderBy("shard", "slot").collect()]
+
+    assert order(tied) == order(tied.repartition(9)) == order(tied.orderBy(F.desc("other")))
+
+
+def test_wide_columns_count(spark):
+    wide = spark.range(1_000).selectExpr("id AS doc_id", "'t' AS text", "repeat('y', 1000) AS extra", "array(id) AS a")
+    used = sharding.shuffle_rows(wide, bucket_bytes=20_000).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used >= 40
+
+
+def test_the_table_is_read_at_most_twice(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n = docs.count()
+    assert sharding.shard(docs.mapInArrow(count, docs.schema)).count() == n
+    assert read.value <= 2 * n
