@@ -5,8 +5,9 @@ words with one between them), hashed into 2**20 buckets. FTRL-proximal trains
 a weight for each bucket with per-coordinate learning rates and L1 sparsity;
 what is left of the weights is a few thousand numbers that every task gets.
 
-The model learns from a bounded sample: the ``train_rows`` labelled rows with
-the smallest hash of their id. Scoring reads every whole text.
+The model learns from a bounded sample: of the ``train_rows`` labelled documents with
+the smallest hash of their id as many, in that order, as have ``train_features``
+features together, each with all of its features. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -17,18 +18,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import columns, fresh, held_out, smallest_hashes, train_row
+from ledgerline.llm.common import columns, fresh, hash_order, held_out, materialise, smallest_hashes, train_row
 
 BITS = 20
+#: Bounds of the sample that the driver holds: documents, and their features together (four bytes each).
 TRAIN_ROWS = 16_384
+TRAIN_FEATURES = 1 << 24
 THRESHOLD = 0.3
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.0
 _MEMO_WORDS = 1 << 18
 _BLOCK = 1 << 16
+_ROWS_AT_ONCE = 64
 #: ASCII letters in lower case; other ASCII but digits becomes a space.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256)
@@ -102,11 +106,15 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> Model:
     return Model(live.astype(np.int32), w.astype(np.float32), float(bias), len(rows))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """(features, toxic) of at most ``train_rows`` labelled training documents with a text.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_features: int = TRAIN_FEATURES
+) -> DataFrame:
+    """(doc_id, features, toxic) of at most ``train_rows`` labelled training documents with a text, and of at
+    most ``train_features`` features.
 
     The labelled ids with the smallest hashes are taken, each with all its distinct
-    buckets. The driver holds them: its memory grows with the length of these texts.
+    buckets; the first that would go over ``train_features`` and those behind it are left
+    out. Of several texts of an id the one with the smallest hash teaches.
     """
     marked = (
         labels.where(train_row() & F.col("toxic").isin(0, 1))
@@ -118,30 +126,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Memo()
         for batch in batches:
-            found = [
-                np.unique(np.concatenate([*_buckets(x.as_py(), memo), np.zeros(0, np.int64)])).astype(np.int32)
-                for x in batch["text"]
-            ]
-            yield pa.record_batch(
-                {"doc_id": batch["doc_id"], "features": pa.array(found, pa.list_(pa.int32())), "toxic": batch["toxic"]}
-            )
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):  # a document has up to 2**BITS features
+                some = batch.slice(at, _ROWS_AT_ONCE)
+                found = [
+                    np.unique(np.concatenate([*_buckets(x.as_py(), memo), np.zeros(0, np.int64)])).astype(np.int32)
+                    for x in some["text"]
+                ]
+                features = pa.array(found, pa.list_(pa.int32()))
+                yield pa.record_batch({"doc_id": some["doc_id"], "features": features, "toxic": some["toxic"]})
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).where("text is not null")
     # at most train_rows rows of two numbers
-    return texts.join(F.broadcast(marked), "doc_id").mapInArrow(run, "doc_id long, features array<int>, toxic int")
+    told = texts.join(F.broadcast(marked), "doc_id")
+    one = told.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
+    found = materialise(one.mapInArrow(run, "doc_id long, features array<int>, toxic int"))
+    # a number for each of at most train_rows rows
+    before = Window.orderBy(hash_order("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = found.select("doc_id", F.size("features").cast("long").alias("n"))
+    chosen = sizes.withColumn("so_far", F.sum("n").over(before)).where(F.col("so_far") <= train_features)
+    return found.join(F.broadcast(chosen.select("doc_id")), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    got = training_rows(docs, labels, train_rows).toArrow().sort_by([("doc_id", "ascending")])
-    seen = dict.fromkeys(got["doc_id"].to_pylist())  # a repeated id counts once
-    rows: list[np.ndarray] = []
-    marks: list[int] = []
-    for doc, features, toxic in zip(got["doc_id"].to_pylist(), got["features"], got["toxic"].to_pylist()):
-        if doc in seen:
-            del seen[doc]
-            rows.append(features.values.to_numpy())
-            marks.append(toxic)
-    return fit(rows, marks)
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_features: int = TRAIN_FEATURES) -> Model:
+    got = training_rows(docs, labels, train_rows, train_features).toArrow().sort_by([("doc_id", "ascending")])
+    return fit([x.values.to_numpy() for x in got["features"]], got["toxic"].to_pylist())
 
 
 def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
@@ -188,7 +196,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that score ``threshold`` or more."""
+    """``docs`` without the documents that score ``threshold`` or more.
+
+    Null and empty texts score like a text without features and stay unless most labels
+    are toxic; without labels all stay. Rows with equal texts stay or go together,
+    whatever their ids, null ids too. An empty table gives no rows; other columns pass
+    through, whatever their names.
+    """
     name = fresh(docs, "toxic_score")
     found = score(docs, train(docs, labels, train_rows), name)
     return found.where(F.col(name) < threshold).select(*columns(docs.columns))

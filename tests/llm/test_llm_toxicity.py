@@ -109,3 +109,24 @@ def test_long_documents_teach_all_their_features(spark, docs_of):
     (row,) = toxicity.training_rows(docs_of([(1, text)]), labels).collect()
     whole = np.unique(np.concatenate(list(toxicity._buckets(text.encode(), toxicity._Memo()))))
     assert row.features == whole.tolist() and len(whole) > 1 << 15
+
+
+def test_the_sample_is_bounded_by_its_features(spark, docs_of):
+    docs = docs_of([(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    whole = toxicity.training_rows(docs, labels).collect()
+    some = toxicity.training_rows(docs, labels, train_features=5_000).collect()
+    assert 0 < len(some) < len(whole) and sum(len(r.features) for r in some) <= 5_000 < sum(len(r.features) for r in some) + 200
+    by_id = {r.doc_id: r for r in whole}
+    assert all(r == by_id[r.doc_id] for r in some)  # rows are whole
+    again = toxicity.training_rows(docs.repartition(7), labels, train_features=5_000).collect()
+    assert sorted(r.doc_id for r in again) == sorted(r.doc_id for r in some)
+    assert toxicity.train(docs, labels, train_features=5_000).rows == len(some)
+    assert toxicity.training_rows(docs, labels, train_features=10).count() == 0
+
+
+def test_a_repeated_id_teaches_once(spark, docs_of):
+    docs = docs_of([(1, "first text")] * 50 + [(1, "second text")] * 50)
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    (row,) = toxicity.training_rows(docs, labels).collect()
+    assert len(row.features) == 3
