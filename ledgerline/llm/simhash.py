@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import columns, connected_components, materialise
+from ledgerline.llm.common import LAST_ID, columns, connected_components, fresh, materialise
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -61,16 +61,19 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(chosen.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for each row of ``docs``; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, **more: Column) -> DataFrame:
+    """(doc_id, fp) for each row of ``docs``; fp is the fingerprint as a signed long. ``more`` adds long columns."""
+    kept = list(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x.as_py(), shingle_words) for x in batch["text"]], np.uint64)
-            yield pa.record_batch({"doc_id": batch["doc_id"], "fp": pa.array(found.view(np.int64))})
+            told = {name: batch[name] for name in kept}
+            yield pa.record_batch({"doc_id": batch["doc_id"], "fp": pa.array(found.view(np.int64)), **told})
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    extra = [c.cast("long").alias(name) for name, c in more.items()]
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), *extra)
+    return texts.mapInArrow(run, ", ".join(["doc_id long", "fp long", *[f"{name} long" for name in more]]))
 
 
 def _signed(x: int) -> int:
@@ -142,28 +145,41 @@ def near_duplicates(
     empty table gives no rows; other columns of ``docs`` are ignored.
     """
     of_doc = materialise(fingerprints(docs, shingle_words))
-    distinct = materialise(of_doc.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(links(distinct.select("fp"), max_bits, cell_rows))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = materialise(rooted.join(least, "root").select("fp", "component_id"))
+    least = F.min("doc_id").alias("component_id")
+    classes = _classes(of_doc, least, max_bits, cell_rows)
     return of_doc.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def _classes(of_doc: DataFrame, least: Column, max_bits: int, cell_rows: int) -> DataFrame:
+    """(fp, m): for each fingerprint the minimum m, an aggregate under its alias, over all rows of its class."""
+    (name,) = of_doc.agg(least).columns
+    distinct = materialise(of_doc.groupBy("fp").agg(least))
+    roots = connected_components(links(distinct.select("fp"), max_bits, cell_rows))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    of_class = rooted.groupBy("root").agg(F.min(name).alias(name))
+    return materialise(rooted.drop(name).join(of_class, "root").select("fp", name))
+
+
 def fingerprint_hex(fp: Column) -> Column:
     """The fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each class: its smallest id (one of its rows, if ids repeat).
+    """``docs`` with one row of each class: that of the smallest id (null last), then of the text and
+    the whole row with the smallest hash.
 
-    Rows with a null id stay: they can't be told apart by id.
+    A class is one of rows, not of ids: rows that share an id without being near copies
+    stay, and near copies without an id go but for one. Rows that repeat whole are one.
+    Null and white-space texts are near copies of each other. An empty table gives no
+    rows; other columns pass through, whatever their names.
     """
-    classes = near_duplicates(docs, shingle_words, max_bits)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null")
-    firsts = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return firsts.unionByName(docs.where("doc_id is null")).select(*columns(docs.columns))
+    names = [fresh(docs, n) for n in ("_id", "_th", "_rh")]
+    keys = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text"), F.xxhash64(*columns(docs.columns)))
+    rows = materialise(fingerprints(docs, shingle_words, **dict(zip(names, keys))))
+    # the least row of each class; a fingerprint's own least row comes up in its class, if at all
+    least = _classes(rows, F.min(F.struct(*names)).alias("least"), max_bits, CELL_ROWS)
+    kept = least.select("least").distinct().select(*[F.col(f"least.{n}").alias(n) for n in names])
+    # copies of a whole row meet before they are dealt, so none are too many for a task
+    single = docs.select("*", *[c.alias(n) for c, n in zip(keys, names)]).dropDuplicates(names)
+    return single.join(kept, names, "left_semi").select(*columns(docs.columns))

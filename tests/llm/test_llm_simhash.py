@@ -106,16 +106,54 @@ def test_counts_bound_the_distance(spark):
         assert r.l1 == sum(abs(x - y) for x, y in zip(*per)) <= r.h
 
 
-def test_drop_keeps_the_smallest_id(spark, docs_of, odd_rows, with_clashes):
-    rows = odd_rows + near_texts(10)
+def kept_rows(out):
+    return sorted(((r.doc_id, r.text, r.lang) for r in out.collect()), key=str)
+
+
+def classes(rows):
+    """Rows of each class, by brute force."""
+    prints = [brute_fingerprint(t) for _, t, *_ in rows]
+    named = brute_components(list(zip(range(len(rows)), prints)))
+    found = {}
+    for row, c in zip(rows, named):
+        found.setdefault(c, []).append(row)
+    return list(found.values())
+
+
+def test_drop_keeps_a_row_of_each_class(spark, docs_of, odd_rows, with_clashes):
+    rows = [(*r, "en") for r in odd_rows + near_texts(10)]
     out = simhash.drop_near_duplicates(with_clashes(docs_of(rows)))
-    want = {c for _, _, c in expected(rows) if c is not None}
-    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == sorted(want)
-    assert sum(r.doc_id is None for r in out.collect()) == 2
+    assert out.columns == with_clashes(docs_of([])).columns
+    got = kept_rows(out)
+    told = classes(rows)
+    assert len(got) == len(told)
+    for some in told:
+        here = [r for r in got if r in some]
+        assert len(here) == 1  # one row, and it has the class's least id
+        ids = [r[0] for r in some if r[0] is not None]
+        assert here[0][0] == (min(ids) if ids else None)
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.drop_near_duplicates(docs_of([])).count() == 0
 
 
+def test_drop_loses_no_class_where_ids_repeat(spark, docs_of):
+    a = " ".join(f"alpha{i}" for i in range(60))
+    b = " ".join(f"beta{i * 3}" for i in range(60))
+    out = simhash.drop_near_duplicates(docs_of([(1, a), (1, b), (2, a), (3, b)]))
+    assert kept_rows(out) == [(1, a, "en"), (1, b, "en")]
+    out = simhash.drop_near_duplicates(docs_of([(5, a), (5, a), (None, a), (None, b), (None, b), (7, "other words here")]))
+    assert kept_rows(out) == sorted([(5, a, "en"), (None, b, "en"), (7, "other words here", "en")], key=str)
+
+
+def test_drop_is_repeatable(spark, docs_of):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, f"l{i}") for i in range(30)] + [(2, text, "en")]
+    docs = docs_of(rows)
+    first = kept_rows(simhash.drop_near_duplicates(docs))
+    assert len(first) == 1 and first[0][0] == 1
+    assert kept_rows(simhash.drop_near_duplicates(docs.repartition(5))) == first
+
+
 def test_odd_limits_are_refused(spark, docs_of):
     with pytest.raises(ValueError):
         simhash.near_duplicates(docs_of([(1, "a")]), max_bits=3)
