@@ -63,6 +63,36 @@ def _adam(grads: list[np.ndarray], params: list[np.ndarray], state: list[list[np
         p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
 
+def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Gradients of the mean cross entropy of windows ``x`` with label numbers ``y`` by the network's parameters:
+    embed, each width's taps, shift, out, out_shift."""
+    at = np.arange(len(x))[:, None]
+    vectors = net.embed[x]
+    peaks, top = [], []
+    for bank in net.taps:
+        span = WINDOW - len(bank) + 1
+        heard = sum(vectors[:, j : j + span] @ tap for j, tap in enumerate(bank))
+        top.append(heard.argmax(1))
+        peaks.append(np.take_along_axis(heard, top[-1][:, None], 1)[:, 0])
+    pooled = np.concatenate(peaks, 1) + net.shift
+    live = np.maximum(pooled, 0)
+    error = _softmax(live @ net.out + net.out_shift)
+    error[np.arange(len(x)), y] -= 1
+    error /= len(x)
+    back = (error @ net.out.T) * (pooled > 0)
+    d_embed = np.zeros_like(net.embed)
+    d_taps = []
+    for b, bank in enumerate(net.taps):
+        g = back[:, b * FILTERS : (b + 1) * FILTERS]
+        d_bank = np.zeros_like(bank)
+        for j, tap in enumerate(bank):
+            place = top[b] + j  # (rows, FILTERS): where each filter peaked
+            d_bank[j] = np.einsum("rf,rfe->ef", g, vectors[at, place])
+            np.add.at(d_embed, x[at, place], g[:, :, None] * tap.T[None])
+        d_taps.append(d_bank)
+    return [d_embed, *d_taps, back.sum(0), live.T @ error, error.sum(0)]
+
+
 def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 5) -> Network:
     """Train on windows (n, WINDOW) of bytes with label numbers, by Adam on the cross
     entropy: EPOCHS passes, or as many as make MIN_STEPS steps."""
@@ -83,33 +113,8 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int
         order = rng.permutation(len(windows))
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
-            x, y = windows[rows], labels[rows]
-            at = np.arange(len(rows))[:, None]
-            vectors = net.embed[x]
-            peaks, top = [], []
-            for bank in net.taps:
-                span = WINDOW - len(bank) + 1
-                heard = sum(vectors[:, j : j + span] @ tap for j, tap in enumerate(bank))
-                top.append(heard.argmax(1))
-                peaks.append(np.take_along_axis(heard, top[-1][:, None], 1)[:, 0])
-            pooled = np.concatenate(peaks, 1) + net.shift
-            live = np.maximum(pooled, 0)
-            error = _softmax(live @ net.out + net.out_shift)
-            error[np.arange(len(rows)), y] -= 1
-            error /= len(rows)
-            back = (error @ net.out.T) * (pooled > 0)
-            d_embed = np.zeros_like(net.embed)
-            d_taps = []
-            for b, bank in enumerate(net.taps):
-                g = back[:, b * FILTERS : (b + 1) * FILTERS]
-                d_bank = np.zeros_like(bank)
-                for j, tap in enumerate(bank):
-                    place = top[b] + j  # (rows, FILTERS): where each filter peaked
-                    d_bank[j] = np.einsum("rf,rfe->ef", g, vectors[at, place])
-                    np.add.at(d_embed, x[at, place], g[:, :, None] * tap.T[None])
-                d_taps.append(d_bank)
             step += 1
-            _adam([d_embed, *d_taps, back.sum(0), live.T @ error, error.sum(0)], params, state, step)
+            _adam(gradients(net, windows[rows], labels[rows]), params, state, step)
     return net
 
 
@@ -238,7 +243,13 @@ def language(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
 
 def drop_unknown_language(docs: DataFrame, train_rows: int = TRAIN_ROWS, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without texts of no learnt language: ``und``, or a probability below ``min_score``."""
+    """``docs`` without texts of no learnt language: ``und``, or a probability below ``min_score``.
+
+    Null texts and texts without letters (empty and white-space ones, too) go. Rows with
+    equal texts stay or go together, whatever their ids, null ids too. Where there is
+    nothing to learn from, every text is ``und`` and goes. An empty table gives no rows;
+    other columns pass through, whatever their names.
+    """
     lang, score = fresh(docs, "_lang"), fresh(docs, "_score")
     told = identify(docs, train(docs, train_rows), lang, score)
     return told.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(*columns(docs.columns))

@@ -79,3 +79,43 @@ def test_lang_is_no_input(spark):
     a = langid.identify(docs.select("doc_id", "text"), net).select("doc_id", "lang_pred", "score")
     b = langid.identify(docs.select(F.col("doc_id"), "text", F.lit("zz").alias("lang")), net).select("doc_id", "lang_pred", "score")
     assert a.exceptAll(b).count() == 0
+
+
+def test_gradients_equal_differences():
+    """The hand-written gradients against finite differences of the loss, in double precision."""
+    rng = np.random.default_rng(3)
+    k = len(langid.WIDTHS) * langid.FILTERS
+    net = langid.Network(
+        ["a", "b", "c"],
+        rng.normal(0, 0.5, (256, langid.EMBED)),
+        [rng.normal(0, 0.3, (w, langid.EMBED, langid.FILTERS)) for w in langid.WIDTHS],
+        rng.normal(0, 0.1, k),
+        rng.normal(0, 0.3, (k, 3)),
+        rng.normal(0, 0.1, 3),
+    )
+    x, y = rng.integers(0, 256, (7, langid.WINDOW)), rng.integers(0, 3, 7)
+
+    def loss():
+        pooled = np.concatenate(
+            [
+                sum(net.embed[x][:, j : j + langid.WINDOW - len(bank) + 1] @ tap for j, tap in enumerate(bank)).max(1)
+                for bank in net.taps
+            ],
+            1,
+        )
+        told = langid._softmax(np.maximum(pooled + net.shift, 0) @ net.out + net.out_shift)
+        return -np.log(told[np.arange(len(y)), y]).mean()
+
+    params = [net.embed, *net.taps, net.shift, net.out, net.out_shift]
+    for param, grad in zip(params, langid.gradients(net, x, y)):
+        assert param.shape == grad.shape
+        flat, step = param.reshape(-1), 1e-6
+        strong = np.argsort(-np.abs(grad.reshape(-1)))[:12]
+        for i in {*strong.tolist(), *rng.integers(0, flat.size, 12).tolist()}:
+            kept = flat[i]
+            flat[i] = kept + step
+            above = loss()
+            flat[i] = kept - step
+            below = loss()
+            flat[i] = kept
+            assert abs((above - below) / (2 * step) - grad.reshape(-1)[i]) < 1e-5, i

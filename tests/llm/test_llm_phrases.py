@@ -113,9 +113,3 @@ def test_odd_rows(spark, docs_of, odd_rows, with_clashes):
     alone = phrases.fingerprints(docs_of([(1, "alone")])).first()
     assert alone.near_next == 1.0 and alone.n_chars == 5
 
-
-def test_column_form(spark, docs_of):
-    from pyspark.sql import functions as F
-
-    got = docs_of([(1, "some text"), (2, None)]).select(phrases.fingerprint_column(F.col("text")).alias("f")).collect()
-    assert [r.f for r in got] == [phrases.fingerprint("some text"), phrases.fingerprint("")]
