@@ -25,7 +25,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs of any length go, and documents of nothing else."""
+    """Later copies of repeated line runs (ten words, or a letter and many documents) go, and documents of nothing else."""
     return linededup.keep_first_lines(docs)
 
 
@@ -52,7 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each written and read again in the shared folder."""
+    """All stages over the documents table, each written and read again in the shared folder.
+
+    Documents without letters, null and empty texts among them, go in the language
+    stage; of rows that repeat whole one stays; a null id comes after every other. An
+    empty table gives no rows. Other columns than those of ``documents`` pass through.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = work_path(spark, f"pipeline-{name}")
