@@ -80,7 +80,7 @@ def plain_stages(spark, rows, labels):
     told = langid.language(frame).collect()
     known = {(r.doc_id, r.lang_pred, r.score) for r in told}
     fine = {d for d, lang, score in known if lang != "und" and score >= langid.MIN_SCORE}
-    left = [(d, t) for d, t in clean if d in fine]
+    left = [(d, t) for d, t in clean if d in fine and t is not None]  # a null text is of no language
     order = {k: ((1 << 63) - 1 if k[0] is None else k[0], k[1]) for k in left}
     gone = brute([(order[k], k[1]) for k in left], linededup.MIN_WORDS, linededup.COMMON_DOCS)
     cut = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[order[d, t]])) for d, t in left]
