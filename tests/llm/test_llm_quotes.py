@@ -46,8 +46,28 @@ def test_reply_order_and_nested_quotes(spark):
     assert [r.position for r in got] == [0, 1, 2, 3, 4, 5, 0, 1]
 
 
+def test_a_sentence_of_a_longer_line_is_found(spark):
+    rows = [
+        (1, 0, "user", "I have a table of orders. It is very wide, and\nslow to read! What can I do?"),
+        (1, 1, "assistant", "Read fewer columns (\"prune them.\") Then it is fast."),
+        (1, 2, "user", "> What can I do?\nSame here."),
+        (1, 3, "user", "> It is very wide,\n> and slow to read!\nMine too.\n> Nobody said this.\nOr so."),
+        (1, 4, "user", "> Then it is fast.\n> Words of an unknown message.\nThanks."),
+        (1, 5, "user", "> prune them.\nHow?"),
+        (1, 6, "user", "> Nobody said this.\nIndeed."),
+        (1, 7, "user", "这是第一句。这是第二句。"),
+        (1, 8, "user", "no quote"),
+        (1, 9, "user", "> 这是第二句。\n对"),
+    ]
+    of = {r.turn: r for r in linked(spark, rows)}
+    assert [(t, of[t].reply_to, of[t].by_quote) for t in (2, 3, 4, 9)] == [(2, 0, True), (3, 0, True), (4, 1, True), (9, 7, True)]
+    assert [(of[t].quotes, of[t].linked, of[t].unlinked) for t in (0, 2, 3, 4, 6)] == [(0, 0, 0), (1, 1, 0), (2, 1, 1), (1, 1, 0), (1, 0, 1)]
+    assert (of[6].reply_to, of[6].by_quote) == (5, False)  # quotes what no message says: the message before
+    assert (of[5].reply_to, of[5].by_quote, of[5].unlinked) == (4, False, 1)  # a part of a sentence isn't one
+
+
 def brute(rows):
-    """reply_to by looking at every earlier message of the conversation."""
+    """reply_to by looking at every earlier message of the conversation, and the passages with and without a link."""
     out = {}
     by: dict = {}
     for c, t, _, text in rows:
@@ -60,6 +80,8 @@ def brute(rows):
                 for h, n in quotes.units(passage).items():
                     asked[level, h] = asked.get((level, h), 0) + n
             votes: dict = {}
+            kinds = {(level, " ".join(p.casefold().split())): set(quotes.units(p)) for level, p in passages}
+            met = sum(any(h in turns[u][0] for u in turns if u < t for h in hashes) for hashes in kinds.values())
             for (level, h), n in asked.items():
                 said = [u for u in turns if u < t and h in turns[u][0]]
                 if said:
@@ -68,7 +90,7 @@ def brute(rows):
                 level, to = max(votes, key=lambda k: (-k[0], votes[k], k[1]))
             else:
                 to = max((u for u in turns if u < t), default=None)
-            out[c, t] = (to, bool(votes))
+            out[c, t] = (to, bool(votes), met, len(kinds) - met)
     return out
 
 
@@ -86,7 +108,7 @@ def test_random_threads_equal_brute_force(spark, monkeypatch):
     want = brute(rows)
     monkeypatch.setattr(quotes, "STRETCH", 16)  # many stretches in each conversation
     got = linked(spark, rows)
-    assert {(r.conv_id, r.turn): (r.reply_to, r.by_quote) for r in got} == want
+    assert {(r.conv_id, r.turn): (r.reply_to, r.by_quote, r.linked, r.unlinked) for r in got} == want
     place = {(r.conv_id, r.turn): r.position for r in got}
     for r in got:
         if r.reply_to is None:
@@ -119,6 +141,6 @@ def test_table_is_whole(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     out = quotes.link_conversations(table)
     assert out.count() == table.count()
-    got = {(r.conv_id, r.turn): (r.reply_to, r.by_quote) for r in out.collect()}
+    got = {(r.conv_id, r.turn): (r.reply_to, r.by_quote, r.linked, r.unlinked) for r in out.collect()}
     assert got == brute([(r.conv_id, r.turn, r.role, r.text) for r in table.collect()])
     assert out.select("conv_id", "turn", "role", "text").exceptAll(table.select("conv_id", "turn", "role", "text")).count() == 0
