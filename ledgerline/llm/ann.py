@@ -3,29 +3,35 @@
 A bounded sample of the vectors gives a neighbour graph, which is cut into
 parts of nearly equal size with few edges between them. A small classifier
 (one hidden layer) learns where a vector's neighbours lie: for each part, the
-share of them in it. It puts every vector of the table into its most probable
-part, and sends a query to its most probable ones; how many is measured on
-sample queries that the classifier has not seen. All vectors of those parts are
-scored exactly in double precision. A query's k-th best score among the sample
-vectors of the parts it asks is a lower bound for its result, so cells return only
-what reaches it.
+share of them in it. It puts every vector into its most probable part, and
+sends a query to its most probable ones; how many is measured on sample queries
+that the classifier has not seen. A part that is still large is cut once more in
+the same way, by a sample and a classifier of its own, so parts stay near
+``part_rows`` vectors however many rows there are; a query goes down into the
+parts that it asks. All vectors of the last parts are scored exactly in double
+precision. A query's k-th best score among the sample vectors of the parts it
+asks is a lower bound for its result, so cells return only what reaches it.
 
 The work of a part is cut into cells of at most about ``cell_rows`` vectors and
-``cell_rows`` queries by hashes of their ids, so a part that holds a third of
-the table is no larger task than any other.
+``cell_rows`` queries by hashes of their rows, so a part that holds a third of
+the table (copies can't be cut) is no larger task than any other. Classifiers
+are fitted in tasks, one for each part that is cut, and meet its rows in a join.
 """
 
 from __future__ import annotations
 
+import io
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, smallest_hashes
+from ledgerline.llm.common import hash_order, materialise, smallest_hashes
 
 NEIGHBOURS = 20
 SAMPLE_ROWS = 8192
@@ -33,6 +39,11 @@ PART_ROWS = 2048
 MAX_PARTS = 128
 CELL_ROWS = 4096
 RECALL = 0.95
+#: Rows of (part, number) that may be broadcast; more of them are joined by a shuffle.
+SMALL_ROWS = 1 << 16
+#: A part's children are numbered from its own number times this. Parts of length-d vectors start at d * _FAN.
+_FAN = 2 * MAX_PARTS
+_LEVELS = 4
 _GRAPH = 10
 _HIDDEN = 128
 _EPOCHS = 40
@@ -56,6 +67,16 @@ class Router:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return np.maximum((x - self.shift) @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **vars(self))
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, data: bytes) -> Router:
+        with np.load(io.BytesIO(data)) as held:
+            return cls(**{name: held[name] for name in held.files} | {"probes": int(held["probes"])})
+
 
 def _nearest(x: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
     """Indices (queries, k) of the largest inner products, a query's own row left out."""
@@ -145,8 +166,7 @@ def fit(sample: np.ndarray, parts: int, k: int = NEIGHBOURS, recall: float = REC
     """A router for ``parts`` parts from a sample (n, d) of vectors; equal vectors count once.
 
     A tenth of the sample only asks: the number of probes is the smallest that
-    finds ``recall`` of its k nearest sample vectors (k graph neighbours where
-    the sample has fewer).
+    finds ``recall`` of its k nearest sample vectors.
     """
     rng = np.random.default_rng(seed)
     x = np.unique(sample, axis=0)
@@ -177,63 +197,162 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v): the vectors that take part, as doubles, one for each id."""
+    """(row, vec_id, v): the vectors that take part, as doubles, each with a number of its own."""
     v = F.col("embedding").cast("array<double>")
-    good = (
+    return (
         embeddings.select(F.col("vec_id").cast("long"), v.alias("v"))
         .where("vec_id is not null and v is not null")
         .where(F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))))
         .where(F.exists("v", lambda x: x != 0))
+        .select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
     )
-    dim = good.agg(F.mode(F.size("v"), True)).first()[0]
-    return good.where(F.size("v") == F.lit(dim or 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _floors(
-    ids: np.ndarray, x: np.ndarray, asked: list[list[int]], sample_ids: np.ndarray, sample: np.ndarray, parts: np.ndarray, k: int
+    rows: np.ndarray, x: np.ndarray, asked: list[list[int]], sample_rows: np.ndarray, sample: np.ndarray, parts: np.ndarray, k: int
 ) -> np.ndarray:
     """The k-th best score of each query among the sample vectors of the parts it asks, its own row left out."""
     if len(sample) <= k:
         return np.full(len(x), -np.inf)
+    names, place = np.unique(parts, return_inverse=True)
     out = np.empty(len(x))
     for start in range(0, len(x), 512):
         some = asked[start : start + 512]
         near = x[start : start + 512] @ sample.T
-        near[ids[start : start + 512, None] == sample_ids[None, :]] = -np.inf
-        asks = np.zeros((len(some), int(parts.max()) + 1), bool)
-        for i, mine in enumerate(some):
-            asks[i, [p for p in mine if p < asks.shape[1]]] = True
-        near[~asks[:, parts]] = -np.inf
+        near[rows[start : start + 512, None] == sample_rows[None, :]] = -np.inf
+        asks = np.stack([np.isin(names, mine) for mine in some])
+        near[~asks[:, place]] = -np.inf
         out[start : start + 512] = -np.partition(-near, k - 1, axis=1)[:, k - 1]
     return out - 1e-12 * np.abs(sample).max() * np.abs(x).sum(1)
 
 
+_FOUND = "query_row long, query_id long, row long, vec_id long, score double, scored long"
+
+
 def _best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
-    """The k nearest members of each query in a cell: (query_id, vec_id, score)."""
-    empty = not queries.num_rows or not members.num_rows
-    q_out, m_out, s_out = [], [], []
-    if not empty:
+    """The k nearest members of each query in a cell, in the columns of ``_FOUND``."""
+    picked: list[np.ndarray] = []
+    mine: list[np.ndarray] = []
+    scores: list[np.ndarray] = []
+    if queries.num_rows and members.num_rows:
         dim = len(members["v"][0])
         x, y = _matrix(queries["v"].combine_chunks(), dim), _matrix(members["v"].combine_chunks(), dim)
-        q_ids, m_ids = queries["vec_id"].to_numpy(), members["vec_id"].to_numpy()
+        q_rows, m_rows, m_ids = queries["row"].to_numpy(), members["row"].to_numpy(), members["vec_id"].to_numpy()
         floor = queries["floor"].to_numpy()
         size = float(np.abs(y).max()) or 1.0
         for start in range(0, len(x), 512):
             block = x[start : start + 512]
             near = block @ y.T
-            near[q_ids[start : start + 512, None] == m_ids[None, :]] = -np.inf
+            near[q_rows[start : start + 512, None] == m_rows[None, :]] = -np.inf
             kth = -np.partition(-near, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1]
             for i, bar in enumerate(np.maximum(kth, floor[start : start + 512])):
                 # a hair below: products are taken anew, the same way for equal vectors
                 slack = 1e-12 * size * float(np.abs(block[i]).sum())
                 some = np.flatnonzero((near[i] >= bar - slack) & (near[i] > -np.inf))
                 exact = (y[some] * block[i]).sum(1)
-                best = np.lexsort((m_ids[some], -exact))[:k]
-                q_out.append(np.full(len(best), q_ids[start + i]))
-                m_out.append(m_ids[some][best])
-                s_out.append(exact[best])
-    join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-    return pa.table({"query_id": join(q_out, np.int64), "vec_id": join(m_out, np.int64), "score": join(s_out, np.float64)})
+                best = np.lexsort((m_rows[some], m_ids[some], -exact))[:k]
+                picked.append(some[best])
+                mine.append(np.full(len(best), start + i))
+                scores.append(exact[best])
+    q, m = (np.concatenate(parts) if parts else np.zeros(0, np.int64) for parts in (mine, picked))
+    asked, found = queries.take(pa.array(q)), members.take(pa.array(m))
+    score = pa.array(np.concatenate(scores) if scores else np.zeros(0))
+    return pa.table({
+        "query_row": asked["row"], "query_id": asked["vec_id"], "row": found["row"], "vec_id": found["vec_id"],
+        "score": score, "scored": asked["scored"],
+    })
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
+def _cell(parts: Column | str, salt: int) -> Column:
+    """One of ``parts`` cells for a row."""
+    return F.pmod(F.xxhash64("row", F.lit(salt)), F.col(parts) if isinstance(parts, str) else parts).cast("int")
+
+
+def _cells(column: str, cell_rows: int) -> Column:
+    return F.ceil(F.col(column) / cell_rows).cast("int")
+
+
+def _every(column: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+
+
+def _counts(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+_PLACED = "up long, node long, row long, vec_id long, v array<double>"
+
+
+def _cut(
+    members: DataFrame, asked: DataFrame, wide: DataFrame, many: int, k: int, sample_rows: int, part_rows: int, recall: float, cell_rows: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cut the ``many`` parts ``wide`` (node, n): (members, asked, new parts as (up, node, n)).
+
+    ``members`` are (node, row, vec_id, v), each vector in one part; ``asked`` have the same
+    columns, a query once for every part that it asks.
+    """
+
+    def fitted(key: tuple, rows: pa.Table) -> pa.Table:
+        x = _matrix(rows["v"].combine_chunks(), len(rows["v"][0]))
+        order = np.argsort(rows["row"].to_numpy())
+        n = rows["n"][0].as_py()
+        # of a vector's k nearest, the sample holds its share
+        router = fit(x[order], min(MAX_PARTS, max(4, -(-n // part_rows))), max(1, math.ceil(k * len(x) / n)), recall)
+        return pa.table({"node": [key[0]], "n": [rows["n"][0]], "parts": [router.parts], "router": pa.array([router.dump()], pa.binary())})
+
+    # about sample_rows vectors of each part
+    share = hash_order("row").cast("double") / 2.0**63 <= F.lit(float(sample_rows)) / F.col("n")
+    sample = members.join(_small(wide, many), "node").where(share).select("node", "row", "v", "n")
+    routers = materialise(
+        sample.groupBy("node").applyInArrow(fitted, "node long, n long, parts long, router binary").where("parts > 1")
+    )
+    chunks = routers.select("node", _cells("n", cell_rows).alias("cells"))
+    cell = ["node", "cell"]
+
+    def place(rows: pa.Table, guide: pa.Table) -> pa.Table:
+        router = Router.load(guide["router"][0].as_py())
+        node = rows["node"][0].as_py()
+        best = router.scores(_matrix(rows["v"].combine_chunks(), len(rows["v"][0]))).argmax(1)
+        at = pa.array(node * _FAN + 1 + best.astype(np.int64))
+        return pa.table({"up": rows["node"], "node": at, **{c: rows[c] for c in ("row", "vec_id", "v")}})
+
+    dealt = members.join(_small(chunks, many), "node").withColumn("cell", _cell("cells", 1)).drop("cells")
+    guides = routers.join(chunks, "node").withColumn("cell", _every("cells")).select(*cell, "router")
+    moved = materialise(dealt.groupBy(*cell).cogroup(guides.groupBy(*cell)).applyInArrow(place, _PLACED))
+    parts = materialise(_counts(moved, "n", "up", "node"))
+
+    def route(rows: pa.Table, guide: pa.Table) -> pa.Table:
+        router = Router.load(guide["router"][0].as_py())
+        node = rows["node"][0].as_py()
+        held = np.zeros(router.parts, np.int64)
+        for part in guide["parts"][0].as_py():
+            held[part["node"] - node * _FAN - 1] = part["n"]
+        order = (-router.scores(_matrix(rows["v"].combine_chunks(), len(rows["v"][0])))).argsort(1, kind="stable")
+        before = held[order].cumsum(1) - held[order]
+        # as many parts as calibrated, and more while they hold fewer than k rows besides the query's own
+        wanted = ((np.arange(router.parts) < router.probes) | (before < k + 1)) & (held[order] > 0)
+        at, place = np.nonzero(wanted)
+        asking = rows.take(pa.array(at))
+        return pa.table({"up": asking["node"], "node": pa.array(node * _FAN + 1 + order[at, place]), **{c: asking[c] for c in ("row", "vec_id", "v")}})
+
+    loads = asked.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("cells")).join(routers.select("node"), "node")
+    loads = materialise(loads)
+    sizes = parts.groupBy(F.col("up").alias("node")).agg(F.collect_list(F.struct("node", "n")).alias("parts"))  # MAX_PARTS at most
+    questions = asked.join(_small(loads, many), "node").withColumn("cell", _cell("cells", 2)).drop("cells")
+    guides = routers.drop("parts").join(sizes, "node").join(loads, "node").withColumn("cell", _every("cells")).select(*cell, "router", "parts")
+    sent = questions.groupBy(*cell).cogroup(guides.groupBy(*cell)).applyInArrow(route, _PLACED)
+
+    whole = ["node", "row", "vec_id", "v"]
+    left = lambda df: df.join(_small(routers.select("node"), many), "node", "left_anti").select(whole)
+    return (
+        left(members).unionAll(moved.select(whole)),
+        materialise(left(asked).unionAll(sent.select(whole))),
+        parts,
+    )
 
 
 def search(
@@ -245,76 +364,72 @@ def search(
     recall: float = RECALL,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """The k nearest rows of each query by inner product: (query_id, rank, vec_id, score).
+    """The k nearest rows of each query by inner product: (query_id, rank, vec_id, score, scored).
 
     ``is_query`` is a condition on vec_id. Nearest first, ties to the smaller
-    id; a query with fewer than k other rows gets all. Vectors that are null,
-    zero or hold null or non-finite components take no part, nor do null ids and
-    vectors that haven't the table's most frequent length. An id that repeats
-    counts once, with the smallest of its vectors. Other columns are ignored;
-    an empty table gives no rows.
+    id; a query with fewer than k other rows gets all. ``scored`` is the number of
+    vectors that the query was scored against. Vectors that are null, zero or hold
+    null or non-finite components take no part, nor do null ids. A vector is near
+    only to vectors of its own length. Rows that share an id are rows like any
+    other: each is a candidate of the others, and each asks for itself, with its
+    results under the id that they share. Other columns are ignored; an empty
+    table gives no rows.
     """
-    vectors = materialise(usable(embeddings))
-    total = vectors.count()
-    sample = smallest_hashes(vectors, sample_rows, total, "vec_id").toArrow()
-    if not total:
-        return vectors.select(
-            F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
-        )
-    dim = len(sample["v"][0])
-    parts = max(4, min(MAX_PARTS, -(-total // part_rows)))
-    router = fit(_matrix(sample["v"].combine_chunks(), dim), parts, k, recall)
-    context = embeddings.sparkSession.sparkContext
-    sent = context.broadcast(router)  # as large as the sample's bounds allow
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                order = (-sent.value.scores(_matrix(batch["v"], dim))).argsort(1, kind="stable").astype(np.int32)
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), order.shape[1])
-                yield pa.record_batch([batch["vec_id"], batch["v"], lists.cast(pa.list_(pa.int32()))], ["vec_id", "v", "parts"])
-
-    routed = materialise(vectors.mapInArrow(placed, "vec_id long, v array<double>, parts array<int>"))
-    members = routed.select("vec_id", "v", F.col("parts")[0].alias("part"))
-    sizes = {r["part"]: r["n"] for r in members.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chunks = F.array(*[F.lit(max(1, -(-sizes.get(p, 0) // cell_rows))) for p in range(router.parts)])
-    counts = F.array(*[F.lit(sizes.get(p, 0)) for p in range(router.parts)])
-    # as many parts as calibrated, and more while they hold fewer than k rows besides the query's own
-    held = F.transform(
-        "parts", lambda p, i: F.aggregate(F.slice("parts", 1, i), F.lit(0).cast("long"), lambda a, x: a + F.get(counts, x))
-    )
-    wanted = F.filter("parts", lambda p, i: (i < router.probes) | (F.get(held, i) < k + 1))
-
-    # the sample's rows as they were placed: sample_rows vectors at most
-    placed_sample = smallest_hashes(members, sample_rows, total, "vec_id").toArrow()
-    known = context.broadcast(
-        (placed_sample["vec_id"].to_numpy(), _matrix(placed_sample["v"].combine_chunks(), dim), placed_sample["part"].to_numpy())
+    members = materialise(usable(embeddings).select((F.size("v").cast("long") * _FAN).alias("node"), "row", "vec_id", "v"))
+    asked = members.where(is_query)
+    nodes = materialise(_counts(members, "n", "node"))
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    depth = max(1, math.ceil(math.log(max(1, total / part_rows)) / math.log(MAX_PARTS) - 1e-9))
+    open_ = nodes
+    for level in range(_LEVELS):
+        wide = materialise(open_.where(F.col("n") >= (128 if level == 0 else 2 * part_rows)))
+        if not (many := wide.count()):
+            break
+        members, asked, parts = _cut(members, asked, wide, many, k, sample_rows, part_rows, recall ** (1 / depth), cell_rows)
+        of = wide.select(F.col("node").alias("up"), F.col("n").alias("whole"))
+        # what hardly shrinks isn't cut again: copies, or vectors that can't be told apart
+        open_ = parts.join(of, "up").where("n < 0.9 * whole").select("node", "n")
+        nodes = materialise(nodes.join(parts.select(F.col("up").alias("node")).distinct(), "node", "left_anti").unionAll(parts.select("node", "n")))
+
+    # the sample's rows as they were placed, of the most frequent length: sample_rows vectors at most
+    sample = smallest_hashes(members, sample_rows, max(1, total), "row").toArrow()
+    sizes = pc.list_value_length(sample["v"]).to_numpy().astype(np.int64)
+    dim = int(np.bincount(sizes).argmax()) if len(sizes) else 1
+    sample = sample.filter(pa.array(sizes == dim))
+    known = embeddings.sparkSession.sparkContext.broadcast(
+        (sample["row"].to_numpy(), _matrix(sample["v"].combine_chunks(), dim), sample["node"].to_numpy())
     )
 
     def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                ids, x = batch["vec_id"].to_numpy(), _matrix(batch["v"], dim)
-                floor = _floors(ids, x, batch["parts"].to_pylist(), *known.value, k)
-                yield pa.record_batch([*batch.columns, pa.array(floor)], [*batch.schema.names, "floor"])
-
-    queries = routed.where(is_query).select("vec_id", "v", wanted.alias("parts"))
-    bounded = queries.mapInArrow(floored, "vec_id long, v array<double>, parts array<int>, floor double")
-    asked = materialise(bounded.select("vec_id", "v", "floor", F.explode("parts").alias("part")))
-    asked = asked.where(F.get(counts, F.col("part")) > 0)
-    loads = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = F.array(*[F.lit(max(1, -(-loads.get(p, 0) // cell_rows))) for p in range(router.parts)])
-    cell = ["part", "chunk", "block"]
-    own = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.get(n, F.col("part"))).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.get(n, F.col("part")) - 1))
-    rows = members.where(F.col("part").isin(*loads)).withColumn("chunk", own(chunks, 1)).withColumn("block", every(blocks))
-    questions = asked.withColumn("block", own(blocks, 2)).withColumn("chunk", every(chunks))
+            floor = np.full(batch.num_rows, -np.inf)
+            some = np.flatnonzero(pc.list_value_length(batch["v"]).to_numpy() == dim)
+            if len(some):
+                mine = batch.take(pa.array(some))
+                floor[some] = _floors(mine["row"].to_numpy(), _matrix(mine["v"], dim), mine["nodes"].to_pylist(), *known.value, k)
+            yield pa.record_batch([*batch.columns, pa.array(floor)], [*batch.schema.names, "floor"])
+
+    count = nodes.count()
+    queries = (
+        asked.join(_small(nodes, count), "node")
+        .groupBy("row")
+        .agg(F.any_value("vec_id").alias("vec_id"), F.any_value("v").alias("v"), F.collect_list("node").alias("nodes"), F.sum("n").alias("scored"))
+    )
+    bounded = queries.mapInArrow(floored, "row long, vec_id long, v array<double>, nodes array<long>, scored long, floor double")
+    asked = materialise(bounded.select("row", "vec_id", "v", "scored", "floor", F.explode("nodes").alias("node")))
+    loads = _counts(asked, "q", "node").join(nodes, "node")
+    cells = materialise(loads.select("node", _cells("n", cell_rows).alias("chunks"), _cells("q", cell_rows).alias("blocks")))
+    cell = ["node", "chunk", "block"]
+    rows = members.join(_small(cells, count), "node").withColumn("chunk", _cell("chunks", 1)).withColumn("block", _every("blocks"))
+    questions = asked.join(_small(cells, count), "node").withColumn("block", _cell("blocks", 2)).withColumn("chunk", _every("chunks"))
     near = (
-        questions.groupBy(*cell)
-        .cogroup(rows.groupBy(*cell))
-        .applyInArrow(lambda q, m: _best(q, m, k), "query_id long, vec_id long, score double")
+        questions.drop("chunks", "blocks").groupBy(*cell)
+        .cogroup(rows.drop("chunks", "blocks").groupBy(*cell))
+        .applyInArrow(lambda q, m: _best(q, m, k), _FOUND)
     )
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
     return (
-        near.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        near.withColumn("rank", F.row_number().over(ranked))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score", "scored")
     )
