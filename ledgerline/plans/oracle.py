@@ -318,7 +318,25 @@ batches AS (
 )
 SELECT bound, batch, count(*) AS input_rows FROM batches GROUP BY bound, batch"""
 
+DEBUG_SINKS = f"""WITH {ENRICHED},
+{_arrivals(0)},
+output AS ({LEGACY_ROWS}),
+seen AS (
+  SELECT 'input' AS stream, transaction_id, user_id, amount, status,
+         strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", CAST(NULL AS DOUBLE) AS discounted_amount
+  FROM transactions
+  UNION ALL
+  SELECT 'output', transaction_id, user_id, amount, status, "timestamp", discounted_amount FROM output
+)
+SELECT seen.*, a.batch FROM seen JOIN arrivals a ON seen.transaction_id = a.transaction_id
+QUALIFY row_number() OVER (PARTITION BY stream, a.batch ORDER BY seen.transaction_id) <= 20"""
+
 ORACLE: dict[str, str] = {
+    "stream_failure_recovery": RULE_JOIN,
+    "stream_failure_sibling": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
+    "stream_continuous": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
+    "stream_source_switch": f"{WITH_ENRICHED}\nSELECT enriched.*, s.source FROM enriched, (VALUES ('Folder'), ('TABLE')) AS s(source)",
+    "stream_debug_sinks": DEBUG_SINKS,
     "stream_dual_sink_source": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
     "stream_dual_sink_chained": f"{WITH_ENRICHED}\n{_closed('5 minutes')}",
     "stream_late_rows": _late_rows(1, 1),

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType, TimestampType
 
 from ledgerline.functions.scoring import discount_rate
 from ledgerline.functions.timecols import instant_to_wallclock
@@ -40,12 +41,15 @@ from ledgerline.sources.payload import decode_json_payload, encode_json_payload
 from ledgerline.sources.readers import ndjson_stream, parquet_stream, read_input, read_ndjson, read_output, read_transactions
 from ledgerline.sources.sinks import LANDING_TASK_ROWS, append_metrics, land_in_batches, land_ndjson, write_full_copy
 from ledgerline.streaming.jobs import (
+    ProgressLog,
+    await_all,
     await_query,
     read_batches,
     run_stream,
     start_enriched,
     start_enriched_by_rules,
     start_legacy_job,
+    start_stream,
     start_windowed,
     stream_metrics,
     stream_record,
@@ -292,6 +296,101 @@ def q_stream_rule_join(spark, sf_dir):
     return wallclock(read_batches(spark, out))
 
 
+def _recovered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Enriched rows by the rule table, and windows, of two queries over the parts. The rule table is gone when
+    the second half arrives: the query that needs it fails, which the waiting job is told, and its sibling is stopped.
+    A restart with a new table goes on from both checkpoints."""
+    landing, table = work_path(spark, "fail-in"), work_path(spark, "fail-rules")
+    rows, windows = work_path(spark, "fail-rows"), work_path(spark, "fail-windows")
+    ckpts = work_path(spark, "ckpt-fail-rows"), work_path(spark, "ckpt-fail-windows")
+    folders, files = _in_parts(spark, sf_dir, work_path(spark, "fail-parts"))
+
+    def start(available_now: bool) -> list[ProgressLog]:
+        source = lambda: parquet_stream(spark, landing, TRANSACTION, files)
+        sibling = ProgressLog(start_windowed(source(), windows, ckpts[1], available_now=available_now))
+        rules = lambda session: session.read.parquet(table)
+        return [ProgressLog(start_enriched_by_rules(source(), rules, rows, ckpts[0], available_now=available_now)), sibling]
+
+    write_full_copy(rules_frame(spark, DEFAULT_PARAMS.discount_rules), table)
+    _arrive(spark, folders[: PARTS // 2], landing)
+    await_all(start(True))
+    Store(spark, table).remove(table)
+    _arrive(spark, folders[PARTS // 2 :], landing)
+    logs = start(False)
+    try:
+        await_all(logs)
+    except StreamingQueryException:
+        running = [log for log in logs if log.query.isActive]
+    else:
+        raise RuntimeError("a query without its rule table ended as if nothing had happened")
+    if running:
+        raise RuntimeError("a query goes on after its sibling has failed")
+    write_full_copy(rules_frame(spark, NEW_RULES), table)
+    await_all(start(True))
+    return read_batches(spark, rows), read_output(spark, windows, WINDOWED)
+
+
+def q_stream_failure_recovery(spark, sf_dir):
+    """What a query has written that failed, was reported and went on with what it lacked."""
+    return wallclock(_recovered(spark, sf_dir)[0])
+
+
+def q_stream_failure_sibling(spark, sf_dir):
+    """The windows of the query that was stopped because the other one failed."""
+    return wallclock(_recovered(spark, sf_dir)[1])
+
+
+def q_stream_continuous(spark, sf_dir):
+    """Both sinks with the default trigger while the parts arrive one by one; the run ends as soon as one
+    of its queries stops."""
+    landing, out, ckpt = work_path(spark, "tail-in"), work_path(spark, "tail-out"), work_path(spark, "ckpt-tail")
+    folders, files = _in_parts(spark, sf_dir, work_path(spark, "tail-parts"))
+    params = DEFAULT_PARAMS.with_(source="table", max_files_per_trigger=files)
+    _arrive(spark, folders[:1], landing)
+    run = start_stream(spark, lambda session: read_transactions(session, params, landing), out, ckpt, params, available_now=False)
+    try:
+        for folder in [None, *folders[1:]]:
+            _arrive(spark, [folder] if folder else [], landing)
+            for query in run.queries.values():
+                query.processAllAvailable()
+        run.queries["windowed"].stop()
+        await_all(run.logs.values(), any_stop=True)
+    finally:
+        run.stop()
+    return wallclock(run.windows(spark))
+
+
+def q_stream_source_switch(spark, sf_dir):
+    """The same transactions as an NDJSON folder and as a table; the setting says which of the readers streams them."""
+    tx = transactions(spark, sf_dir)
+    lines, table = work_path(spark, "switch-lines"), work_path(spark, "switch-table")
+    land_ndjson(tx, lines)
+    tx.write.parquet(table)
+    found = []
+    for kind, path in (("Folder", lines), ("TABLE", table)):
+        params = DEFAULT_PARAMS.with_(source=kind, max_files_per_trigger=16)
+        source = read_transactions(spark, params, path, timestamp_format=ISO_TIMESTAMP_FORMAT)
+        out = work_path(spark, "switch-out")
+        await_query(start_enriched(source, out, work_path(spark, "ckpt-switch"), params))
+        found.append(wallclock(read_output(spark, out, ENRICHED)).withColumn("source", F.lit(kind)))
+    return found[0].unionByName(found[1])
+
+
+def q_stream_debug_sinks(spark, sf_dir):
+    """What the older job's debug sinks show: the first rows of each micro-batch of its input and its output."""
+    landing, shown = work_path(spark, "debug-in"), work_path(spark, "debug-shown")
+    _, files = _in_parts(spark, sf_dir, landing)
+    raw = encode_json_payload(legacy_records(parquet_stream(spark, landing, TRANSACTION, files)), options={})
+    queries = start_legacy_job(
+        raw, work_path(spark, "ckpt-debug-job"), debug_format="parquet", debug_path=shown, sink="parquet",
+        out_path=work_path(spark, "debug-out"), available_now=True,
+    )
+    await_all([ProgressLog(q) for q in queries])
+    fields = [*LEGACY_TRANSACTION.fields, StructField("discounted_amount", DoubleType()), StructField("batch", LongType())]
+    read = lambda name: read_output(spark, f"{shown}/legacy_{name}", StructType(fields)).withColumn("stream", F.lit(name))
+    return read("input").unionByName(read("output"))
+
+
 BOUND_FILES = 20
 BOUND_FILE_ROWS = 250_000
 BOUND_LINE = 512
@@ -591,6 +690,11 @@ QUERIES: dict[str, Query] = {
     "stream_replay_after_crash_enriched": q_stream_replay_after_crash_enriched,
     "committed_output": q_committed_output,
     "stream_rule_join": q_stream_rule_join,
+    "stream_failure_recovery": q_stream_failure_recovery,
+    "stream_failure_sibling": q_stream_failure_sibling,
+    "stream_continuous": q_stream_continuous,
+    "stream_source_switch": q_stream_source_switch,
+    "stream_debug_sinks": q_stream_debug_sinks,
     "stream_batch_bound": q_stream_batch_bound,
     "stream_observed_metrics": q_stream_observed_metrics,
     "run_metrics_no_full_copy": q_run_metrics_no_full_copy,

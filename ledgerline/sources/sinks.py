@@ -54,11 +54,43 @@ def start_kafka_sink(encoded: DataFrame, checkpoint: str, params: JobParams = DE
     )
 
 
+#: Rows of a micro-batch that a debug sink shows.
+DEBUG_ROWS = 20
+
+
 def start_debug_sink(
-    df: DataFrame, fmt: str = "console", name: str | None = None, available_now: bool = False
+    df: DataFrame,
+    fmt: str = "console",
+    name: str | None = None,
+    available_now: bool = False,
+    rows: int = DEBUG_ROWS,
+    path: str | None = None,
+    order_by: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Console (or memory, in tests) sink for eyeballing a stream."""
-    w = df.writeStream.format(fmt).outputMode("append")
+    """The first ``rows`` rows of each micro-batch, for eyeballing a stream (K4).
+
+    "console": the driver prints them. "parquet": they are kept below ``path``/batch=N,
+    for a cluster whose driver nobody watches. Either way the limit is taken in the
+    tasks, so the driver never holds a micro-batch, as it does with Spark's own
+    console sink. With ``order_by`` they are the first in that order, the same if a
+    batch is replayed. "memory" keeps the whole stream in the driver: for tests.
+    A debug sink starts anew with its query, there is no checkpoint to resume from.
+    """
+    if fmt == "memory":
+        w = df.writeStream.format(fmt).outputMode("append")
+    elif fmt not in ("console", "parquet") or (fmt == "parquet") != (path is not None):
+        raise ValueError(f"a debug sink is console, memory or parquet with a path, not {fmt!r} with path {path!r}")
+    else:
+
+        def show(batch: DataFrame, number: int) -> None:
+            first = (batch.orderBy(*order_by) if order_by else batch).limit(rows)
+            if path is not None:
+                first.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            else:
+                print(f"{name or 'stream'}, batch {number}")  # noqa: T201
+                first.show(rows, truncate=False)
+
+        w = df.writeStream.foreachBatch(show).option("checkpointLocation", work_path(df.sparkSession, "ckpt-debug"))
     if name:
         w = w.queryName(name)
     if available_now:

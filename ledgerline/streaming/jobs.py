@@ -162,17 +162,15 @@ def await_all(logs: Iterable[ProgressLog], any_stop: bool = False) -> None:
             for log in running:
                 log.query.awaitTermination(POLL_SECONDS)  # raises what ended the query
                 log.update()
-            still = [log for log in logs if log.query.isActive]
+            still = [log for log in running if log.query.isActive]
+            # one that stopped after its turn may have failed: nobody else would ask it while a sibling goes on
+            for log in running:
+                if log not in still:
+                    log.query.awaitTermination()
+                    log.update()
             if any_stop and len(still) < len(logs):
-                # one may have failed between its turn and this check
-                for log in logs:
-                    if log not in still:
-                        log.query.awaitTermination()
                 return
             running = still
-        for log in logs:
-            log.query.awaitTermination()
-            log.update()
     except BaseException:
         for log in logs:
             if log.query.isActive:
@@ -461,19 +459,27 @@ def start_legacy_job(
     out_path: str | None = None,
     available_now: bool = False,
     topic: str | None = None,
+    debug_path: str | None = None,
 ) -> list[StreamingQuery]:
     """The JSON sink, and debug sinks for input and output if asked.
 
     ``sink='kafka'`` writes the JSON records to ``topic``; ``sink='parquet'``
     writes them to ``out_path`` (used where no broker exists). With a
-    ``debug_format`` (console, memory) input and output also go there, each
-    in a query that reads the source again; debug sinks have no checkpoint, as
+    ``debug_format`` the first rows of each micro-batch of input and output are shown too
+    (console), or kept below ``debug_path``/legacy_input and /legacy_output (parquet), each
+    in a query that reads the source again; debug sinks resume from nothing, as
     in the reference."""
     decoded, transformed, encoded = legacy_stream(raw, params)
     queries = []
     if debug_format:
+        kept = debug_format == "parquet"
         for df, name in ((decoded, "legacy_input"), (transformed, "legacy_output")):
-            queries.append(start_debug_sink(df, debug_format, name if debug_format == "memory" else None, available_now))
+            queries.append(
+                start_debug_sink(
+                    df, debug_format, None if kept else name, available_now,
+                    path=f"{debug_path}/{name}" if kept else None, order_by=("transaction_id",) if kept else (),
+                )
+            )
     if sink == "kafka":
         queries.append(start_kafka_sink(encoded, checkpoint, params, topic))
     else:

@@ -124,3 +124,44 @@ def test_run_folder_goes_with_the_process(spark):
     finally:
         session._run_folders.update(before)
     assert session.work_path(spark, "gone").rsplit("/", 1)[0] == path.rsplit("/", 1)[0]
+
+
+def test_a_failure_between_two_turns_is_raised():
+    class Query:
+        """Runs until it fails or is stopped; ``meanwhile`` happens while somebody waits for it."""
+
+        def __init__(self, meanwhile=None):
+            self.isActive, self.failure, self.meanwhile, self.recentProgress = True, None, meanwhile, []
+
+        def awaitTermination(self, timeout=None):
+            assert timeout or not self.isActive, "waits for ever"
+            if self.failure:
+                raise self.failure
+            if self.meanwhile:
+                self.meanwhile()
+
+        def stop(self):
+            self.isActive = False
+
+    def fail():
+        first.isActive, first.failure = False, ValueError("boom")
+
+    for any_stop in (False, True):
+        first, second = Query(), Query(meanwhile=fail)
+        with pytest.raises(ValueError, match="boom"):
+            await_all([ProgressLog(first), ProgressLog(second)], any_stop)
+        assert not second.isActive
+
+
+def test_debug_sinks_show_the_first_rows_of_a_batch(spark, fresh_dir, capfd):
+    landing, shown = fresh_dir("in"), fresh_dir("shown")
+    spark.range(100).repartition(4).write.parquet(landing)
+    source = spark.readStream.schema("id long").parquet(landing)
+    await_query(start_debug_sink(source, "parquet", available_now=True, rows=7, path=shown, order_by=("id",)))
+    assert sorted(tuple(r) for r in spark.read.parquet(shown).collect()) == [(i, 0) for i in range(7)]
+    await_query(start_debug_sink(source, "console", "probe", available_now=True, rows=3))
+    printed = capfd.readouterr().out
+    assert "probe, batch 0" in printed and printed.count("\n|") == 4  # a heading and three rows
+    for wrong in ({"fmt": "parquet"}, {"fmt": "console", "path": shown}, {"fmt": "kafka"}):
+        with pytest.raises(ValueError, match="a debug sink is"):
+            start_debug_sink(source, **wrong)
