@@ -145,3 +145,17 @@ def test_every_text_is_judged_as_a_whole(bpe):
             return [other.encode(text) + [0] * (text in texts) for text in some]
 
     assert not any(parity for _, _, parity in codec.Codec(bpe, Judge()).encode_checked(texts))
+
+
+def test_texts_are_normalised_once(bpe):
+    """The ids and the round trip come from one normalised form of a text."""
+    ours, asked = codec.Codec(bpe, sentencepiece.SentencePieceProcessor(model_proto=bpe)), []
+    plain = ours.normal
+    ours.normal = lambda text: asked.append(text) or plain(text)
+    texts = ["some words", "", " two  spaces ", "\u2581 mark", "\u2603 \U0001d11e", "more"]
+    found = ours.encode_checked(texts)
+    assert asked == texts and ours.whole.normalizer is None
+    assert all(same and parity for _, same, parity in found) and [len(i) for i, *_ in found][1] == 0
+    assert [same for _, same, _ in ours.encode_checked(["", ""])] == [True, True]
+    shifted = [found[-1][0], *[i for i, *_ in found[:-1]]]
+    assert ours._stand_for([plain(t) for t in texts], shifted) == [False] * 6
