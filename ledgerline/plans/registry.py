@@ -120,11 +120,15 @@ def q_stream_enriched_sink(spark, sf_dir):
     return wallclock(read_output(spark, out, ENRICHED))
 
 
+#: Files that a landing is cut into before they get more rows than the batch size: 25 micro-batches of 16.
+LANDING_FILES = 400
+
+
 def q_stream_ndjson_source(spark, sf_dir):
     """Land the transactions as NDJSON files, stream them back in bounded
     micro-batches, enrich, sink, read the committed output."""
     landing = work_path(spark, "landing")
-    land_ndjson(transactions(spark, sf_dir), landing, DEFAULT_PARAMS.batch_size)
+    land_ndjson(transactions(spark, sf_dir), landing, DEFAULT_PARAMS.batch_size, files=LANDING_FILES)
     out, ckpt = work_path(spark, "enriched-json"), work_path(spark, "ckpt-enriched-json")
     src = ndjson_stream(spark, landing, TRANSACTION, max_files_per_trigger=16, timestamp_format=ISO_TIMESTAMP_FORMAT)
     await_query(start_enriched(src, out, ckpt))
@@ -668,7 +672,7 @@ def q_full_copy_roundtrip(spark, sf_dir):
 
 def q_ndjson_landing_roundtrip(spark, sf_dir):
     path = work_path(spark, "ndjson")
-    land_ndjson(transactions(spark, sf_dir), path, DEFAULT_PARAMS.batch_size)
+    land_ndjson(transactions(spark, sf_dir), path, DEFAULT_PARAMS.batch_size, files=LANDING_FILES)
     return wallclock(read_ndjson(spark, path, TRANSACTION))
 
 

@@ -422,6 +422,32 @@ def test_landing_tasks_follow_the_rows(spark, fresh_dir, monkeypatch):
     assert files(ten) == 10
 
 
+def test_landing_files_don_t_grow_with_the_rows(spark, fresh_dir, monkeypatch):
+    from ledgerline.plans import registry
+    from ledgerline.sources import sinks
+
+    tx = transactions(spark, SF_SMALL)
+
+    def sizes(path):
+        return [len(open(os.path.join(path, f)).read().splitlines()) for f in os.listdir(path) if f.endswith(".json")]
+
+    few, bounded = fresh_dir("land"), fresh_dir("land")
+    land_ndjson(tx, few, batch_size=5, files=20)
+    assert sizes(few) == [50] * 20
+    monkeypatch.setattr(sinks, "LANDING_FILE_ROWS", 25)
+    land_ndjson(tx, bounded, batch_size=5, files=20)
+    assert sizes(bounded) == [25] * 40
+
+    # files of ten rows, 16 a micro-batch, would be seven micro-batches
+    logs, wait = [], registry.await_query
+    monkeypatch.setattr(registry, "await_query", lambda query: logs.append(wait(query)) or logs[-1])
+    monkeypatch.setattr(registry, "DEFAULT_PARAMS", JobParams(batch_size=10))
+    monkeypatch.setattr(registry, "LANDING_FILES", 40, raising=False)
+    out = registry.q_stream_ndjson_source(spark, SF_SMALL)
+    assert logs[0].stats()["batches_with_data"] == 3 and logs[0].stats()["input_rows"] == 1000
+    assert out.count() == enrich(tx).count()
+
+
 def test_continuous_run_returns_when_a_query_stops(spark, fresh_dir):
     import threading
 
