@@ -28,8 +28,6 @@ was settled, equal ranks mean equal suffixes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,12 +128,9 @@ def _windows(ranked: DataFrame, depths: list[int], min_words: int) -> DataFrame:
     return cut.select(*_DOC, "pos", "n", first.alias("first"), last.alias("last"), lines.alias("lines"))
 
 
-def _chosen(n: Column, depths: list[int], value: Callable[[int], Column]) -> Column:
-    """``value`` of the greatest depth that is at most ``n``."""
-    out = F.lit(None).cast("long")
-    for k in depths:
-        out = F.when(n >= k, value(k)).otherwise(out)
-    return out
+def _level(n: Column, depths: list[int]) -> Column:
+    """The place in ``depths`` (1, 2, 4, ...) of the greatest depth that is at most ``n``."""
+    return F.least(F.length(F.bin(n)) - 1, F.lit(len(depths) - 1))
 
 
 def _letter_windows(ranked: DataFrame, depths: list[int]) -> DataFrame:
@@ -146,21 +141,23 @@ def _letter_windows(ranked: DataFrame, depths: list[int]) -> DataFrame:
     cut = ranked.withColumn("stretch", F.col("pos") - F.row_number().over(in_doc))
     along = Window.partitionBy(*_DOC, "stretch").orderBy("pos")
     before = along.rowsBetween(Window.unboundedPreceding, 0)
-    behind = along.rowsBetween(0, Window.unboundedFollowing)
-    heads = F.struct("pos", *[f"r{k}" for k in depths])
-    tails = F.struct("pos", *[F.lag(f"r{k}", k - 1).over(along).alias(f"r{k}") for k in depths])  # of the last k lines
-    row = cut.withColumns({"head": heads, "tail": tails})
+    # a frame that begins at its row is summed up anew for each row; from the end on it only grows
+    behind = Window.partitionBy(*_DOC, "stretch").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
+    # ranks by level: a column and a branch for each depth make code that takes the compiler much memory
+    heads = F.struct("pos", F.array(*[f"r{k}" for k in depths]).alias("ranks"))
+    tails = F.struct("pos", F.array(*[F.lag(f"r{k}", k - 1).over(along) for k in depths]).alias("ranks"))  # of the last k lines
+    row = cut.withColumns({"head": heads, "tail": tails}).drop(*[f"r{k}" for k in depths])
     row = row.withColumns(
         {
             "opened": F.last(F.when(F.col("letter"), F.col("head")), ignorenulls=True).over(before),
-            "closed": F.first(F.when(F.col("letter"), F.col("tail")), ignorenulls=True).over(behind),
+            "closed": F.last(F.when(F.col("letter"), F.col("tail")), ignorenulls=True).over(behind),
         }
     )
 
     def window(start: Column, end: Column) -> Column:
         n = end["pos"] - start["pos"] + 1
-        named = (_chosen(n, depths, lambda k: side[f"r{k}"]) for side in (start, end))
-        return F.struct(start["pos"].alias("start"), n.alias("n"), *[c.alias(x) for c, x in zip(named, ("first", "last"))])
+        first, last = (F.get(side["ranks"], _level(n, depths)) for side in (start, end))
+        return F.struct(start["pos"].alias("start"), n.alias("n"), first.alias("first"), last.alias("last"))
 
     opened = F.when(F.col("opened").isNotNull(), window(F.col("opened"), F.col("tail")))
     closed = F.when(F.col("closed").isNotNull() & ~F.col("letter"), window(F.col("head"), F.col("closed")))

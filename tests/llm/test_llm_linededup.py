@@ -199,3 +199,19 @@ def test_every_later_copy_of_a_line_goes(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = {k: v for k, v in brute([(k, t) for k, t in keyed(docs) if t and t.count("\n") < 60], 1).items() if v}
     assert deleted(spark, docs.where(F.size(F.split("text", "\n")) <= 60), 1) == want and want
+
+
+def test_letter_windows_are_the_same_code_at_any_depth(spark, docs_of):
+    """No branch for each depth, and no frame that is summed up anew for each row."""
+    rows = [(1, "\n".join(["again", "--"] * 20))]
+    ranked, depths = linededup.suffix_ranks(linededup.line_sequence(docs_of(rows)), None)
+    assert len(depths) > 5
+    branches = []
+    for some in (depths[:2], depths):
+        plan = linededup._letter_windows(ranked, some)._jdf.queryExecution().optimizedPlan().toString()
+        branches.append(plan.count("CASE WHEN"))
+        assert "unboundedfollowing" not in plan.lower()
+    assert branches[0] == branches[1]
+    got = sorted((r.pos, r.start, r.n) for r in linededup._letter_windows(ranked, depths).collect())
+    want = [(i, i - i % 2, 1 + i % 2) for i in range(40)] + [(i, i, 2) for i in range(1, 39, 2)]
+    assert got == sorted(want)
