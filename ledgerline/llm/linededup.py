@@ -143,7 +143,7 @@ def _letter_windows(ranked: DataFrame, depths: list[int]) -> DataFrame:
     before = along.rowsBetween(Window.unboundedPreceding, 0)
     # a frame that begins at its row is summed up anew for each row; from the end on it only grows
     behind = Window.partitionBy(*_DOC, "stretch").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    # ranks by level: a column and a branch for each depth make code that takes the compiler much memory
+    # ranks by level: the generated code has no branch for each depth
     heads = F.struct("pos", F.array(*[f"r{k}" for k in depths]).alias("ranks"))
     tails = F.struct("pos", F.array(*[F.lag(f"r{k}", k - 1).over(along) for k in depths]).alias("ranks"))  # of the last k lines
     row = cut.withColumns({"head": heads, "tail": tails}).drop(*[f"r{k}" for k in depths])
